@@ -3,12 +3,27 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from tidemark.llm import encode, mixing
+from tidemark.llm import encode, history, mixing, neardup
 from tidemark.llm.sql import SQL  # noqa: F401
 from tidemark.session import table
 
 
+def p3_found(spark: SparkSession, sf: str) -> DataFrame:
+    return history.known(*(table(spark, sf, t) for t in ("lotes", "catalogo", "documento", "openalex_carandiru")))
+
+
+def p4_found(spark: SparkSession, sf: str) -> DataFrame:
+    pairs = neardup.similar_pairs(table(spark, sf, "documento"))
+    return pairs.select(F.col("a").alias("ord_a"), F.col("b").alias("ord_b"))
+
+
+def p4_groups(spark: SparkSession, sf: str) -> DataFrame:
+    """Each stored document with the group of nearly equal documents it belongs to."""
+    return neardup.groups(table(spark, sf, "documento"))
+
+
 def p8_ids(spark: SparkSession, sf: str) -> DataFrame:
     return encode.encode(table(spark, sf, "documents"))
 
@@ -28,4 +43,4 @@ def p9_shares(spark: SparkSession, sf: str) -> DataFrame:
     return mixing.shares(mixing.copies(tokens, mix), tokens, mix)
 
 
-QUERIES = {"p8_ids": p8_ids, "p8_round_trip": p8_round_trip, "p9_mix": p9_mix, "p9_shares": p9_shares}
+QUERIES = {f.__name__: f for f in (p3_found, p4_found, p4_groups, p8_ids, p8_round_trip, p9_mix, p9_shares)}
