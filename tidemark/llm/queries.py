@@ -5,11 +5,20 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemark.llm import encode, history, mixing, neardup
+from tidemark.llm import encode, history, mixing, neardup, residue
 from tidemark.llm.sql import SQL  # noqa: F401
 from tidemark.session import table
 
 
+def p1_found(spark: SparkSession, sf: str) -> DataFrame:
+    return residue.found(table(spark, sf, "documento"), table(spark, sf, "itens")).select("ord", "campo")
+
+
+def p1_kinds(spark: SparkSession, sf: str) -> DataFrame:
+    """Residue by field and kind, for review."""
+    return residue.found(table(spark, sf, "documento"), table(spark, sf, "itens"))
+
+
 def p3_found(spark: SparkSession, sf: str) -> DataFrame:
     return history.known(*(table(spark, sf, t) for t in ("lotes", "catalogo", "documento", "openalex_carandiru")))
 
@@ -43,4 +52,4 @@ def p9_shares(spark: SparkSession, sf: str) -> DataFrame:
     return mixing.shares(mixing.copies(tokens, mix), tokens, mix)
 
 
-QUERIES = {f.__name__: f for f in (p3_found, p4_found, p4_groups, p8_ids, p8_round_trip, p9_mix, p9_shares)}
+QUERIES = {f.__name__: f for f in (p1_found, p1_kinds, p3_found, p4_found, p4_groups, p8_ids, p8_round_trip, p9_mix, p9_shares)}
