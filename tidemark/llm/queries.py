@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemark.llm import encode, history, mixing, neardup, residue
+from tidemark.llm import encode, garbled, history, mixing, neardup, residue
 from tidemark.llm.sql import SQL  # noqa: F401
 from tidemark.session import table
 
@@ -19,6 +19,15 @@ def p1_kinds(spark: SparkSession, sf: str) -> DataFrame:
     return residue.found(table(spark, sf, "documento"), table(spark, sf, "itens"))
 
 
+def p2_found(spark: SparkSession, sf: str) -> DataFrame:
+    return garbled.found(table(spark, sf, "itens"), table(spark, sf, "pede_juizo")).select("campo", "ord")
+
+
+def p2_restored(spark: SparkSession, sf: str) -> DataFrame:
+    """Garbled values with the text restored where it can be."""
+    return garbled.found(table(spark, sf, "itens"), table(spark, sf, "pede_juizo"))
+
+
 def p3_found(spark: SparkSession, sf: str) -> DataFrame:
     return history.known(*(table(spark, sf, t) for t in ("lotes", "catalogo", "documento", "openalex_carandiru")))
 
@@ -52,4 +61,4 @@ def p9_shares(spark: SparkSession, sf: str) -> DataFrame:
     return mixing.shares(mixing.copies(tokens, mix), tokens, mix)
 
 
-QUERIES = {f.__name__: f for f in (p1_found, p1_kinds, p3_found, p4_found, p4_groups, p8_ids, p8_round_trip, p9_mix, p9_shares)}
+QUERIES = {f.__name__: f for f in (p1_found, p1_kinds, p2_found, p2_restored, p3_found, p4_found, p4_groups, p8_ids, p8_round_trip, p9_mix, p9_shares)}
