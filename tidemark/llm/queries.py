@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemark.llm import encode, garbled, history, mixing, neardup, residue
+from tidemark.llm import encode, garbled, history, language, mixing, neardup, residue
 from tidemark.llm.sql import SQL  # noqa: F401
 from tidemark.session import table
 
@@ -42,6 +42,15 @@ def p4_groups(spark: SparkSession, sf: str) -> DataFrame:
     return neardup.groups(table(spark, sf, "documento"))
 
 
+def p6_found(spark: SparkSession, sf: str) -> DataFrame:
+    return language.found(table(spark, sf, "itens"), table(spark, sf, "pede_juizo"))
+
+
+def p6_stretches(spark: SparkSession, sf: str) -> DataFrame:
+    """Language and confidence of each stretch of each text."""
+    return language.stretches(table(spark, sf, "itens"), table(spark, sf, "pede_juizo"))
+
+
 def p8_ids(spark: SparkSession, sf: str) -> DataFrame:
     return encode.encode(table(spark, sf, "documents"))
 
@@ -61,4 +70,4 @@ def p9_shares(spark: SparkSession, sf: str) -> DataFrame:
     return mixing.shares(mixing.copies(tokens, mix), tokens, mix)
 
 
-QUERIES = {f.__name__: f for f in (p1_found, p1_kinds, p2_found, p2_restored, p3_found, p4_found, p4_groups, p8_ids, p8_round_trip, p9_mix, p9_shares)}
+QUERIES = {f.__name__: f for f in (p1_found, p1_kinds, p2_found, p2_restored, p3_found, p4_found, p4_groups, p6_found, p6_stretches, p8_ids, p8_round_trip, p9_mix, p9_shares)}
