@@ -25,7 +25,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tidemark.llm.residue import ADDRESS, SITE, assess
-from tidemark.session import spread
+from tidemark.session import hash_sample, spread
 
 LANGUAGES = ("pt", "en", "es", "fr")
 # Spellings of language labels, in lower case and without region.
@@ -181,8 +181,8 @@ def languages(stretches: list[tuple[int, int, int, float]]) -> dict[str, float]:
 
 def train(rows: DataFrame, text: str, label: str, key: str) -> Classifier:
     """Fit on at most TRAIN_ROWS rows with a known label, in the order of a hash of their key."""
-    known = rows.filter(F.col(text).isNotNull()).select(F.col(text).alias("t"), known_label(F.col(label)).alias("l"), F.xxhash64(key).alias("h"))
-    sample = known.filter("l is not null").orderBy("h", "t").limit(TRAIN_ROWS).collect()  # bounded by TRAIN_ROWS
+    known = rows.select(key, F.col(text).alias("t"), known_label(F.col(label)).alias("l")).filter("t is not null and l is not null")
+    sample = hash_sample(known, key, TRAIN_ROWS).collect()  # bounded by TRAIN_ROWS
     return Classifier.fit([r.t for r in sample], np.array([LANGUAGES.index(r.l) for r in sample], int))
 
 

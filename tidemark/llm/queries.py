@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemark.llm import encode, garbled, history, language, mixing, neardup, residue
+from tidemark.llm import boilerplate, encode, garbled, history, language, mixing, neardup, residue
 from tidemark.llm.sql import SQL  # noqa: F401
 from tidemark.session import table
 
@@ -51,6 +51,15 @@ def p6_stretches(spark: SparkSession, sf: str) -> DataFrame:
     return language.stretches(table(spark, sf, "itens"), table(spark, sf, "pede_juizo"))
 
 
+def p7_found(spark: SparkSession, sf: str) -> DataFrame:
+    return boilerplate.furniture(table(spark, sf, "documento")).select("ord", "linha")
+
+
+def p7_body(spark: SparkSession, sf: str) -> DataFrame:
+    """Each stored text without the page around it."""
+    return boilerplate.main_body(table(spark, sf, "documento"))
+
+
 def p8_ids(spark: SparkSession, sf: str) -> DataFrame:
     return encode.encode(table(spark, sf, "documents"))
 
@@ -70,4 +79,4 @@ def p9_shares(spark: SparkSession, sf: str) -> DataFrame:
     return mixing.shares(mixing.copies(tokens, mix), tokens, mix)
 
 
-QUERIES = {f.__name__: f for f in (p1_found, p1_kinds, p2_found, p2_restored, p3_found, p4_found, p4_groups, p6_found, p6_stretches, p8_ids, p8_round_trip, p9_mix, p9_shares)}
+QUERIES = {f.__name__: f for f in (p1_found, p1_kinds, p2_found, p2_restored, p3_found, p4_found, p4_groups, p6_found, p6_stretches, p7_found, p7_body, p8_ids, p8_round_trip, p9_mix, p9_shares)}
