@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemark.llm import boilerplate, encode, garbled, history, language, mixing, neardup, residue
+from tidemark.llm import abuse, boilerplate, encode, garbled, history, language, mixing, neardup, residue
 from tidemark.llm.sql import SQL  # noqa: F401
 from tidemark.session import table
 
@@ -79,4 +79,19 @@ def p9_shares(spark: SparkSession, sf: str) -> DataFrame:
     return mixing.shares(mixing.copies(tokens, mix), tokens, mix)
 
 
-QUERIES = {f.__name__: f for f in (p1_found, p1_kinds, p2_found, p2_restored, p3_found, p4_found, p4_groups, p6_found, p6_stretches, p7_found, p7_body, p8_ids, p8_round_trip, p9_mix, p9_shares)}
+def p10_found(spark: SparkSession, sf: str) -> DataFrame:
+    scored = abuse.score(table(spark, sf, "documents"), table(spark, sf, "rotulos"))
+    return scored.filter(F.col("score") >= abuse.FOUND).select("doc_id")
+
+
+def p10_scores(spark: SparkSession, sf: str) -> DataFrame:
+    """Score, calibrated rate and evidence of each document."""
+    return abuse.score(table(spark, sf, "documents"), table(spark, sf, "rotulos"))
+
+
+def p10_rates(spark: SparkSession, sf: str) -> DataFrame:
+    """Rate of abusive documents of each source."""
+    return abuse.rates(abuse.score(table(spark, sf, "documents"), table(spark, sf, "rotulos")))
+
+
+QUERIES = {f.__name__: f for f in (p1_found, p1_kinds, p2_found, p2_restored, p3_found, p4_found, p4_groups, p6_found, p6_stretches, p7_found, p7_body, p8_ids, p8_round_trip, p9_mix, p9_shares, p10_found, p10_scores, p10_rates)}
