@@ -11,7 +11,19 @@ from pyspark.sql import functions as F
 
 from tidemark.functions import text as X
 from tidemark.functions.fold import fold
-from tidemark.operators.lexicon import Lexicon, in_context, occurrences
+from tidemark.operators.lexicon import Lexicon, in_context, let, occurrences
+
+
+OUTPUT = ("nivel", "motivo", "chaves", "categorias", "pontuacao", "trecho", "onde")
+
+
+def pinned(df: DataFrame, **columns: Column) -> DataFrame:
+    """df with columns that are computed once per row.
+
+    They pass through a generator of one row, so the optimizer can't inline their expressions into every later use or
+    into filters it moves below, which would run the matching again each time.
+    """
+    return df.select("*", F.inline(F.array(F.struct(*(c.alias(k) for k, c in columns.items())))))
 
 
 def _literals(values) -> Column:
@@ -24,39 +36,37 @@ def graded(docs: DataFrame, lexicon: Lexicon, text: str = "texto", highlights: s
     Columns of docs of the same names are replaced. Repeated rows are graded each.
     """
     name, inner = names
-    kept = [c for c in docs.columns if c not in ("nivel", "motivo", "chaves", "categorias", "pontuacao", "trecho", "onde")]
+    kept = [c for c in docs.columns if c not in OUTPUT]
     base = docs.select(*(F.col(f"`{c}`") for c in kept), F.coalesce(F.col(text), F.lit("")).alias("_text"))
-    base = base.withColumn("_folded", fold(F.col("_text")))
-    base = base.withColumn("_o", occurrences(F.col("_folded"), lexicon)).withColumn("_context", in_context(F.col("_folded"), lexicon))
+    base = pinned(base, _folded=fold(F.col("_text")))
+    found = occurrences(F.col("_folded"), lexicon)
+    base = pinned(base, _o=found, _context=in_context(F.col("_folded"), lexicon)).drop("_folded")
     valid, void = F.col("_o.valid"), F.col("_o.void")
-    # distinct terms by first position
-    base = base.withColumn("_terms", F.array_distinct(F.transform(valid, lambda o: o["term"])))
-    look = lambda values: F.transform(F.col("_terms"), lambda n: F.get(F.array(*values), n))
+    some = F.size(valid) > 0
     if highlights:
         seen = F.filter(
-            F.transform(F.coalesce(F.col(highlights), F.array()), lambda h: F.struct(h[name].alias("name"), h[inner].alias("text"), occurrences(fold(h[inner]), lexicon)["valid"].alias("valid"))),
+            F.transform(F.coalesce(F.col(highlights), F.array()), lambda h: F.struct(h[name].alias("name"), h[inner].alias("text"), let(fold(h[inner]), lambda f: occurrences(f, lexicon)["valid"]).alias("valid"))),
             lambda h: F.size(h["valid"]) > 0,
         )
         # highlights are searched only where the text passed
-        base = base.withColumn("_hit", F.when((F.size(valid) > 0) & F.col("_context"), F.get(seen, F.lit(0))))
+        hit = F.when(some & F.col("_context"), F.get(seen, F.lit(0)))
     else:
-        base = base.withColumn("_hit", F.lit(None).cast("struct<name:string,text:string,valid:array<struct<start:int,term:int,end:int>>>"))
-    some, hit = F.size(valid) > 0, F.col("_hit").isNotNull()
+        hit = F.lit(None).cast("struct<name:string,text:string,valid:array<struct<start:int,term:int,end:int>>>")
+    # distinct terms by first position
+    base = pinned(base, _terms=F.array_distinct(F.transform(valid, lambda o: o["term"])), _hit=hit)
+    look = lambda values: F.transform(F.col("_terms"), lambda n: F.get(F.array(*values), n))
+    hit = F.col("_hit").isNotNull()
     first = lambda xs: F.get(xs, F.lit(0))
-    level = F.when(~some, 0).when(~F.col("_context"), 1).when(hit, 3).otherwise(2)
-    reason = F.when(~some & (F.size(void) > 0), "so_exclusao").when(~some, "sem_termo").when(~F.col("_context"), "sem_contexto").when(hit, "aceito").otherwise("pede_juizo")
     at = F.when(some, first(valid)).otherwise(first(void))
-    part = F.when(hit, X.snippet(F.col("_hit.text"), first(F.col("_hit.valid"))["start"], first(F.col("_hit.valid"))["end"])).when(at.isNotNull(), X.snippet(F.col("_text"), at["start"], at["end"]))
-    where = F.when(hit, F.col("_hit.name")).when(at.isNotNull(), "texto")
-    categories = F.array_distinct(F.flatten(look([_literals(t.categories) for t in lexicon.terms])))
-    score = F.bround(F.aggregate(look([F.lit(t.weight) for t in lexicon.terms]), F.lit(0.0), lambda a, w: a + w), 4)
-    return base.select(
-        *(F.col(f"`{c}`") for c in kept),
-        level.alias("nivel"),
-        reason.alias("motivo"),
-        look([F.lit(t.key) for t in lexicon.terms]).alias("chaves"),
-        categories.alias("categorias"),
-        score.alias("pontuacao"),
-        part.alias("trecho"),
-        where.alias("onde"),
+    inside = F.col("_hit.valid")
+    out = pinned(
+        base,
+        nivel=F.when(~some, 0).when(~F.col("_context"), 1).when(hit, 3).otherwise(2),
+        motivo=F.when(~some & (F.size(void) > 0), "so_exclusao").when(~some, "sem_termo").when(~F.col("_context"), "sem_contexto").when(hit, "aceito").otherwise("pede_juizo"),
+        chaves=look([F.lit(t.key) for t in lexicon.terms]),
+        categorias=F.array_distinct(F.flatten(look([_literals(t.categories) for t in lexicon.terms]))),
+        pontuacao=F.bround(F.aggregate(look([F.lit(t.weight) for t in lexicon.terms]), F.lit(0.0), lambda a, w: a + w), 4),
+        trecho=F.when(hit, X.snippet(F.col("_hit.text"), first(inside)["start"], first(inside)["end"])).when(at.isNotNull(), X.snippet(F.col("_text"), at["start"], at["end"])),
+        onde=F.when(hit, F.col("_hit.name")).when(at.isNotNull(), "texto"),
     )
+    return out.select(*(F.col(f"`{c}`") for c in kept), *OUTPUT)

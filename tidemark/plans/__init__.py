@@ -1,8 +1,8 @@
 """Named queries over the standard tables, and the SQL that gives the same rows."""
 
-from tidemark.plans import incremental
+from tidemark.plans import incremental, records, texts
 
-MODULES = [incremental]
+MODULES = [texts, records, incremental]
 
 
 def queries() -> dict:
