@@ -51,7 +51,8 @@ def frequencies(obs: DataFrame, aligned: bool = False) -> DataFrame:
 
 
 def coverage(obs: DataFrame, aligned: bool = False) -> DataFrame:
-    """(estrato, observadas, canais, f1, f2, chao, cobertura); the lower bound is null with fewer than two channels."""
+    """(estrato, observadas, canais, f1, f2, chao, cobertura); the lower bound is null with fewer than two
+    comparable channels, and coverage is those channels' units divided by it."""
     cells = obs.select("estrato", "canal", "unidade").distinct()
     total = cells.groupBy("estrato").agg(F.countDistinct("unidade").alias("observadas"))
     comparable = cells if aligned else cells.filter(~F.col("canal").isin(*SHORT_WINDOW))
@@ -62,8 +63,7 @@ def coverage(obs: DataFrame, aligned: bool = False) -> DataFrame:
     f1, f2, s = (F.col(c).cast("double") for c in ("f1", "f2", "s"))
     chao = F.when(F.col("canais") >= 2, F.when(f2 > 0, s + f1 * f1 / (2 * f2)).otherwise(s + f1 * (f1 - 1) / 2))
     zero = lambda c: F.coalesce(c, F.lit(0)).alias(c)
-    out = j.select("estrato", "observadas", zero("canais"), zero("f1"), zero("f2"), F.round(chao, 6).alias("chao"))
-    return out.withColumn("cobertura", F.round(F.col("observadas") / F.col("chao"), 6))
+    return j.select("estrato", "observadas", zero("canais"), zero("f1"), zero("f2"), F.round(chao, 6).alias("chao"), F.round(F.when(chao > 0, s / chao), 6).alias("cobertura"))
 
 
 def pairs(obs: DataFrame, aligned: bool = False) -> DataFrame:

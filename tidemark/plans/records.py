@@ -284,10 +284,10 @@ fk AS (SELECT estrato, k, count(*) AS n FROM (SELECT estrato, unidade, count(*)
 f AS (SELECT estrato, sum(n) AS s, coalesce(sum(n) FILTER (k = 1), 0) AS f1, coalesce(sum(n) FILTER (k = 2), 0) AS f2 FROM fk GROUP BY 1),
 ch AS (SELECT estrato, count(DISTINCT canal) AS canais FROM comp GROUP BY 1),
 tot AS (SELECT estrato, count(DISTINCT unidade) AS observadas FROM cells GROUP BY 1),
-r AS (SELECT estrato, observadas, coalesce(canais, 0) AS canais, coalesce(f1, 0)::BIGINT AS f1, coalesce(f2, 0)::BIGINT AS f2,
+r AS (SELECT estrato, s, observadas, coalesce(canais, 0) AS canais, coalesce(f1, 0)::BIGINT AS f1, coalesce(f2, 0)::BIGINT AS f2,
   CASE WHEN canais >= 2 THEN round(CASE WHEN f2 > 0 THEN s + f1::DOUBLE * f1 / (2 * f2) ELSE s + f1::DOUBLE * (f1 - 1) / 2 END, 6) END AS chao
   FROM tot LEFT JOIN ch USING (estrato) LEFT JOIN f USING (estrato))
-SELECT *, round(observadas / chao, 6) AS cobertura FROM r"""
+SELECT estrato, observadas, canais, f1, f2, chao, CASE WHEN chao > 0 THEN round(s / chao, 6) END AS cobertura FROM r"""
 _CELLS = "cells AS (SELECT DISTINCT estrato, canal, unidade FROM obs),"
 _ENTRIES = f"""SELECT ord, {_id('url')} AS id, {_unarchived('url')} AS url, {_first('url')} AS dominio, coalesce(f.estrato, 'geral') AS estrato, coalesce(titulo, '') AS titulo,
   coalesce(publicado_em::VARCHAR, '') AS publicado_em, coalesce({_stamp('snapshot')}, '') AS capturado_em, coalesce(snapshot, '') AS snapshot, coalesce(hash_texto, '') AS hash_texto,
