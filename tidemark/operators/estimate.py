@@ -54,16 +54,15 @@ def coverage(obs: DataFrame, aligned: bool = False) -> DataFrame:
     """(estrato, observadas, canais, f1, f2, chao, cobertura); the lower bound is null with fewer than two
     comparable channels, and coverage is those channels' units divided by it."""
     cells = obs.select("estrato", "canal", "unidade").distinct()
-    total = cells.groupBy("estrato").agg(F.countDistinct("unidade").alias("observadas"))
-    comparable = cells if aligned else cells.filter(~F.col("canal").isin(*SHORT_WINDOW))
-    channels = comparable.groupBy("estrato").agg(F.countDistinct("canal").alias("canais"))
-    n_k = lambda k: F.coalesce(F.sum(F.when(F.col("k") == k, F.col("n"))), F.lit(0))
-    f = frequencies(obs, aligned).groupBy("estrato").agg(F.sum("n").alias("s"), n_k(1).alias("f1"), n_k(2).alias("f2"))
-    j = total.join(channels, "estrato", "left").join(f, "estrato", "left")
+    mine = F.lit(True) if aligned else ~F.col("canal").isin(*SHORT_WINDOW)
+    per_unit = cells.groupBy("estrato", "unidade").agg(F.count_if(mine).alias("k"))
+    k = F.col("k")
+    f = per_unit.groupBy("estrato").agg(F.count("*").alias("observadas"), F.count_if(k > 0).alias("s"), F.count_if(k == 1).alias("f1"), F.count_if(k == 2).alias("f2"))
+    channels = obs.filter(mine).select("estrato", "canal").distinct().groupBy("estrato").agg(F.count("*").alias("canais"))
+    j = f.join(channels, "estrato", "left")
     f1, f2, s = (F.col(c).cast("double") for c in ("f1", "f2", "s"))
     chao = F.when(F.col("canais") >= 2, F.when(f2 > 0, s + f1 * f1 / (2 * f2)).otherwise(s + f1 * (f1 - 1) / 2))
-    zero = lambda c: F.coalesce(c, F.lit(0)).alias(c)
-    return j.select("estrato", "observadas", zero("canais"), zero("f1"), zero("f2"), F.round(chao, 6).alias("chao"), F.round(F.when(chao > 0, s / chao), 6).alias("cobertura"))
+    return j.select("estrato", "observadas", F.coalesce("canais", F.lit(0)).alias("canais"), "f1", "f2", F.round(chao, 6).alias("chao"), F.round(F.when(chao > 0, s / chao), 6).alias("cobertura"))
 
 
 def pairs(obs: DataFrame, aligned: bool = False) -> DataFrame:

@@ -50,12 +50,16 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 def spread(df: DataFrame, *cols: str) -> DataFrame:
     """Give a CPU-heavy stage at least one task per core when the scan yields fewer.
 
-    Large inputs already have many splits and are returned untouched, so no shuffle is added at scale.
+    Large inputs already have many splits and are returned untouched, so no shuffle is added at scale. Plans that
+    shuffle are returned untouched too: counting their partitions would run them.
     """
     spark = df.sparkSession
     if cols:
         df = df.select(*cols)
     spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(BATCH_ROWS))
+    plan = df._jdf.queryExecution().optimizedPlan().toString()
+    if any(x in plan for x in ("Join", "Aggregate", "Sort", "Repartition", "Window")):
+        return df
     cores = max(2, spark.sparkContext.defaultParallelism)
     return df.repartition(2 * cores) if df.rdd.getNumPartitions() < cores else df
 
