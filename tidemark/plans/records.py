@@ -7,8 +7,9 @@ from pyspark.sql import functions as F
 
 from tidemark.functions import text as X
 from tidemark.functions import url as U
-from tidemark.operators import catalog, estimate, integrity, runs, slices, state
-from tidemark.session import table
+from tidemark.operators import catalog, estimate, integrity, report, runs, slices, state
+from tidemark.session import scratch, table
+from tidemark.streaming import ingest
 
 SINCE, TODAY = "2010-01-01", "2024-12-09"
 
@@ -231,9 +232,26 @@ def catalog_facets(spark: SparkSession, sf: str) -> DataFrame:
     return catalog.facets(table(spark, sf, "catalogo"))
 
 
+def stream_refs(spark: SparkSession, sf: str) -> DataFrame:
+    """Listed references taken from files by the streaming ingest, each once."""
+    root = scratch(spark, "stream")
+    schema = spark.read.parquet(f"{sf}/itens.parquet").select("fonte", "id_na_fonte", "url", "ord").schema
+    ingest.ingest(spark, f"{sf}/itens.parquet*", root, schema)
+    return spark.read.schema(schema).parquet(f"{root}/refs").select("fonte", "id_na_fonte", "url", "ord")
+
+
+def report_lines(spark: SparkSession, sf: str) -> DataFrame:
+    """The Markdown coverage report, line by line."""
+    obs = _obs(spark, sf).persist()
+    text = report.coverage_report(estimate.coverage(obs), estimate.per_channel(obs), estimate.pairs(obs))
+    lines = [(i, x) for i, x in enumerate(text.split("\n"))]  # as many as strata, channels and pairs
+    return spark.createDataFrame(lines, "linha int, texto string")
+
+
 QUERIES = {
     f.__name__: f
     for f in (
+        stream_refs, report_lines,
         url_forms, domain_counts, registrable_domains, noise_filter, snapshots, small_texts, inverted_index, markup_strip, dates_parsed, stratum_lookup, first_listed, last_hash, to_fetch, state_seen,
         state_pending, window_starts, slice_plan, slice_pending, status_counts, run_summary, report_sections, corpus_paths, sighting_counts, channel_units, unit_frequencies, coverage, coverage_aligned,
         channel_pairs, accumulation_curve, catalog_entries, catalog_upsert, catalog_complete, catalog_migrate, catalog_search, catalog_newest, catalog_tiles, catalog_facets,
@@ -317,6 +335,7 @@ SQL = {
     "dates_parsed": "SELECT ord, publicado_em AS rfc822, publicado_em AS rfc3339, publicado_em AS compacta, publicado_em AS iso, date_trunc('month', publicado_em)::DATE AS partes, strftime(publicado_em, '%Y%m%d') || '180000' AS momento FROM openalex_listagem WHERE publicado_em IS NOT NULL",
     "stratum_lookup": "SELECT coalesce(estrato, 'geral') AS estrato, count(*) AS n FROM itens LEFT JOIN (SELECT fonte, estrato FROM fontes) USING (fonte) GROUP BY 1",
     "first_listed": "SELECT fonte, id_na_fonte, min(ord) AS ord, arg_min(url, ord) AS url FROM itens GROUP BY 1, 2",
+    "stream_refs": "SELECT fonte, id_na_fonte, arg_min(url, ord) AS url, min(ord) AS ord FROM itens GROUP BY 1, 2",
     "last_hash": "SELECT fonte, id_na_fonte, arg_max(hash_texto, ord) AS hash_texto FROM itens WHERE hash_texto IS NOT NULL GROUP BY 1, 2",
     "to_fetch": f"""WITH seen AS (SELECT fonte, id_na_fonte FROM itens WHERE {_SPLIT.format(op='<')} AND situacao IN ('triado', 'bloqueado_robots')),
 refs AS (SELECT fonte, id_na_fonte, url, ord, 0 AS o FROM itens WHERE {_SPLIT.format(op='>=')} UNION ALL

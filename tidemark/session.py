@@ -2,12 +2,15 @@
 
 from __future__ import annotations
 
+import atexit
+import contextlib
 import tempfile
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+_ROOTS: set[str] = set()
 #: Rows of one Arrow batch; long texts make larger batches a memory risk for Python workers.
 BATCH_ROWS = 1024
 
@@ -24,8 +27,17 @@ def shared_dir(spark: SparkSession) -> str:
 
 
 def scratch(spark: SparkSession, name: str) -> str:
-    """A fresh path below the shared folder."""
-    return f"{shared_dir(spark)}/tidemark/{name}-{uuid.uuid4().hex}"
+    """A fresh path below the application's own part of the shared folder, which goes when the driver ends."""
+    root = f"{shared_dir(spark)}/tidemark/{spark.sparkContext.applicationId}"
+    if root not in _ROOTS:
+        _ROOTS.add(root)
+        atexit.register(_forget, spark, root)
+    return f"{root}/{name}-{uuid.uuid4().hex}"
+
+
+def _forget(spark: SparkSession, root: str) -> None:
+    with contextlib.suppress(Exception):  # the JVM may be gone before
+        drop_path(spark, root)
 
 
 def durable(df: DataFrame, name: str) -> DataFrame:
@@ -64,22 +76,22 @@ def spread(df: DataFrame, *cols: str) -> DataFrame:
     return df.repartition(2 * cores) if df.rdd.getNumPartitions() < cores else df
 
 
-def hash_sample(df: DataFrame, key: str, limit: int) -> DataFrame:
+def hash_sample(df: DataFrame, key: str, limit: int, total: int | None = None) -> DataFrame:
     """At most `limit` rows, the first in the order of a hash of their key: the same rows however df is partitioned.
 
-    Only rows below a hash bound that keeps about twice the limit take part in the sort, so the tasks together send
-    the driver little more than the sample, whatever the size of df.
+    total: rows of the table that df filters, known from its files' footers; without it df is counted. Only rows below a hash bound that keeps
+    four times the limit of that table take part in the sort, so the tasks together send the driver a small multiple of
+    the sample, whatever the size of df; fewer rows than the limit come out where a filter keeps less than a quarter.
     """
-    n = df.count()
     h = F.xxhash64(key)
-    if n > 2 * limit:
-        df = df.filter(F.pmod(h, F.lit(1 << 30)) < int((1 << 30) * min(1.0, (2 * limit + 100) / n)))
+    total = df.count() if total is None else total
+    if total > 4 * limit:
+        df = df.filter(F.pmod(h, F.lit(1 << 30)) < int((1 << 30) * min(1.0, (4 * limit + 100) / total)))
     return df.orderBy(F.pmod(h, F.lit(1 << 30)), key).limit(limit)
 
 
 def ship(spark: SparkSession) -> SparkSession:
     """Make this package importable in the session's Python workers, wherever they run."""
-    import atexit
     import shutil
     from pathlib import Path
 
