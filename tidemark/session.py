@@ -76,17 +76,17 @@ def spread(df: DataFrame, *cols: str) -> DataFrame:
     return df.repartition(2 * cores) if df.rdd.getNumPartitions() < cores else df
 
 
-def hash_sample(df: DataFrame, key: str, limit: int, total: int | None = None) -> DataFrame:
+def hash_sample(df: DataFrame, key: str, limit: int, total: int | None = None, slack: float = 4) -> DataFrame:
     """At most `limit` rows, the first in the order of a hash of their key: the same rows however df is partitioned.
 
     total: rows of the table that df filters, known from its files' footers; without it df is counted. Only rows below a hash bound that keeps
-    four times the limit of that table take part in the sort, so the tasks together send the driver a small multiple of
-    the sample, whatever the size of df; fewer rows than the limit come out where a filter keeps less than a quarter.
+    `slack` times the limit of that table take part in the sort, so the tasks together send the driver a small multiple
+    of the sample, whatever the size of df; fewer rows than the limit come out where a filter keeps under 1 / slack.
     """
     h = F.xxhash64(key)
     total = df.count() if total is None else total
-    if total > 4 * limit:
-        df = df.filter(F.pmod(h, F.lit(1 << 30)) < int((1 << 30) * min(1.0, (4 * limit + 100) / total)))
+    if total > slack * limit:
+        df = df.filter(F.pmod(h, F.lit(1 << 30)) < int((1 << 30) * min(1.0, (slack * limit + 100) / total)))
     return df.orderBy(F.pmod(h, F.lit(1 << 30)), key).limit(limit)
 
 
