@@ -182,7 +182,7 @@ def languages(stretches: list[tuple[int, int, int, float]]) -> dict[str, float]:
 def train(rows: DataFrame, text: str, label: str, key: str) -> Classifier:
     """Fit on at most TRAIN_ROWS rows with a known label, in the order of a hash of their key."""
     known = rows.select(key, F.col(text).alias("t"), known_label(F.col(label)).alias("l")).filter("t is not null and l is not null")
-    sample = hash_sample(known, key, TRAIN_ROWS).collect()  # bounded by TRAIN_ROWS
+    sample = hash_sample(known, key, TRAIN_ROWS, rows.count(), slack=1.5).collect()  # bounded by TRAIN_ROWS
     return Classifier.fit([r.t for r in sample], np.array([LANGUAGES.index(r.l) for r in sample], int))
 
 
