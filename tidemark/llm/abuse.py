@@ -340,7 +340,7 @@ def labelled(docs: DataFrame, labels: DataFrame) -> DataFrame:
 def score(docs: DataFrame, labels: DataFrame) -> DataFrame:
     """(doc_id, source, score, rate, evidence): every document, null texts included."""
     idf = idf_of([(r.bucket, r.n) for r in frequencies(docs, "text").collect()])  # at most 2 ** BITS rows
-    sample = hash_sample(labelled(docs, labels), "doc_id", LABELLED, labels.count()).collect()  # bounded by LABELLED
+    sample = hash_sample(labelled(docs, labels), "doc_id", LABELLED, labels.count(), slack=1.5).collect()  # bounded by LABELLED
     index, levels = fit([r.text for r in sample], [r.abusivo for r in sample], idf)
     at, rates = np.array([s for s, _ in levels] or [0.0]), np.array([r for _, r in levels] or [0.0])
     shared = docs.sparkSession.sparkContext.broadcast(index)  # bounded by LABELLED
