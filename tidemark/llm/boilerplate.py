@@ -265,7 +265,7 @@ def weak_labels(places: list[tuple[str, bool] | None]) -> list[int | None]:
 def train(docs: DataFrame) -> Classifier:
     """Fit on at most TRAIN_DOCS pages in the order of a hash of their key."""
     pages = docs.filter(F.col("bruto").isNotNull() & F.col("texto").isNotNull() & (F.length("texto") <= TRAIN_CHARS) & (F.length("bruto") <= 4 * TRAIN_CHARS))
-    rows = hash_sample(pages.select("ord", "texto", "bruto", "titulo"), "ord", TRAIN_DOCS, docs.count()).collect()  # bounded by both limits
+    rows = hash_sample(pages.select("ord", "texto", "bruto", "titulo"), "ord", TRAIN_DOCS, docs.count(), slack=3).collect()  # bounded by both limits
     return fit_pages([(r.texto, bytes(r.bruto), r.titulo) for r in rows])
 
 
