@@ -339,6 +339,21 @@ def test_scores(spark):
     assert all(x.score == 0 for x in abuse.score(d.limit(5), r.limit(0)).collect()) and abuse.score(d.limit(0), r).count() == 0
 
 
+def test_one_word_passages_are_scored_and_site_names_are_not_examples(spark):
+    rng = random.Random(8)
+    plain = lambda: f"O tribunal de {rng.choice(TOWNS)} recusou o pedido {rng.randint(1, 99)}. A comissão ouviu {rng.choice(TOWNS)}."
+    threat = lambda: rng.choice(["Morra.", "Morra, verme nojento.", "Esse relator é um verme nojento!"])
+    docs = [(i, plain() + (" " + threat() if i % 5 == 0 else ""), "s") for i in range(200)]
+    # by chance the labelled documents of one site are abusive; many more of it are not labelled
+    docs += [(i, plain() + (" " + threat() if i < 303 else "") + " © 1989 Muralaberto.", "s") for i in range(300, 400)]
+    docs += [(1000, plain() + " dranegozo79: Morra.", "s"), (1001, "MORRA!", "s"), (1002, "© 1989 Muralaberto.", "s"), (1003, "63", "s"), (1004, "Serra.", "s")]
+    labels = [(i, int(i % 5 == 0), "a") for i in range(200)] + [(i, 1, "a") for i in range(300, 303)]
+    d, r = spark.createDataFrame(docs, "doc_id long, text string, source string"), spark.createDataFrame(labels, "doc_id long, abusivo int, anotador string")
+    got = {x.doc_id: x for x in abuse.score(d, r).collect()}
+    assert {i for i, x in got.items() if x.score >= abuse.FOUND} == {i for i in range(200) if i % 5 == 0} | {300, 301, 302, 1000, 1001}
+    assert got[1000].evidence == "Morra."
+
+
 def test_every_query_is_registered_whole():
     from tidemark.llm.queries import QUERIES
 

@@ -5,7 +5,8 @@ the inverse document frequencies come from the passages of all documents. Words
 written as digits, letters drawn out or spaced out. Examples are the passages of at most LABELLED labelled documents.
 
 A positive document's ordinary passages are no examples of abuse: those whose weight lies mostly on words that are no
-more usual in positive documents than elsewhere are left out. The examples stand in an inverted index in blocks, with
+more usual in positive documents than elsewhere are left out, by the labels and by how much of what all documents hold
+of these words stands in labelled positive ones: a site's name is met far more often outside. The examples stand in an inverted index in blocks, with
 the greatest weight of each word in each block. The same bound over all positive examples as one block shows which
 passages can't come within NEAR of any of them; the rest get their K nearest examples, exactly, by opening blocks in
 the order of their bounds until no closed block can hold a nearer one. Votes weigh with the POWER of the cosine, and
@@ -40,8 +41,8 @@ NEAR = 0.45
 #: Share of abusive documents a passage of a positive document needs, by weight of its words, to be an example.
 PURE = 0.4
 BLOCK = 64
-#: Words besides numbers that a passage needs: a name or a site alone says nothing.
-LEAST_WORDS = 2
+#: Least part of the median example's share of its words' occurrences in all documents that stands in positive ones.
+HELD = 0.2
 #: Score from which a document counts as found.
 FOUND = 0.5
 MEMO = 400_000
@@ -270,7 +271,6 @@ class Index:
         if not p.count or not self.n_pos:
             return out
         bound = np.bincount(p.passage, w * self.most[p.bucket], p.count)
-        bound[np.bincount(p.passage, (p.bucket != NUMBER), p.count) < LEAST_WORDS] = 0
         maybe = np.nonzero(bound >= NEAR)[0]
         for lo in range(0, len(maybe), 1024):
             part = maybe[lo : lo + 1024]
@@ -301,12 +301,16 @@ def fit(texts: list[str], labels: list[int], idf: np.ndarray) -> tuple[Index, li
     seen = pos[p.bucket] - (abusive == 1)
     rate = (seen + 2 * prior) / (seen + neg[p.bucket] + 2)
     purity = np.bincount(p.passage, w * w * rate, p.count)
+    # in proportion to the share of a word's passages in all documents that positive ones explain: exp(idf) goes as 1 / n
+    held = np.bincount(p.passage, w * w * pos[p.bucket] * np.exp(idf[p.bucket]), p.count)
+    pure = (p.size > 0) & (y[p.owner] == 1) & (purity >= PURE) if p.count else np.empty(0, bool)
+    pure[pure] = held[pure] >= HELD * np.median(held[pure]) if pure.any() else False
     rows: dict[bytes, list] = {}
     for j in range(p.count):
         if not p.size[j]:
             continue
         bad = y[p.owner[j]] == 1
-        if bad and purity[j] < PURE:
+        if bad and not pure[j]:
             continue
         lo, hi = p.first[j], p.first[j] + p.size[j]
         r = rows.setdefault(p.bucket[lo:hi].tobytes() + p.tf[lo:hi].tobytes(), [p.bucket[lo:hi], w[lo:hi], 0, 0])
