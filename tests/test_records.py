@@ -117,6 +117,27 @@ def test_changed_records_against_loop(spark):
     assert I.ingest(listing.limit(0), s).count() == 0
 
 
+def test_later_calls_on_one_root_add_only_changes(spark, tmp_path):
+    rng = random.Random(5)
+    rows = [(o, f"r{rng.randint(1, 7)}", rng.choice("abcdef"), None, rng.choice(["x", "y", None])) for o in range(90)]
+    saves = [(3, "r1", {"a": "x", "b": None}), (5, "r2", {"a": "y", "c": "x"})]
+    rows += [(100 + k, r, "same", None, "x") for k, r in enumerate(("r3", "r5", "r6"))]
+    save = lambda s: spark.createDataFrame(s, "gravacao int, rodada string, vistos map<string,string>")
+    key = lambda df: sorted((r.rodada, r.id_na_fonte, r.hash_texto or "") for r in df.collect())
+    upto = lambda n: _listing(spark, [r for r in rows if r[1] <= n])
+    whole, root = key(I.ingest(upto("r6"), save(saves))), f"file://{tmp_path}/kept"
+    assert key(I.ingest(upto("r4"), save(saves), root)) == [r for r in whole if r[0] <= "r4"]
+    assert key(I.ingest(upto("r5"), save(saves), root)) == [r for r in whole if r[0] <= "r5"]
+    assert key(I.ingest(upto("r6"), save(saves), root)) == whole == key(I.ingest(upto("r6"), save(saves), root))
+    # a run listed anew with one more record gives just that one
+    more = _listing(spark, [r for r in rows if r[1] <= "r6"] + [(200, "r5", "late", None, "x")])
+    assert key(I.ingest(more, save(saves), root)) == sorted([*whole, ("r5", "late", "x")])
+    # a run saved meanwhile isn't due, and its versions come after those of earlier batches
+    saves += [(9, "r7", {"same": "z", "a": "w"})]
+    last = _listing(spark, [r for r in rows if r[1] <= "r7"] + [(200, "r5", "late", None, "x"), (300, "r8", "same", None, "z"), (301, "r8", "a", None, "x"), (302, "r8", "late", None, "x")])
+    assert key(I.ingest(last, save(saves), root)) == sorted([*whole, ("r5", "late", "x"), ("r8", "a", "x")])
+
+
 def test_manifest_survives_a_broken_run(spark, tmp_path):
     m = I.Manifest(spark, f"file://{tmp_path}/m")
     units = lambda *u: spark.createDataFrame([(x, 1, "c") for x in u], I.UNIT_SCHEMA)
