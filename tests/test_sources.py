@@ -126,6 +126,41 @@ def test_config_and_cli(tmp_path, capsys):
     assert cli.main(["validar-lexico", str(tmp_path / "none.json")]) == 2
 
 
+def test_run_retries_pending_and_lists_from_the_last_whole_run(spark, tmp_path):
+    from datetime import date, timedelta
+
+    days = lambda n: str(date.today() - timedelta(days=n))
+    feed = lambda *urls: "<rss><channel>" + "".join(f"<item><guid>{u}</guid><link>{u}</link><title>T {u[-1]}</title></item>" for u in urls) + "</channel></rss>"
+    put = lambda url, body: (tmp_path / reader.replay_name(url)).write_bytes(body.encode())
+    sources = [{"id": f"rss:{n}", "tipo": "rss", "url": f"http://{n}.example/feed", "estrato": "imprensa", "limite_por_minuto": 6000} for n in "ab"]
+    sources[1]["margem_dias"] = 5
+    (tmp_path / "c.json").write_text(json.dumps({"lexico": "l.json", "fontes": sources}))
+    (tmp_path / "l.json").write_text(json.dumps({"id": "a", "versao": "1", "termos": [{"chave": "x", "formas": ["y"]}]}))
+    state_dir, out = tmp_path / "dados" / "estado", tmp_path / "dados" / "saidas"
+
+    def rodar(*more):
+        before = set(out.glob("*"))
+        cli.main(["rodar", "--config", str(tmp_path / "c.json"), "--replay", str(tmp_path), *more])
+        (new,) = set(out.glob("*")) - before
+        got = spark.read.schema("id_na_fonte string, situacao string, titulo string").json(str(new / "itens.jsonl")).collect()
+        return json.loads((new / "rodada.json").read_text())["desde"], {r.id_na_fonte[-1]: (r.situacao, r.titulo) for r in got}
+
+    put("http://a.example/feed", feed("http://a.example/1"))
+    since, items = rodar()  # the page is missing, and so is the feed of b
+    assert since == {"rss:a": days(7), "rss:b": days(7)} and items == {"1": ("falha_captura", "T 1")}
+    assert json.loads((state_dir / "marcas.json").read_text()) == {"rss:a": days(0)}
+    put("http://a.example/feed", feed())  # no longer listed
+    put("http://b.example/feed", feed())
+    (state_dir / "marcas.json").write_text(json.dumps({"rss:a": days(30), "rss:b": days(20)}))
+    since, items = rodar("--fonte", "rss:b")
+    assert since == {"rss:b": days(25)} and items == {}
+    put("http://a.example/1", "<html><body><p>" + "palavra " * 80 + "</p></body></html>")
+    since, items = rodar()
+    assert since == {"rss:a": days(32), "rss:b": days(5)} and items == {"1": ("triado", "T 1")}
+    since, items = rodar("--desde", "2024-01-01")
+    assert set(since.values()) == {"2024-01-01"} and items == {} and cli._pending(spark, state_dir / "pending").isEmpty()
+
+
 def test_streaming_ingest(spark, tmp_path):
     from tidemark.streaming import ingest as S
 

@@ -7,6 +7,7 @@ from __future__ import annotations
 
 import argparse
 import json
+import os
 import sys
 from datetime import UTC, date, datetime
 from pathlib import Path
@@ -78,8 +79,55 @@ def _listed(spark, source: dict, since: date, today: date, replay: str | None):
     return refs, pages.filter(F.col("erro").isNotNull())
 
 
+#: What a pending reference keeps besides its state, to be fetched outside the window.
+PENDING_KEEP = ("titulo", "publicado_em", "ord")
+PENDING = "fonte string, id_na_fonte string, url string, extra map<string,string>, motivo string, tentativas int, titulo string, publicado_em date, ord long"
+
+
+def _pending(spark, root: Path):
+    """References that failed in earlier runs, as the last run that got as far left them."""
+    runs = sorted(p for p in root.glob("run=*") if (p / "_SUCCESS").exists())
+    return spark.read.schema(PENDING).parquet(str(runs[-1])) if runs else spark.createDataFrame([], PENDING)
+
+
+def _watermarks(path: Path) -> dict[str, date]:
+    """Day of each source's last run whose listing ended whole."""
+    return {k: date.fromisoformat(v) for k, v in json.loads(path.read_text(encoding="utf-8")).items()} if path.exists() else {}
+
+
+def _starts(spark, wanted: list[dict], explicit: date | None, last: dict[str, date], cfg: C.Config, today: date) -> dict[str, date]:
+    """First day of each source's window; a source's own margin goes before the configured one."""
+    from pyspark.sql import functions as F
+
+    from tidemark.operators import state
+
+    day = lambda d: F.lit(d).cast("date")
+    rows = [(s["id"], last.get(s["id"]), int(s.get("margem_dias", cfg.margin_days))) for s in wanted]
+    start = state.window_start(day(explicit), F.col("ultima"), F.col("margem"), day(cfg.since), day(today))
+    return {r.fonte: r.inicio for r in spark.createDataFrame(rows, "fonte string, ultima date, margem int").select("fonte", start.alias("inicio")).collect()}  # one row per source
+
+
+def _advance(spark, path: Path, wanted: list[dict], last: dict[str, date], failed: list[str], today: date) -> None:
+    from pyspark.sql import functions as F
+
+    from tidemark.operators import state
+
+    rows = [(s["id"], last.get(s["id"]), s["id"] in failed) for s in wanted]
+    mark = state.next_watermark(F.col("ultima"), F.col("falhou"), F.lit(False), F.lit(today).cast("date"))
+    got = spark.createDataFrame(rows, "fonte string, ultima date, falhou boolean").select("fonte", mark.alias("marca")).collect()  # one row per source
+    now = last | {r.fonte: r.marca for r in got if r.marca}
+    path.parent.mkdir(parents=True, exist_ok=True)
+    part = path.with_suffix(".part")
+    part.write_text(json.dumps({k: str(v) for k, v in sorted(now.items())}), encoding="utf-8")
+    os.replace(part, path)
+
+
 def run(args) -> int:
-    """List, fetch, check, grade and publish; state moves on per source."""
+    """List, fetch, check, grade and publish; state moves on per source.
+
+    Each source is listed from its own last whole run less its margin. What failed is pending and fetched again in every
+    run, listed or not. The watermarks are written last, so a run that breaks off is listed again.
+    """
     from pyspark.sql import functions as F
 
     from tidemark.operators import catalog, estimate, pipeline, runs, state
@@ -92,16 +140,19 @@ def run(args) -> int:
     wanted = [s for s in cfg.sources if not args.fonte or s["id"] in args.fonte]
     if not wanted:
         raise ValueError("no such source")
-    since = date.fromisoformat(args.desde) if args.desde else cfg.since or date.fromordinal(today.toordinal() - state.DEFAULT_DAYS)
-    seen_path = cfg.root / "estado" / "seen"
+    seen_path, pending_path, mark_path = (cfg.root / "estado" / n for n in ("seen", "pending", "marcas.json"))
+    last = {} if args.sem_estado else _watermarks(mark_path)
+    since = _starts(spark, wanted, date.fromisoformat(args.desde) if args.desde else None, last, cfg, today)
+    pending = spark.createDataFrame([], PENDING) if args.sem_estado else _pending(spark, pending_path)
     seen = spark.read.parquet(str(seen_path)) if seen_path.exists() and not args.sem_estado else spark.createDataFrame([], "fonte string, id_na_fonte string, hash_texto string, rodada string")
     refs, failed = None, []
     for s in wanted:
-        got, errors = _listed(spark, s, since, today, args.replay)
+        got, errors = _listed(spark, s, since[s["id"]], today, args.replay)
         refs = got.select(*REFERENCE) if refs is None else refs.unionByName(got.select(*REFERENCE))
         if errors is not None and not errors.isEmpty():
             failed.append(s["id"])
-    todo = state.to_fetch(refs, None, seen).persist()
+    due = pending.filter(F.col("fonte").isin(*(s["id"] for s in wanted))).withColumnRenamed("extra", "dados").select(*REFERENCE)
+    todo = state.to_fetch(refs, due, seen).persist()
     pages = fetch(todo.filter(~F.split_part("fonte", F.lit(":"), F.lit(1)).isin(*pipeline.METADATA_CHANNELS)), replay=args.replay, robots=not args.replay)
     items = pipeline.run_items(todo, pages, lex, name).persist()
     out = cfg.root / "saidas" / f"{name}-rodar"
@@ -116,9 +167,12 @@ def run(args) -> int:
         catalog.upsert(old, fresh).select(*catalog.COLUMNS).write.mode("overwrite").parquet(str(path / f"run={name}"))
     if not args.sem_estado:
         none = spark.createDataFrame([], "fonte string, id_na_fonte string, hash_texto string")
+        kept = state.next_pending(pending, items.withColumn("extra", F.col("dados")), PENDING_KEEP)
+        kept.write.mode("overwrite").parquet(str(pending_path / f"run={name}"))
         state.next_seen(none, items).withColumn("rodada", F.lit(name)).write.mode("append").parquet(str(seen_path))
+        _advance(spark, mark_path, wanted, last, failed, today)
     code = 2 if failed else 3 if not items.filter("nivel >= 2").isEmpty() else 0
-    (out / "rodada.json").write_text(json.dumps({"id": name, "falhas": failed, "codigo": code, "desde": str(since)}), encoding="utf-8")
+    (out / "rodada.json").write_text(json.dumps({"id": name, "falhas": failed, "codigo": code, "desde": {k: str(v) for k, v in since.items()}}), encoding="utf-8")
     print(f"{name}: {items.count()} itens")
     return code
 

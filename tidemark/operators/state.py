@@ -61,15 +61,15 @@ def next_seen(seen: DataFrame, items: DataFrame) -> DataFrame:
     return j.select("fonte", "id_na_fonte", F.coalesce("_new", "hash_texto").alias("hash_texto"))
 
 
-def next_pending(pending: DataFrame, items: DataFrame) -> DataFrame:
+def next_pending(pending: DataFrame, items: DataFrame, keep: tuple[str, ...] = ()) -> DataFrame:
     """pending (fonte, id_na_fonte, url, extra, motivo, tentativas) after a run: failures counted up, settled items gone.
 
-    Extra data above EXTRA_LIMIT characters as JSON are dropped, as the item can be fetched again by its address.
+    keep: more columns of both tables that a reference needs to be fetched again. Extra data above EXTRA_LIMIT characters as JSON are dropped, as the item can be fetched again by its address.
     """
     key = ["fonte", "id_na_fonte"]
-    last = items.groupBy(*key).agg(F.max_by(F.struct("situacao", "url", "extra"), "ord").alias("_l"))
+    last = items.groupBy(*key).agg(F.max_by(F.struct("situacao", "url", "extra", *keep), "ord").alias("_l"))
     extra = F.when(F.length(F.to_json("_l.extra")) <= EXTRA_LIMIT, F.col("_l.extra"))
-    j = pending.select(*key, F.col("url").alias("_u"), F.col("extra").alias("_e"), F.col("motivo").alias("_m"), F.col("tentativas").alias("_n")).join(last, key, "full")
+    j = pending.select(*key, F.col("url").alias("_u"), F.col("extra").alias("_e"), F.col("motivo").alias("_m"), F.col("tentativas").alias("_n"), *(F.col(c).alias(f"_k_{c}") for c in keep)).join(last, key, "full")
     again = F.col("_l.situacao").isin(FAILED, REJECTED)
     kept = j.filter(F.col("_l").isNull() | again)
     return kept.select(
@@ -78,4 +78,5 @@ def next_pending(pending: DataFrame, items: DataFrame) -> DataFrame:
         F.when(again, extra).otherwise(F.col("_e")).alias("extra"),
         F.when(again, F.col("_l.situacao")).otherwise(F.col("_m")).alias("motivo"),
         (F.coalesce("_n", F.lit(0)) + F.when(again, 1).otherwise(0)).alias("tentativas"),
+        *(F.when(again, F.col(f"_l.{c}")).otherwise(F.col(f"_k_{c}")).alias(c) for c in keep),
     )
