@@ -109,3 +109,22 @@ def test_identity_is_shared_by_spellings(spark):
     ids = {one(spark, U.identity(F.lit(u))) for u in (a, b)}
     assert len(ids) == 1 and len(ids.pop()) == 16
     assert one(spark, U.domain(F.lit(b))) == "g.example" and one(spark, U.registrable(F.lit("x.y.com.br"))) == "y.com.br"
+
+
+def test_headings_of_all_pages(spark, tmp_path):
+    from tidemark.plans import texts
+
+    pages = {
+        "Massacre na ilha": ("<h1>Massacre na ilha</h1>".encode(), None),
+        "Réus & juíza": ("<h1>Réus &amp; ju&iacute;za</h1>".encode(), "text/html; charset=utf-8"),
+        "Colônia “Penal”": ("<H1 class='x'>Colônia <b>“Penal”</b></H1>".encode("cp1252"), "text/html; charset=iso-8859-1"),
+        "Ação": ("<meta charset='latin-1'><h1>\n Ação\n</h1>".encode("latin-1"), None),
+        "Prisão": ("<h1>Prisão</h1>".encode("utf-16"), None),
+        "Anúncio": ("<p>a &amp; b</p><h1>An\u00fancio</h1>".encode("utf-8-sig"), "text/html"),
+    }
+    rows = [(i, *v) for i, v in enumerate(pages.values())]
+    rows += [(10, b"<p>sem</p>", None), (11, None, None), (12, b"<h1> &nbsp; </h1>", None), (13, b"<nav><h1>menu</h1></nav>", None), (14, b"", None)]
+    data = [(o, b, {"content-type": c} if c else None) for o, b, c in rows]
+    spark.createDataFrame(data, "ord int, bruto binary, cabecalhos map<string,string>").write.parquet(str(tmp_path / "documento.parquet"))
+    got = {r.ord: r.h1 for r in texts.QUERIES["page_headings"](spark, str(tmp_path)).collect()}
+    assert got == dict(enumerate(pages))

@@ -104,13 +104,23 @@ def page_texts(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def page_headlines(spark: SparkSession, sf: str) -> DataFrame:
-    """First-level headings in pages that are plain UTF-8 without character references."""
+    """First-level headings in pages that are plain UTF-8 without character references, as its SQL can read no others.
+
+    `page_headings` has those of all pages.
+    """
     d = documents(spark, sf, "ord", "bruto").filter("is_valid_utf8(cast(bruto as string)) and not contains(cast(bruto as string), '&')")
     p = d.select("ord", X.page(F.col("bruto").cast("string")).alias("p"))
     return p.select("ord", F.col("p.h1").alias("h1")).filter("h1 is not null")
 
 
-QUERIES = {f.__name__: f for f in (triage_counts, triage_levels, triage_snippets, facet_counts, folded_text, dedupe_by_hash, tidied_text, term_presence, term_counts, span_positions, integrity_check, decoded_pages, page_texts, page_headlines)}
+def page_headings(spark: SparkSession, sf: str) -> DataFrame:
+    """First-level headings of all stored pages, whatever their encoding and character references."""
+    d = documents(spark, sf, "ord", "bruto", "cabecalhos").filter("bruto is not null")
+    p = d.select("ord", X.page(X.decode("bruto", F.col("cabecalhos")["content-type"])["text"]).alias("p"))
+    return p.select("ord", F.explode(F.array("p.h1")).alias("h1")).filter("h1 is not null")
+
+
+QUERIES = {f.__name__: f for f in (triage_counts, triage_levels, triage_snippets, facet_counts, folded_text, dedupe_by_hash, tidied_text, term_presence, term_counts, span_positions, integrity_check, decoded_pages, page_texts, page_headlines, page_headings)}
 
 
 def _forms(forms: tuple[str, ...]) -> str:
