@@ -257,6 +257,26 @@ def test_furniture(spark):
     assert boilerplate.furniture(df.limit(0)).count() == 0
 
 
+def test_long_furniture_lines_are_told_by_their_words():
+    rng = random.Random(3)
+    para = lambda: "A comissão publicou o relatório e " + " ".join(rng.choices(WORDS, k=45)) + "."
+    note = lambda: " ".join(rng.choices(WORDS, k=35)) + " usamos cookies para medir a audiência e guardamos dados com parceiros."
+
+    def page(with_page):
+        lines = [para() for _ in range(6)]
+        at = rng.randrange(6)
+        lines[at] = note()
+        assert all(len(x) >= 200 for x in lines)
+        html = "<body>" + "".join(f"<ul><li><a href='/x'>{x}</a></li></ul>" if i == at else f"<p>{x}</p>" for i, x in enumerate(lines)) + "</body>"
+        return "\n".join(lines), html.encode() if with_page else None, None, at
+
+    model = boilerplate.fit_pages([page(True)[:3] for _ in range(150)])
+    for _ in range(40):
+        text_, _, _, at = page(False)
+        _, cut, _ = boilerplate.label(text_, None, None, "rss:a", model.odds)
+        assert cut == [i == at for i in range(6)]
+
+
 # -- problem 8 --
 
 

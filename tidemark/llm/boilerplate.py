@@ -34,6 +34,8 @@ TRAIN_DOCS, TRAIN_CHARS = 2500, 20_000
 #: Log odds beyond which the first fit corrects the weak label of a loose element.
 SURE = 0.5
 BITS = 16
+#: Words of a line up to which each counts in full.
+FULL = 24
 ADJACENT, ALIKE, REACH = 0.2, 0.3, 3
 #: Sources whose records carry title, abstract, kind and venue with no page around them.
 METADATA = ("openalex:", "crossref:", "ia:")
@@ -117,14 +119,21 @@ def _ending(line: str) -> str:
     return "." if c in ".!?…" or (c in "”\"»’)" and len(line) > 1 and line[-2] in ".!?…") else "q" if c in "”\"»" else "0" if c.isdigit() else ":" if c == ":" else "a"
 
 
-def features(lines: list[str], title: str | None) -> list[list[int]]:
-    """Hashed features of each line of a text."""
+#: A row of features: their buckets, how many of them at the end are words and pairs, and the weight of each of those.
+Row = tuple[list[int], int, float]
+
+
+def features(lines: list[str], title: str | None) -> list[Row]:
+    """Hashed features of each line of a text: shape, place, neighbours, and all of its words and pairs of words.
+
+    Beyond FULL words these weigh less, so that a long line's words have the same length as a vector.
+    """
     shape = [f"{_size(len(x))}{_ending(x)}" for x in lines]
     key = _KEY.sub("", title).lower() if title else ""
     n, out = len(lines), []
     for i, line in enumerate(lines):
         before, after = (shape[i - 1] if i else "^"), (shape[i + 1] if i + 1 < n else "$")
-        low = line[:200].lower()
+        low = line.lower()
         colon = low.find(":", 0, 26)  # what stands before an early colon says what the line is
         words = _WORD.findall(low[:colon] if colon > 0 else low)
         words = ["#" if w.isdigit() else w for w in words]
@@ -133,16 +142,27 @@ def features(lines: list[str], title: str | None) -> list[list[int]]:
         s = shape[i]
         f = [f"s{s}", f"b{bars}{s}", f"t{same}", f"p{min(i, 5)}", f"e{min(n - 1 - i, 7)}", f"ps{min(i, 3)}{s}{same}", f"x{before}{s}", f"y{s}{after}", f"z{before}{s}{after}", f"n{min(len(words), 20)}{s[-1]}"]
         if len(line) < 160:
-            f += [f"w{w}" for w in words[:24]]
-            f += [f"v{a} {b}" for a, b in zip(words[:6], words[1:7])]
             f.append("l" + " ".join(words[:3]))
             f.append("L" + " ".join(words))
             if colon > 0:
                 f.append("c" + low[:colon].strip())
-        out.append([crc32(x.encode()) & _MASK for x in f])
+        elif colon > 0:
+            words = ["#" if w.isdigit() else w for w in _WORD.findall(low)]
+        first = len(f)
+        f += [f"w{w}" for w in words]
+        f += [f"v{a} {b}" for a, b in zip(words, words[1:])]
+        out.append(([crc32(x.encode()) & _MASK for x in f], len(f) - first, min(1.0, (FULL / max(1, len(words))) ** 0.5)))
     return out
 
 
+def _flat(rows: list[Row]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(sizes, buckets, weights) of rows of features, end to end."""
+    sizes = np.fromiter((len(r[0]) for r in rows), int, len(rows))
+    flat = np.fromiter((x for r in rows for x in r[0]), int, int(sizes.sum()))
+    tail = np.stack((sizes - [r[1] for r in rows], [r[1] for r in rows]), 1).reshape(-1)
+    return sizes, flat, np.repeat(np.stack((np.ones(len(rows)), [r[2] for r in rows]), 1).reshape(-1), tail)
+
+
 class Classifier:
     """Logistic regression with Adagrad over hashed features."""
 
@@ -150,34 +170,33 @@ class Classifier:
         self.weights = weights
 
     @staticmethod
-    def fit(rows: list[list[int]], labels: np.ndarray, epochs: int = 6, rate: float = 0.3, block: int = 256) -> Classifier:
+    def fit(rows: list[Row], labels: np.ndarray, epochs: int = 6, rate: float = 0.3, block: int = 256) -> Classifier:
         w, g = np.zeros(1 << BITS), np.full(1 << BITS, 1e-6)
         if not rows:
             return Classifier(w.astype(np.float32))
-        sizes = np.array([len(r) for r in rows])
-        flat = np.concatenate([np.array(r) for r in rows])
+        sizes, flat, value = _flat(rows)
         first = np.cumsum(sizes) - sizes
         rng = np.random.default_rng(7)
         for _ in range(epochs):
             order = rng.permutation(len(rows))
             for lo in range(0, len(order), block):
                 part = order[lo : lo + block]
-                at = np.concatenate([flat[first[i] : first[i] + sizes[i]] for i in part])
                 own = np.repeat(np.arange(len(part)), sizes[part])
-                z = np.bincount(own, w[at], len(part))
+                place = np.arange(len(own)) + (first[part] - (np.cumsum(sizes[part]) - sizes[part]))[own]
+                at, v = flat[place], value[place]
+                z = np.bincount(own, w[at] * v, len(part))
                 slope = 1 / (1 + np.exp(-np.clip(z, -30, 30))) - labels[part]
-                grad = np.bincount(at, slope[own], 1 << BITS) / len(part)
+                grad = np.bincount(at, slope[own] * v, 1 << BITS) / len(part)
                 hit = np.unique(at)
                 g[hit] += grad[hit] ** 2
                 w[hit] -= rate * (grad[hit] / np.sqrt(g[hit]) + 1e-4 * w[hit])
         return Classifier(w.astype(np.float32))
 
-    def odds(self, rows: list[list[int]]) -> np.ndarray:
+    def odds(self, rows: list[Row]) -> np.ndarray:
         if not rows:
             return np.zeros(0)
-        sizes = np.fromiter(map(len, rows), int, len(rows))
-        flat = np.fromiter((x for r in rows for x in r), int, int(sizes.sum()))
-        return np.add.reduceat(self.weights[flat], np.cumsum(sizes) - sizes).astype(float)
+        sizes, flat, value = _flat(rows)
+        return np.add.reduceat(self.weights[flat] * value, np.cumsum(sizes) - sizes).astype(float)
 
 
 def smooth_edges(places: list[tuple[str, bool] | None]) -> list[tuple[int, int, float]]:
