@@ -257,6 +257,18 @@ def test_furniture(spark):
     assert boilerplate.furniture(df.limit(0)).count() == 0
 
 
+def test_long_pages_enter_the_fit(spark):
+    rng, rows = random.Random(9), []
+    for i in range(8):
+        parts = [_page(rng, i) for _ in range(60)]
+        html = "".join(p[1].decode().removeprefix("<html><body>").removesuffix("</body></html>") for p in parts)
+        rows.append((i, "rss:a", None, "\n".join(p[0] for p in parts), ("<html><body>" + html + " " * 90_000 + "</body></html>").encode()))
+    assert all(len(r[3]) > 20_000 for r in rows)
+    df = spark.createDataFrame(rows, "ord long, fonte string, titulo string, texto string, bruto binary")
+    model, alone = boilerplate.train(df), "Início | Busca | Assine | Contato"
+    assert model.odds(boilerplate.features([alone], None))[0] > 0 and np.any(model.weights)
+
+
 def test_long_furniture_lines_are_told_by_their_words():
     rng = random.Random(3)
     para = lambda: "A comissão publicou o relatório e " + " ".join(rng.choices(WORDS, k=45)) + "."

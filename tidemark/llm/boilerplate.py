@@ -29,8 +29,8 @@ from pyspark.sql import types as T
 from tidemark.llm.residue import assess
 from tidemark.session import hash_sample, spread
 
-#: Pages the classifier is fitted on, and the longest text taken for it.
-TRAIN_DOCS, TRAIN_CHARS = 2500, 20_000
+#: Pages the classifier is fitted on, whatever their length.
+TRAIN_DOCS = 2500
 #: Log odds beyond which the first fit corrects the weak label of a loose element.
 SURE = 0.5
 BITS = 16
@@ -283,8 +283,8 @@ def weak_labels(places: list[tuple[str, bool] | None]) -> list[int | None]:
 
 def train(docs: DataFrame) -> Classifier:
     """Fit on at most TRAIN_DOCS pages in the order of a hash of their key."""
-    pages = docs.filter(F.col("bruto").isNotNull() & F.col("texto").isNotNull() & (F.length("texto") <= TRAIN_CHARS) & (F.length("bruto") <= 4 * TRAIN_CHARS))
-    rows = hash_sample(pages.select("ord", "texto", "bruto", "titulo"), "ord", TRAIN_DOCS, docs.count(), slack=3).collect()  # bounded by both limits
+    pages = docs.filter(F.col("bruto").isNotNull() & F.col("texto").isNotNull())
+    rows = hash_sample(pages.select("ord", "texto", "bruto", "titulo"), "ord", TRAIN_DOCS, docs.count(), slack=3).collect()  # bounded by TRAIN_DOCS
     return fit_pages([(r.texto, bytes(r.bruto), r.titulo) for r in rows])
 
 
