@@ -213,6 +213,17 @@ def test_labels_and_mixed_texts(spark):
     assert language.found(items.limit(0), judged.limit(0)).count() == 0
 
 
+def test_short_stretches_come_out_too(spark):
+    rows = [(n, k, " ".join(random.Random(n).sample(v, 2))) for n, (k, v) in enumerate([*SENTENCES.items()] * 60)]
+    mixed = SENTENCES["pt"][0] + " " + SENTENCES["pt"][2] + " could not find the"
+    items = spark.createDataFrame([*rows, (1000, "pt", mixed)], "ord long, idioma string, titulo string")
+    judged = spark.createDataFrame([], "ord long, idioma string, trecho string")
+    got = [(r.idioma, r.inicio, r.palavras, r.conta) for r in language.stretches(items, judged).filter("ord = 1000").orderBy("inicio").collect()]
+    total = len(language.prepare(mixed).split())
+    assert got == [("pt", 0, total - 4, True), ("en", total - 4, 4, False)]
+    assert language.found(items, judged).count() == 0
+
+
 # -- problem 7 --
 
 

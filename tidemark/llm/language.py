@@ -187,9 +187,10 @@ def train(rows: DataFrame, text: str, label: str, key: str) -> Classifier:
 
 
 def identify(df: DataFrame, text: str, label: str, campo: str, shared, headline: bool, key: str = "ord") -> DataFrame:
-    """(campo, key, label, idioma, confianca, inicio, palavras): one row for each stretch of each text that counts.
+    """(campo, key, label, idioma, confianca, inicio, palavras, conta): one row for each stretch of each text.
 
-    Titles lose a site name at their end, and titles that are residue don't count.
+    conta: whether the stretch counts as a language of the text; a short one beside longer ones doesn't, as these are
+    mostly pieces of cut words and names, with a high confidence too. Titles lose a site name at their end, and titles that are residue don't count.
     """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -203,29 +204,29 @@ def identify(df: DataFrame, text: str, label: str, campo: str, shared, headline:
                 if headline and (m := SITE.search(t)) and m.start():
                     t = t[: m.start()]
                 plain.append(prepare(t))
-            at, lang, conf, start, words = [], [], [], [], []
+            at, lang, conf, start, words, counts = [], [], [], [], [], []
             for i, s in enumerate(model.stretches(plain)):
                 named = languages(s)
                 for k, lo, n, c in s:
-                    if LANGUAGES[k] in named and (n >= LEAST_WORDS or len(named) == 1):
-                        at.append(i)
-                        lang.append(LANGUAGES[k])
-                        conf.append(c)
-                        start.append(lo)
-                        words.append(n)
+                    at.append(i)
+                    lang.append(LANGUAGES[k])
+                    conf.append(c)
+                    start.append(lo)
+                    words.append(n)
+                    counts.append(LANGUAGES[k] in named and (n >= LEAST_WORDS or len(named) == 1))
             take = pa.array(at, pa.int64())
             yield pa.RecordBatch.from_arrays(
-                [pa.array([campo] * len(at), pa.string()), b.column(0).take(take), b.column(1).take(take), pa.array(lang, pa.string()), pa.array(conf, pa.float64()), pa.array(start, pa.int32()), pa.array(words, pa.int32())],
-                names=["campo", key, "rotulo", "idioma", "confianca", "inicio", "palavras"],
+                [pa.array([campo] * len(at), pa.string()), b.column(0).take(take), b.column(1).take(take), pa.array(lang, pa.string()), pa.array(conf, pa.float64()), pa.array(start, pa.int32()), pa.array(words, pa.int32()), pa.array(counts, pa.bool_())],
+                names=["campo", key, "rotulo", "idioma", "confianca", "inicio", "palavras", "conta"],
             )
 
-    schema = T.StructType([T.StructField("campo", T.StringType()), df.schema[key], T.StructField("rotulo", T.StringType()), T.StructField("idioma", T.StringType()), T.StructField("confianca", T.DoubleType()), T.StructField("inicio", T.IntegerType()), T.StructField("palavras", T.IntegerType())])
+    schema = T.StructType([T.StructField("campo", T.StringType()), df.schema[key], T.StructField("rotulo", T.StringType()), T.StructField("idioma", T.StringType()), T.StructField("confianca", T.DoubleType()), T.StructField("inicio", T.IntegerType()), T.StructField("palavras", T.IntegerType()), T.StructField("conta", T.BooleanType())])
     src = df.filter(F.col(text).isNotNull()).select(key, known_label(F.col(label)).alias("rotulo"), text)
     return spread(src).mapInArrow(run, schema)
 
 
 def stretches(items: DataFrame, judged: DataFrame) -> DataFrame:
-    """All stretches of itens.titulo and pede_juizo.trecho."""
+    """All stretches of itens.titulo and pede_juizo.trecho, short ones included."""
     t = items.select("ord", "idioma", F.col("titulo").alias("t")).unionByName(judged.select("ord", "idioma", F.col("trecho").alias("t")))
     shared = items.sparkSession.sparkContext.broadcast(train(t, "t", "idioma", "ord").table)  # 2 ** BITS rows, fixed
     return identify(items, "titulo", "idioma", "titulo", shared, True).unionByName(identify(judged, "trecho", "idioma", "trecho", shared, False))
@@ -233,6 +234,6 @@ def stretches(items: DataFrame, judged: DataFrame) -> DataFrame:
 
 def found(items: DataFrame, judged: DataFrame) -> DataFrame:
     """(campo, ord, idioma): languages of texts that are mixed or whose label is missing or wrong. ord is unique by field."""
-    per = stretches(items, judged).groupBy("campo", "ord").agg(F.first("rotulo").alias("rotulo"), F.collect_set("idioma").alias("all"))
+    per = stretches(items, judged).filter("conta").groupBy("campo", "ord").agg(F.first("rotulo").alias("rotulo"), F.collect_set("idioma").alias("all"))
     wrong = (F.size("all") > 1) | ~F.col("rotulo").eqNullSafe(F.col("all")[0])
     return per.filter(wrong).select("campo", "ord", F.explode("all").alias("idioma"))
