@@ -278,7 +278,7 @@ def _norm(u: str) -> str:
     return f"{host} || CASE WHEN {path} = '' THEN '/' ELSE {path} END || CASE WHEN len({keep}) > 0 THEN '?' || array_to_string({keep}, '&') ELSE '' END"
 
 
-def _id(u: str) -> str:
+def page_sql(u: str) -> str:
     return f"sha256({_norm(u)})[1:16]"
 
 
@@ -291,7 +291,7 @@ def _first(u: str) -> str:
 
 
 _SEEN = f"""
-WITH seen AS (SELECT ord, {_id('url')} AS id, split_part(fonte, ':', 1) AS canal, fonte, rodada, nivel, publicado_em, hash_texto FROM itens
+WITH seen AS (SELECT ord, {page_sql('url')} AS id, split_part(fonte, ':', 1) AS canal, fonte, rodada, nivel, publicado_em, hash_texto FROM itens
   WHERE situacao = 'triado' AND coalesce(nivel, 0) >= 2 AND url IS NOT NULL),
 unit AS (SELECT id, arg_max(coalesce(nullif(hash_texto, ''), id), ord) AS unidade FROM seen GROUP BY 1),
 obs AS (SELECT DISTINCT coalesce(f.estrato, 'geral') AS estrato, canal, rodada, unidade, publicado_em FROM seen JOIN unit USING (id) LEFT JOIN (SELECT fonte, estrato FROM fontes) f USING (fonte)),
@@ -307,7 +307,7 @@ r AS (SELECT estrato, s, observadas, coalesce(canais, 0) AS canais, coalesce(f1,
   FROM tot LEFT JOIN ch USING (estrato) LEFT JOIN f USING (estrato))
 SELECT estrato, observadas, canais, f1, f2, chao, CASE WHEN chao > 0 THEN round(s / chao, 6) END AS cobertura FROM r"""
 _CELLS = "cells AS (SELECT DISTINCT estrato, canal, unidade FROM obs),"
-_ENTRIES = f"""SELECT ord, {_id('url')} AS id, {_unarchived('url')} AS url, {_first('url')} AS dominio, coalesce(f.estrato, 'geral') AS estrato, coalesce(titulo, '') AS titulo,
+_ENTRIES = f"""SELECT ord, {page_sql('url')} AS id, {_unarchived('url')} AS url, {_first('url')} AS dominio, coalesce(f.estrato, 'geral') AS estrato, coalesce(titulo, '') AS titulo,
   coalesce(publicado_em::VARCHAR, '') AS publicado_em, coalesce({_stamp('snapshot')}, '') AS capturado_em, coalesce(snapshot, '') AS snapshot, coalesce(hash_texto, '') AS hash_texto,
   CASE WHEN nivel > 0 THEN nivel::VARCHAR ELSE '' END AS nivel, coalesce(array_to_string(chaves, ';'), '') AS identificadores, coalesce(array_to_string(categorias, ';'), '') AS categorias,
   coalesce(rodada, '') AS primeira_rodada, coalesce(lexico_versao, '') AS lexico_versao
@@ -320,8 +320,8 @@ _NOISE = slices.NOISE.replace("'", "''")
 _SPLIT = "rodada {op} '" + _LAST + "'"
 
 SQL = {
-    "url_forms": f"SELECT url, {_norm('url')} AS normal, {_id('url')} AS id, {_first('url')} AS dominio, {_unarchived('url')} AS original FROM (SELECT DISTINCT url FROM itens WHERE url IS NOT NULL)",
-    "domain_counts": f"SELECT {_first('url')} AS dominio, count(*) AS n, count(DISTINCT {_id('url')}) AS paginas FROM itens WHERE url IS NOT NULL GROUP BY 1",
+    "url_forms": f"SELECT url, {_norm('url')} AS normal, {page_sql('url')} AS id, {_first('url')} AS dominio, {_unarchived('url')} AS original FROM (SELECT DISTINCT url FROM itens WHERE url IS NOT NULL)",
+    "domain_counts": f"SELECT {_first('url')} AS dominio, count(*) AS n, count(DISTINCT {page_sql('url')}) AS paginas FROM itens WHERE url IS NOT NULL GROUP BY 1",
     "registrable_domains": "SELECT dominio, array_to_string(CASE WHEN len(p) > 2 AND length(p[-2]) <= 3 THEN p[-3:] ELSE p[-2:] END, '.') AS registravel FROM (SELECT dominio, string_split(dominio, '.') AS p FROM fontes)",
     "noise_filter": f"SELECT url, regexp_matches(url, '{_NOISE}') AS ruido FROM (SELECT DISTINCT url FROM itens WHERE url IS NOT NULL)",
     "snapshots": f"SELECT ord, {_stamp('snapshot')} AS carimbo, CASE WHEN regexp_matches({_stamp('snapshot')}, '^\\d{{8}}') THEN try_strptime({_stamp('snapshot')}[1:8], '%Y%m%d')::DATE END AS dia, {_unarchived('snapshot')} AS original FROM itens WHERE snapshot IS NOT NULL",
@@ -377,10 +377,10 @@ SELECT estrato, a, b, n1, n2, m, round(e, 6) AS chapman, round(greatest((n1 + n2
 grid AS (SELECT s.estrato, r.rodada FROM (SELECT estrato, min(rodada) AS f FROM nw GROUP BY 1) s JOIN (SELECT DISTINCT rodada FROM itens) r ON r.rodada >= s.f)
 SELECT estrato, rodada, coalesce(n, 0) AS novas, (sum(coalesce(n, 0)) OVER (PARTITION BY estrato ORDER BY rodada))::BIGINT AS total FROM grid LEFT JOIN nw USING (estrato, rodada)""",
     "catalog_entries": _ENTRIES,
-    "catalog_complete": f"""WITH c AS (SELECT {_id('snapshot')} AS id, max({_stamp('snapshot')}) AS s FROM itens WHERE snapshot IS NOT NULL GROUP BY 1)
+    "catalog_complete": f"""WITH c AS (SELECT {page_sql('snapshot')} AS id, max({_stamp('snapshot')}) AS s FROM itens WHERE snapshot IS NOT NULL GROUP BY 1)
 SELECT id, CASE WHEN f THEN 'https://web.archive.org/web/' || s || 'id_/' || url ELSE snapshot END AS snapshot, CASE WHEN f THEN s ELSE capturado_em END AS capturado_em, f AS preenchido
 FROM (SELECT *, coalesce(snapshot, '') = '' AND s IS NOT NULL AS f FROM catalogo LEFT JOIN c USING (id))""",
-    "catalog_migrate": f"SELECT {_id('u')} AS id, {_unarchived('u')} AS url, {_first('u')} AS dominio, CASE WHEN {_unarchived('u')} <> u THEN u ELSE '' END AS snapshot, '' AS titulo, identificadores FROM (SELECT CASE WHEN snapshot <> '' THEN snapshot ELSE url END AS u, identificadores FROM catalogo)",
+    "catalog_migrate": f"SELECT {page_sql('u')} AS id, {_unarchived('u')} AS url, {_first('u')} AS dominio, CASE WHEN {_unarchived('u')} <> u THEN u ELSE '' END AS snapshot, '' AS titulo, identificadores FROM (SELECT CASE WHEN snapshot <> '' THEN snapshot ELSE url END AS u, identificadores FROM catalogo)",
     "catalog_search": f"SELECT id, titulo FROM catalogo WHERE contains(lower(coalesce(nullif(trim(titulo), ''), url)), 'placa') AND estrato = 'imprensa' AND list_contains(string_split(categorias, ';'), 'lugar') AND {_DECADE} = '2010'",
     "catalog_newest": f"SELECT id, publicado_em, capturado_em FROM catalogo ORDER BY coalesce({_DAY}, '') DESC, id LIMIT 100 OFFSET 100",
     "catalog_tiles": f"SELECT count(*) AS documentos, count(DISTINCT dominio) AS dominios, count(*) FILTER (coalesce(snapshot, '') <> '') AS com_snapshot, count(DISTINCT {_DECADE}) AS decadas FROM catalogo",

@@ -16,11 +16,16 @@ BATCH_ROWS = 1024
 
 
 def shared_dir(spark: SparkSession) -> str:
-    """The folder all executors share, as spark.checkpoint.dir names it; a local one only where it is unset."""
+    """The folder all executors share, as spark.checkpoint.dir names it.
+
+    Where it is unset a temporary one is made, but only in local mode: executors on other machines couldn't read it.
+    """
     named = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getConf().get("spark.checkpoint.dir")
     if not named:
         named = spark.sparkContext.getCheckpointDir()
     if not named:
+        if not spark.sparkContext.master.startswith("local"):
+            raise ValueError("spark.checkpoint.dir must name a folder that all executors share")
         named = f"file://{tempfile.mkdtemp(prefix='tidemark-')}"
         spark.sparkContext.setCheckpointDir(named)
     return named.rstrip("/")
@@ -48,11 +53,26 @@ def durable(df: DataFrame, name: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+def _fs(spark: SparkSession, path: str):
+    """(client, path) of the file system a path lies in."""
+    target = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    return target.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()), target
+
+
+def path_exists(spark: SparkSession, path: str) -> bool:
+    fs, target = _fs(spark, path)
+    return fs.exists(target)
+
+
+def make_path(spark: SparkSession, path: str) -> None:
+    fs, target = _fs(spark, path)
+    fs.mkdirs(target)
+
+
 def drop_path(spark: SparkSession, path: str) -> None:
     """Delete a path below the shared folder through the cluster's own file system client."""
-    jvm = spark.sparkContext._jvm
-    target = jvm.org.apache.hadoop.fs.Path(path)
-    target.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(target, True)
+    fs, target = _fs(spark, path)
+    fs.delete(target, True)
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
