@@ -121,18 +121,21 @@ def _documents():
         for k in (0, 2, 3, 4, 8, 20):
             rows.append((n, t if k == 0 else edited(rng, t, k)))
             n += 1
+    rows += [(n + 7 + k, rows[6][1]) for k in range(9)]
     rows += [(n, rows[0][1]), (n + 1, rows[0][1]), (n + 2, "curto"), (n + 3, "curto"), (n + 4, None), (n + 5, ""), (n + 6, "outro curto")]
     return rows
 
 
 def _pairs(rows):
     rows = [r for r in rows if r[1] is not None]
-    return {(a, b) for i, (a, x) in enumerate(rows) for b, y in rows[i + 1 :] if x == y or jac(x, y) >= 0.7}
+    return {(a, b) for i, (a, x) in enumerate(rows) for b, y in rows[i + 1 :] if jac(x, y) >= 0.7}
 
 
-@pytest.mark.parametrize("hot", [8192, 4])
-def test_similar_pairs_against_brute_force(spark, monkeypatch, hot):
+@pytest.mark.parametrize(("hot", "part"), [(8192, 512), (4, 2)])
+def test_similar_pairs_against_brute_force(spark, monkeypatch, hot, part):
     monkeypatch.setattr(neardup, "HOT", hot)  # 4 forces shards to be split into parts
+    monkeypatch.setattr(neardup, "PART", part)  # and copies to be expanded part against part
+    monkeypatch.setattr(minwise, "HUB", 2)
     rows = _documents()
     df = spark.createDataFrame([(*r, 1) for r in rows], "ord long, texto string, rep int")
     got = [(r.a, r.b) for r in neardup.similar_pairs(df).collect()]
@@ -143,15 +146,15 @@ def test_similar_pairs_against_brute_force(spark, monkeypatch, hot):
 def test_groups_are_components(spark):
     rows = _documents()
     label = {o: o for o, t in rows if t is not None}
+    equal = {(a, b) for a, x in rows for b, y in rows if a < b and x == y and x is not None}  # short ones too
     for _ in range(10):
-        for a, b in _pairs(rows):
+        for a, b in _pairs(rows) | equal:
             label[a] = label[b] = min(label[a], label[b])
     got = {r.ord: r.group_id for r in neardup.groups(spark.createDataFrame(rows, "ord long, texto string")).collect()}
     assert got == label
 
 
-def test_history(spark):
-    rng = random.Random(9)
+def _lots(rng):
     old = [text(rng) for _ in range(4)]
     cat = [(f"id{i}", f"h{i}") for i in range(3)]
     docs = [(i, f"h{i}", t) for i, t in enumerate(old)]  # the last one isn't in the catalogue
@@ -169,11 +172,56 @@ def test_history(spark):
         (9, "n9", "http://h.example/só", "x9", "curto"),
         (10, "n10", None, "", new),  # text of 5
     ]
-    batch = spark.createDataFrame([(*r, "c") for r in rows], "cand_no long, id_na_fonte string, url string, hash_texto string, texto string, digest string")
+    return rows, cat, docs
+
+
+@pytest.mark.parametrize("lots", [lambda n: 1, lambda n: None if n > 8 else (n + 1) // 4])
+def test_history(spark, lots):
+    rows, cat, docs = _lots(random.Random(9))
+    batch = spark.createDataFrame([(*r, lots(r[0]), "c") for r in rows], "cand_no long, id_na_fonte string, url string, hash_texto string, texto string, lote int, digest string")
     args = spark.createDataFrame(cat, "id string, hash_texto string"), spark.createDataFrame(docs, "ord long, hash_texto string, texto string"), spark.createDataFrame([({"seen": "q", "other": None},)], "vistos map<string,string>")
     assert {r.cand_no for r in history.known(batch, *args).collect()} == {1, 2, 3, 4, 6, 7, 10}
-    assert history.known(batch.limit(0), *args).count() == 0
-    assert {r.cand_no for r in history.known(batch, *(a.limit(0) for a in args)).collect()} == {2, 6, 7, 10}
+    if lots(2) == 1 and lots(9) == 1:
+        assert history.known(batch.limit(0), *args).count() == 0
+        assert {r.cand_no for r in history.known(batch, *(a.limit(0) for a in args)).collect()} == {2, 6, 7, 10}
+
+
+def test_history_is_signed_once(spark, tmp_path, monkeypatch):
+    rng = random.Random(19)
+    rows, cat, docs = _lots(rng)
+    schema = "cand_no long, id_na_fonte string, url string, hash_texto string, texto string, lote int"
+    args = spark.createDataFrame(cat, "id string, hash_texto string"), spark.createDataFrame(docs, "ord long, hash_texto string, texto string"), spark.createDataFrame([], "vistos map<string,string>")
+    signed = []
+    real = minwise.sign
+    monkeypatch.setattr(minwise, "sign", lambda df, keep, t: signed.append((keep[0], df.count())) or real(df, keep, t))
+    root = f"file://{tmp_path}/index"
+    first = spark.createDataFrame([(*r, 1) for r in rows], schema)
+    a = {r.cand_no for r in history.known(first, *args, root=root).collect()}
+    assert ("id", 3) in signed
+    signed.clear()
+    assert {r.cand_no for r in history.known(first, *args, root=root).collect()} == a  # the same batch again
+    later = [(11, "m1", None, "y1", edited(rng, rows[5][4], 1), 2), (12, "m2", None, "y2", text(rng), 2)]
+    assert {r.cand_no for r in history.known(spark.createDataFrame(later, schema), *args, root=root).collect()} == {11}
+    assert all(k == "no" for k, _ in signed)  # no text of the history
+    index = history.HistoryIndex(spark, root)
+    assert {r.id for r in spark.table(index.table).filter("aceito and batch = 'lote-2'").select("id").distinct().collect()} == {"c12"}
+    probe = index.probe(real(spark.createDataFrame([("q", docs[0][2])], "id string, t string"), ["id"], "t"))
+    plan = probe._jdf.queryExecution().toString()
+    assert "Bucketed: true" in plan and {r.other for r in probe.collect()} >= {"d0", "c1"}
+    index.close()
+
+
+def test_hot_keys_of_the_index_are_spread(spark, monkeypatch):
+    monkeypatch.setattr(history, "HOT", 3)
+    rng = random.Random(29)
+    t = text(rng, 200)
+    df = spark.createDataFrame([(f"d{i}", edited(rng, t, 1)) for i in range(20)], "id string, t string")
+    index = history.HistoryIndex(spark)
+    index.append(minwise.sign(df, ["id"], "t").withColumn("aceito", F.lit(True)), "b")
+    got = index.probe(minwise.sign(spark.createDataFrame([("q", t)], "id string, t string"), ["id"], "t"))
+    assert {r.other for r in got.collect()} == {f"d{i}" for i in range(20)}
+    assert spark.table(index.table).groupBy("slot").count().agg(F.max("count")).first()[0] < 15
+    index.close()
 
 
 def test_minwise_recall():

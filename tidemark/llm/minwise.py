@@ -25,6 +25,8 @@ SHINGLE, JACCARD, MIN_WORDS = 3, 0.7, 50
 ROWS, BANDS = 5, 40
 BITS = ROWS * BANDS
 RADIUS = 56
+#: Candidates of one text that are verified under one key.
+HUB = 256
 #: Words a worker's memo may hold before it is emptied.
 MEMO = 500_000
 
@@ -145,13 +147,27 @@ def jaccard(a: list[str], b: list[str]) -> np.ndarray:
 
 
 def verified(pairs: DataFrame, left: DataFrame, right: DataFrame, a: str, b: str) -> DataFrame:
-    """Those pairs (a, b) whose texts are similar; left has (a, text_a), right (b, text_b), keys unique in both.
+    """Those pairs (a, b) whose texts are similar; left and right have (id, t) of the texts of a and b, ids unique in each.
 
-    Only texts of candidate rows travel: both sides are semi-joined before the two key joins.
+    Only texts of candidate rows travel. Of a pair, the text with fewer candidates is sent along with it; the other one
+    is sent once for every HUB of its pairs, so a text with many candidates isn't copied to each of them under one key.
     """
-    left = left.join(pairs.select(a).distinct(), a, "left_semi")
-    right = right.join(pairs.select(b).distinct(), b, "left_semi")
-    full = pairs.select(a, b).join(left, a).join(right, b).select(a, b, "text_a", "text_b")
+    second = 0 if left is right else 1
+    ends = pairs.select(F.explode(F.array(F.struct(F.lit(0).alias("s"), F.col(a).alias("i")), F.struct(F.lit(second).alias("s"), F.col(b).alias("i")))).alias("e"))
+    degree = ends.groupBy("e.s", "e.i").agg(F.count("*").alias("n"))
+    texts = left.select(F.lit(0).alias("s"), F.col("id").alias("i"), "t")
+    if second:
+        texts = texts.unionByName(right.select(F.lit(1).alias("s"), F.col("id").alias("i"), "t"))
+    texts = texts.join(degree, ["s", "i"])
+    deg = lambda side, k: degree.filter(F.col("s") == side).select(F.col("i").alias(k), F.col("n").alias(f"_n{k}"))
+    end = lambda side, k: F.struct(F.lit(side).alias("s"), F.col(k).alias("i"), F.col(f"_n{k}").alias("n"))
+    both = pairs.select(a, b).join(deg(0, a), a).join(deg(second, b), b)
+    turn = F.col(f"_n{b}") > F.col(f"_n{a}")
+    both = both.select(a, b, F.when(turn, end(second, b)).otherwise(end(0, a)).alias("h"), F.when(turn, end(0, a)).otherwise(end(second, b)).alias("l"))
+    both = both.select(a, b, F.col("h.s").alias("hs"), F.col("h.i").alias("h"), F.col("l.s").alias("ls"), F.col("l.i").alias("l"), F.pmod(F.xxhash64("l.i"), F.ceil(F.col("h.n") / HUB)).cast("int").alias("k"))
+    leaf = both.join(texts.select(F.col("s").alias("ls"), F.col("i").alias("l"), F.col("t").alias("tl")), ["ls", "l"])
+    hub = texts.select(F.col("s").alias("hs"), F.col("i").alias("h"), F.col("t").alias("th"), F.explode(F.sequence(F.lit(0), (F.ceil(F.col("n") / HUB) - 1).cast("int"))).alias("k"))
+    full = leaf.join(hub, ["hs", "h", "k"]).select(a, b, "th", "tl")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for rb in batches:

@@ -5,11 +5,12 @@ their minwise signature, and each shard is searched by vantage-point partitionin
 only pairs within the radius leave a shard; their exact Jaccard index decides. One vantage-point tree over the whole
 collection could not prune: distances between unrelated fingerprints concentrate (median 96 of 200 bits, nearly all
 between 70 and 130) while the radius has to be 56, so every ball's boundary shell holds every point; shards by band
-keep the triangle bounds for where they cut. A shard above HOT members is cut into parts and searched part against
-part in separate tasks, so no key gathers an unbounded group.
+keep the triangle bounds for where they cut. Shards up to SMALL members are compared at once and only larger ones are
+partitioned; the README says how many those are. A shard above HOT members is cut into parts and searched part against
+part in separate tasks, so no key gathers an unbounded group. Pairs of copies are expanded last, PART members at a time.
 
-Defined results: null texts belong to no group and no pair; texts under MIN_WORDS words are near only their exact
-copies; equal texts count whatever their length; keys are unique (a row repeated with the same text counts once).
+Defined results: null texts belong to no group and no pair; texts under MIN_WORDS words form no pair, equal ones
+neither, but equal ones share a group; keys are unique (a row repeated with the same text counts once).
 """
 
 from __future__ import annotations
@@ -28,6 +29,10 @@ from tidemark.session import durable
 
 #: Members of a shard that one task takes; larger shards are split into parts of this size.
 HOT = 8192
+#: Members of a shard up to which all pairs are compared without partitioning.
+SMALL = 16
+#: Copies of one text that one task expands against as many others.
+PART = 512
 FP = ["f0", "f1", "f2", "f3"]
 
 
@@ -42,7 +47,7 @@ def _search(id_type: T.DataType):
             cut = np.concatenate(([0], np.nonzero(np.diff(key))[0] + 1, [len(key)]))
             size = np.diff(cut)
             left, right = [], []
-            for m in np.unique(size[(size > 1) & (size <= 16)]):  # small shards of one size at once
+            for m in np.unique(size[(size > 1) & (size <= SMALL)]):  # small shards of one size at once
                 rows = cut[:-1][size == m][:, None] + np.arange(m)
                 i, j = np.triu_indices(m, 1)
                 for lo in range(0, len(rows), 4096):
@@ -50,7 +55,7 @@ def _search(id_type: T.DataType):
                     near = (np.bitwise_count(fp[x] ^ fp[y]).sum(axis=1) <= minwise.RADIUS) & ((side[x] == 2) | (side[x] != side[y]))
                     left.append(x[near])
                     right.append(y[near])
-            for g in np.nonzero(size > 16)[0]:
+            for g in np.nonzero(size > SMALL)[0]:
                 lo, hi = cut[g], cut[g + 1]
                 x, y = near_pairs(fp[lo:hi], minwise.RADIUS, side[lo:hi])
                 left.append(x + lo)
@@ -80,9 +85,9 @@ def _flat(a):
 
 def shard_pairs(bands: DataFrame) -> DataFrame:
     """Distinct pairs (a, b), a < b, that share a shard and lie within the radius. bands has (key, id, f0..f3)."""
-    sizes = bands.groupBy("key").agg(F.count("*").alias("n")).filter(F.col("n") > HOT)
-    # at most rows / HOT keys are hot, so this side is small by construction
-    parts = bands.join(F.broadcast(sizes), "key", "left").withColumn("p", F.coalesce(F.ceil(F.col("n") / HOT), F.lit(1)).cast("int"))
+    # at most rows / HOT keys are hot; written first, so that Spark knows their size and chooses the join by it
+    sizes = durable(bands.groupBy("key").agg(F.count("*").alias("n")).filter(F.col("n") > HOT), "hot-keys")
+    parts = bands.join(sizes, "key", "left").withColumn("p", F.coalesce(F.ceil(F.col("n") / HOT), F.lit(1)).cast("int"))
     cold = parts.filter("p = 1").select("key", F.lit(2).cast("byte").alias("side"), "id", *FP)
     hot = parts.filter("p > 1").withColumn("own", F.pmod(F.xxhash64("id"), F.col("p")).cast("int")).withColumn("other", F.explode(F.sequence(F.lit(0), F.col("p") - 1)))
     side = F.when(F.col("own") == F.col("other"), 2).otherwise((F.col("own") > F.col("other")).cast("int")).cast("byte")
@@ -94,14 +99,15 @@ def shard_pairs(bands: DataFrame) -> DataFrame:
 
 
 def folded(docs: DataFrame, key: str, text: str) -> tuple[DataFrame, DataFrame]:
-    """(signed, members): signatures of all texts with their digest, and (key, rep) of every document with a text.
+    """(signed, members): signatures of all texts with their digest, and (id, rep, long) of every document with a text.
 
-    Only digests are shuffled to fold copies; a hot text becomes one row per map task before that.
+    Only digests are shuffled to fold copies; a hot text becomes one row per map task before that. long: MIN_WORDS
+    words or more.
     """
     src = docs.filter(F.col(text).isNotNull() & F.col(key).isNotNull()).select(F.col(key).alias("id"), F.col(text).alias("t"), F.sha2(F.col(text), 256).alias("digest"))
     signed = durable(minwise.sign(src, ["id", "digest"], "t"), "signed")
     reps = signed.groupBy("digest").agg(F.min("id").alias("rep"))
-    members = signed.select("id", "digest").join(reps, "digest").select("id", "rep").distinct()
+    members = signed.select("id", "digest", F.col("f0").isNotNull().alias("long")).join(reps, "digest").select("id", "rep", "long").distinct()
     return signed, durable(members, "members")
 
 
@@ -111,17 +117,36 @@ def rep_pairs(docs: DataFrame, key: str, text: str, signed: DataFrame, members:
     bands = signed.filter("f0 is not null").join(reps, "id", "left_semi").select(F.explode("keys").alias("key"), "id", *FP)
     pairs = durable(shard_pairs(durable(bands, "bands")), "near")
     texts = docs.select(F.col(key).alias("id"), F.col(text).alias("t")).filter("t is not null")
-    return minwise.verified(pairs, texts.select(F.col("id").alias("a"), F.col("t").alias("text_a")), texts.select(F.col("id").alias("b"), F.col("t").alias("text_b")), "a", "b")
+    return minwise.verified(pairs, texts, texts, "a", "b")
+
+
+def expanded(pairs: DataFrame, members: DataFrame) -> DataFrame:
+    """Pairs (a, b), a < b, of members from pairs of representatives, and of each representative's own members.
+
+    Members of one representative are cut into parts of about PART, and a join key is a pair of parts, so a text with
+    many copies is expanded by many tasks.
+    """
+    size = members.groupBy("rep").agg(F.ceil(F.count("*") / PART).cast("int").alias("p"), F.count("*").alias("n"))
+    placed = members.join(size, "rep").select("id", "rep", F.pmod(F.xxhash64("id"), F.col("p")).cast("int").alias("part"))
+    parts = lambda k: size.select(F.col("rep").alias(k), F.explode(F.sequence(F.lit(0), F.col("p") - 1)).alias(f"p{k}"))
+    own = size.filter("n > 1").select(F.col("rep").alias("a"), F.col("rep").alias("b"))
+    blocks = pairs.select("a", "b").unionByName(own).join(parts("a"), "a").join(parts("b"), "b").filter("a <> b or pa <= pb")
+    m = lambda k, x: placed.select(F.col("rep").alias(k), F.col("part").alias(f"p{k}"), F.col("id").alias(x))
+    both = blocks.join(m("a", "x"), ["a", "pa"]).join(m("b", "y"), ["b", "pb"])
+    return both.filter("a <> b or pa < pb or x < y").select(F.least("x", "y").alias("a"), F.greatest("x", "y").alias("b"))
 
 
 def similar_pairs(docs: DataFrame, key: str = "ord", text: str = "texto") -> DataFrame:
     """All pairs (a, b), a < b, of similar documents, copies included, as TESTDATA.md asks for them."""
     signed, members = folded(docs, key, text)
-    reps = rep_pairs(docs, key, text, signed, members)
-    m = lambda x, y: members.select(F.col("id").alias(x), F.col("rep").alias(y))
-    across = reps.join(m("x", "a"), "a").join(m("y", "b"), "b").select("x", "y")
-    within = m("x", "r").join(m("y", "r"), "r").filter("x < y").select("x", "y")
-    return across.unionByName(within).select(F.least("x", "y").alias("a"), F.greatest("x", "y").alias("b"))
+    return expanded(durable(rep_pairs(docs, key, text, signed, members), "similar"), members.filter("long"))
+
+
+def copies(docs: DataFrame, key: str = "ord", text: str = "texto") -> DataFrame:
+    """(key, primeiro, n) of every document with a text: the smallest key with the same text, and how many have it."""
+    _, members = folded(docs, key, text)
+    size = members.groupBy("rep").agg(F.count("*").alias("n"))
+    return members.join(size, "rep").select(F.col("id").alias(key), F.col("rep").alias("primeiro"), "n")
 
 
 def groups(docs: DataFrame, key: str = "ord", text: str = "texto") -> DataFrame:

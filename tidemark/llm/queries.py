@@ -32,6 +32,11 @@ def p3_found(spark: SparkSession, sf: str) -> DataFrame:
     return history.known(*(table(spark, sf, t) for t in ("lotes", "catalogo", "documento", "openalex_carandiru")))
 
 
+def p3_exact(spark: SparkSession, sf: str) -> DataFrame:
+    """Candidates known by page identity, text hash or source id alone."""
+    return history.exact(*(table(spark, sf, t) for t in ("lotes", "catalogo", "openalex_carandiru")))
+
+
 def p4_found(spark: SparkSession, sf: str) -> DataFrame:
     pairs = neardup.similar_pairs(table(spark, sf, "documento"))
     return pairs.select(F.col("a").alias("ord_a"), F.col("b").alias("ord_b"))
@@ -42,6 +47,11 @@ def p4_groups(spark: SparkSession, sf: str) -> DataFrame:
     return neardup.groups(table(spark, sf, "documento"))
 
 
+def p4_copies(spark: SparkSession, sf: str) -> DataFrame:
+    """Each stored document with the first one of the same text, however short, and their number."""
+    return neardup.copies(table(spark, sf, "documento"))
+
+
 def p6_found(spark: SparkSession, sf: str) -> DataFrame:
     return language.found(table(spark, sf, "itens"), table(spark, sf, "pede_juizo"))
 
@@ -94,4 +104,4 @@ def p10_rates(spark: SparkSession, sf: str) -> DataFrame:
     return abuse.rates(abuse.score(table(spark, sf, "documents"), table(spark, sf, "rotulos")))
 
 
-QUERIES = {f.__name__: f for f in (p1_found, p1_kinds, p2_found, p2_restored, p3_found, p4_found, p4_groups, p6_found, p6_stretches, p7_found, p7_body, p8_ids, p8_round_trip, p9_mix, p9_shares, p10_found, p10_scores, p10_rates)}
+QUERIES = {f.__name__: f for f in (p1_found, p1_kinds, p2_found, p2_restored, p3_found, p3_exact, p4_found, p4_groups, p4_copies, p6_found, p6_stretches, p7_found, p7_body, p8_ids, p8_round_trip, p9_mix, p9_shares, p10_found, p10_scores, p10_rates)}
