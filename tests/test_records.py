@@ -94,7 +94,7 @@ def _listing(spark, rows):
     return spark.createDataFrame(rows, "ord int, rodada string, id_na_fonte string, atualizado_em timestamp, hash_texto string")
 
 
-def test_changed_records_against_loop(spark):
+def test_changed_records_against_loop(spark, tmp_path):
     import datetime as D
 
     rng = random.Random(2)
@@ -113,29 +113,50 @@ def test_changed_records_against_loop(spark):
             if i not in known or known[i] != h:
                 expected.add((run, i))
             known[i] = h
-    assert {(r.rodada, r.id_na_fonte) for r in I.ingest(listing, s).collect()} == expected
-    assert I.ingest(listing.limit(0), s).count() == 0
+    listing.write.parquet(f"{tmp_path}/whole")
+    listing.limit(0).write.parquet(f"{tmp_path}/none")
+    assert {(r.rodada, r.id_na_fonte) for r in I.ingest(spark, f"{tmp_path}/whole", s).collect()} == expected
+    assert I.ingest(spark, f"{tmp_path}/none", s).count() == 0
 
 
-def test_later_calls_on_one_root_add_only_changes(spark, tmp_path):
+@pytest.mark.parametrize("grow", ["rewritten", "new files"])
+def test_later_calls_on_one_root_add_only_changes(spark, tmp_path, monkeypatch, grow):
     rng = random.Random(5)
     rows = [(o, f"r{rng.randint(1, 7)}", rng.choice("abcdef"), None, rng.choice(["x", "y", None])) for o in range(90)]
     saves = [(3, "r1", {"a": "x", "b": None}), (5, "r2", {"a": "y", "c": "x"})]
     rows += [(100 + k, r, "same", None, "x") for k, r in enumerate(("r3", "r5", "r6"))]
     save = lambda s: spark.createDataFrame(s, "gravacao int, rodada string, vistos map<string,string>")
     key = lambda df: sorted((r.rodada, r.id_na_fonte, r.hash_texto or "") for r in df.collect())
-    upto = lambda n: _listing(spark, [r for r in rows if r[1] <= n])
-    whole, root = key(I.ingest(upto("r6"), save(saves))), f"file://{tmp_path}/kept"
-    assert key(I.ingest(upto("r4"), save(saves), root)) == [r for r in whole if r[0] <= "r4"]
-    assert key(I.ingest(upto("r5"), save(saves), root)) == [r for r in whole if r[0] <= "r5"]
-    assert key(I.ingest(upto("r6"), save(saves), root)) == whole == key(I.ingest(upto("r6"), save(saves), root))
+    root, held = f"file://{tmp_path}/kept", []
+
+    def call(now, kept=root):
+        """The listing as one file that is written anew, or as files of what is new in it."""
+        if kept is None:
+            _listing(spark, now).coalesce(1).write.parquet(f"{tmp_path}/alone")
+            return key(I.ingest(spark, f"{tmp_path}/alone", save(saves)))
+        fresh = now if grow == "rewritten" else [r for r in now if r not in held]
+        if [r for r in now if r not in held]:
+            _listing(spark, fresh).coalesce(1).write.mode("overwrite" if grow == "rewritten" else "append").parquet(f"{tmp_path}/listing")
+            held.extend(r for r in now if r not in held)
+        return key(I.ingest(spark, f"{tmp_path}/listing", save(saves), kept))
+
+    upto = lambda n: [r for r in rows if r[1] <= n]
+    whole = call(upto("r6"), None)
+    assert call(upto("r4")) == [r for r in whole if r[0] <= "r4"]
+    assert call(upto("r5")) == [r for r in whole if r[0] <= "r5"]
+    assert call(upto("r6")) == whole
+    # an unchanged listing isn't read at all
+    real = I.compared
+    monkeypatch.setattr(I, "compared", lambda *a: pytest.fail("listing read"))
+    assert call(upto("r6")) == whole
+    monkeypatch.setattr(I, "compared", real)
     # a run listed anew with one more record gives just that one
-    more = _listing(spark, [r for r in rows if r[1] <= "r6"] + [(200, "r5", "late", None, "x")])
-    assert key(I.ingest(more, save(saves), root)) == sorted([*whole, ("r5", "late", "x")])
+    more = upto("r6") + [(200, "r5", "late", None, "x")]
+    assert call(more) == sorted([*whole, ("r5", "late", "x")])
     # a run saved meanwhile isn't due, and its versions come after those of earlier batches
     saves += [(9, "r7", {"same": "z", "a": "w"})]
-    last = _listing(spark, [r for r in rows if r[1] <= "r7"] + [(200, "r5", "late", None, "x"), (300, "r8", "same", None, "z"), (301, "r8", "a", None, "x"), (302, "r8", "late", None, "x")])
-    assert key(I.ingest(last, save(saves), root)) == sorted([*whole, ("r5", "late", "x"), ("r8", "a", "x")])
+    last = upto("r7") + [(200, "r5", "late", None, "x"), (300, "r8", "same", None, "z"), (301, "r8", "a", None, "x"), (302, "r8", "late", None, "x")]
+    assert call(last) == sorted([*whole, ("r5", "late", "x"), ("r8", "a", "x")])
 
 
 def test_manifest_survives_a_broken_run(spark, tmp_path):
@@ -161,3 +182,5 @@ def test_files_are_listed_with_checksums(spark, tmp_path):
     (tmp_path / "x.bin").write_bytes(b"abc")
     r = I.list_files(spark, str(tmp_path)).first()
     assert (r["size"], len(r.checksum)) == (3, 64)
+    r = I.list_files(spark, str(tmp_path), limit=2).first()
+    assert r["size"] == 3 and r.checksum.startswith("20")  # a time

@@ -69,6 +69,12 @@ def make_path(spark: SparkSession, path: str) -> None:
     fs.mkdirs(target)
 
 
+def move_path(spark: SparkSession, path: str, to: str) -> None:
+    """Rename a path, atomically where the file system can."""
+    fs, source = _fs(spark, path)
+    fs.rename(source, _fs(spark, to)[1])
+
+
 def drop_path(spark: SparkSession, path: str) -> None:
     """Delete a path below the shared folder through the cluster's own file system client."""
     fs, target = _fs(spark, path)
