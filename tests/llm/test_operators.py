@@ -316,6 +316,24 @@ def test_furniture(spark):
     assert boilerplate.furniture(df.limit(0)).count() == 0
 
 
+def test_held_out_pages_in_other_markup_and_with_classes():
+    """Pages the model wasn't fitted on: without a page, with classes on the body's elements, and with other tags."""
+    rng = random.Random(18)
+    train, held = [_page(rng, i) for i in range(150)], [_page(rng, i) for i in range(1000, 1100)]
+    model = boilerplate.fit_pages([p[:3] for p in train])
+    classed = lambda h: re.sub(rb"<(p|h1)>", rb'<\1 class="story">', h)
+    other = lambda h: h.replace(b"<p>", b"<article>").replace(b"</p>", b"</article>").replace(b"ul class='x1'", b"nav").replace(b"</ul>", b"</nav>").replace(b"section", b"footer")
+    for change in (lambda h: None, lambda h: h, classed, other):
+        lines = wrong = 0
+        for t, h, head, bad in held:
+            numbers, cut, _ = boilerplate.label(t, change(h), head, "rss:a", model.odds)
+            lines += len(numbers)
+            wrong += len({n for n, c in zip(numbers, cut) if c} ^ bad)
+        assert wrong <= 0.01 * lines
+    same = boilerplate.fit_pages([(t, classed(h), head) for t, h, head, _ in train])
+    assert np.array_equal(same.weights, model.weights)
+
+
 def test_long_pages_enter_the_fit(spark):
     rng, rows = random.Random(9), []
     for i in range(8):

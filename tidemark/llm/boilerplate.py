@@ -3,10 +3,15 @@
 Every non-blank line of a text is a node of a small graph. A classifier's log odds become its terminal capacity,
 neighbouring lines are joined by smoothness edges, and lines whose page elements are alike (the same path of tags) by
 stronger ones, also across a gap of a few lines. The minimum cut, found by maximum flow, separates the main body from
-the furniture. The classifier is a logistic regression on hashed features of the line, its place and its neighbours;
-its labels come from the pages themselves: text inside links, lists, small print and classed blocks counts as
-furniture, plain paragraphs and headings as body. It is fitted on at most TRAIN_DOCS pages, and used on all texts,
-most of which have no page.
+the furniture. The classifier is a logistic regression on hashed features of the line, its place, its neighbours and,
+where there is a page, the tags around it.
+
+Its labels come from the pages themselves, and not from names of classes or from any one site's markup: text inside
+links or a navigation element is furniture; the headline and dense text (DENSE words and a full stop, outside links) are
+body; a short line that stands on REPEATED pages is furniture if it is worded unlike the dense text, and body if it is
+worded like it. Lines that none of these decides are labelled by the first fit, which may also turn dense text into
+furniture. Each line of the sample is learned with its tags and without them, as most texts have no page. The fit takes
+at most TRAIN_DOCS pages; the model is used on all texts.
 
 Defined results: null texts have no lines; metadata records and texts that are residue have no furniture; a text
 without a page is judged by its words and place alone; line numbers count from 0 over the text split at line feeds.
@@ -31,7 +36,7 @@ from tidemark.session import hash_sample, spread
 
 #: Pages the classifier is fitted on, whatever their length.
 TRAIN_DOCS = 2500
-#: Log odds beyond which the first fit corrects the weak label of a loose element.
+#: Log odds beyond which a fit decides on lines whose weak label is missing or loose.
 SURE = 0.5
 BITS = 16
 #: Words of a line up to which each counts in full.
@@ -39,10 +44,13 @@ FULL = 24
 ADJACENT, ALIKE, REACH = 0.2, 0.3, 3
 #: Sources whose records carry title, abstract, kind and venue with no page around them.
 METADATA = ("openalex:", "crossref:", "ia:")
-# Log odds of furniture that an element's path of tags adds.
-PATHS = {"ul>li>a": 3.0, "section>small": 3.0, "h1": -5.0, "div>b": -5.0, "h2": -2.0, "h3": -2.0, "p": -0.1, "div": -0.3, "blockquote": -2.0}
-CLASSED = 2.5
-LINKED = 2.0
+#: Words from which a line of plain text is dense, and pages on which a line has to stand to count as repeated.
+DENSE, REPEATED = 12, 5
+#: Shares of a line's word pairs that dense text holds too, up to which it is worded unlike it, and from which like it.
+UNLIKE, LIKE = 0.5, 0.8
+# Elements that run inside a line, elements for navigation by their HTML definition.
+INLINE = frozenset("a b i em strong span small u s mark sup sub abbr cite code time q font label".split())
+NAVIGATION = frozenset("nav footer aside menu form button".split())
 
 _TAG = re.compile(r"<(/?)([a-zA-Z][\w-]*)([^>]*)>([^<]*)")
 _VOID = {"meta", "br", "img", "link", "input", "hr", "base", "source", "wbr", "area", "col"}
@@ -52,36 +60,57 @@ _WORD = re.compile(r"[^\W\d_]+|\d+|[|•·>©#]")
 _MASK = (1 << BITS) - 1
 
 
-def elements(page: bytes | None) -> dict[str, list[tuple[str, bool]]]:
-    """ASCII part of each piece of visible text -> (path of tags below body, whether its element has a class), in order."""
+def elements(page: bytes | None) -> dict[str, list[str]]:
+    """ASCII part of each block of visible text -> its places in order.
+
+    A place is the path of tags below body, and after a bar the inline elements that hold nearly all of the text.
+    """
     if not page:
         return {}
-    if page[:2] in (b"\xff\xfe", b"\xfe\xff"):
-        text = page.decode("utf-16", "replace")
-    else:
-        text = page.decode("latin-1")
-    out: dict[str, list] = {}
+    text = page.decode("utf-16", "replace") if page[:2] in (b"\xff\xfe", b"\xfe\xff") else page.decode("latin-1")
+    out: dict[str, list[str]] = {}
     stack: list[str] = []
-    classed = False
-    for close, tag, attrs, inner in _TAG.findall(text):
+    inline: list[str] = []
+    parts: list[str] = []
+    held: dict[str, int] = {}
+
+    def close() -> None:
+        if key := "".join(parts):
+            whole = sorted(t for t, n in held.items() if n >= 0.8 * len(key))
+            out.setdefault(key, []).append(">".join(t for t in stack if t not in ("html", "body")) + "|" + " ".join(whole))
+        parts.clear()
+        held.clear()
+
+    for end, tag, _, inner in _TAG.findall(text):
         tag = tag.lower()
-        if close:
-            if tag in stack:
+        if tag in INLINE:
+            if not end:
+                inline.append(tag)
+            elif tag in inline:
+                while inline.pop() != tag:
+                    pass
+        elif tag in _VOID:
+            if tag in ("br", "hr"):
+                close()
+        else:
+            close()
+            inline.clear()
+            if not end:
+                stack.append(tag)
+            elif tag in stack:
                 while stack.pop() != tag:
                     pass
-            classed = False
-        elif tag not in _VOID:
-            stack.append(tag)
-            classed = "class" in attrs or (classed and tag in ("li", "a", "small", "b", "span"))
         if inner and not inner.isspace() and not (stack and stack[-1] in _HIDDEN):
             key = _KEY.sub("", html.unescape(inner) if "&" in inner else inner)
-            if key:
-                out.setdefault(key, []).append((">".join(t for t in stack if t not in ("html", "body", "a" if "li" not in stack else "")), classed))
+            parts.append(key)
+            for t in set(inline):
+                held[t] = held.get(t, 0) + len(key)
+    close()
     return out
 
 
-def paths(lines: list[str], page: bytes | None) -> list[tuple[str, bool] | None]:
-    """The element of each line, where the page has one with its text."""
+def paths(lines: list[str], page: bytes | None) -> list[str | None]:
+    """The place of each line, where the page has a block with its text."""
     found = elements(page)
     if not found:
         return [None] * len(lines)
@@ -99,15 +128,10 @@ def paths(lines: list[str], page: bytes | None) -> list[tuple[str, bool] | None]
     return out
 
 
-def dom_odds(place: tuple[str, bool] | None) -> float:
-    if place is None:
-        return 0.0
-    path, classed = place
-    if path in PATHS and not (classed and path in ("p", "div")):
-        return PATHS[path]
-    if classed:
-        return CLASSED
-    return LINKED if "a" in path.split(">") or "li" in path.split(">") or "nav" in path or "footer" in path else 0.0
+def tags(place: str) -> list[int]:
+    """Hashed features of a place: the whole of it, and each of its tags."""
+    path, inline = place.split("|")
+    return [crc32(x.encode()) & _MASK for x in (f"D{place}", *(f"d{t}" for t in {*path.split(">"), *inline.split()}))]
 
 
 def _size(n: int) -> int:
@@ -199,7 +223,7 @@ class Classifier:
         return np.add.reduceat(self.weights[flat] * value, np.cumsum(sizes) - sizes).astype(float)
 
 
-def smooth_edges(places: list[tuple[str, bool] | None]) -> list[tuple[int, int, float]]:
+def smooth_edges(places: list[str | None]) -> list[tuple[int, int, float]]:
     """Adjacent lines, and lines within REACH whose elements are alike; where there is no page, adjacency alone."""
     n, out = len(places), []
     for i in range(n - 1):
@@ -277,8 +301,49 @@ def split(text: str) -> tuple[list[int], list[str]]:
     return numbers, lines
 
 
-def weak_labels(places: list[tuple[str, bool] | None]) -> list[int | None]:
-    return [None if p is None or not (z := dom_odds(p)) else int(z > 0) for p in places]
+def same_words(line: str) -> str:
+    return re.sub(r"\b\d+\b", "#", line.lower())
+
+
+def _pairs(line: str) -> list[str]:
+    words = _WORD.findall(same_words(line))
+    return [f"{a} {b}" for a, b in zip(words, words[1:])] or words
+
+
+def weak_labels(pages: list[tuple[list[str], list[str | None], str | None]]) -> list[list[int | None]]:
+    """1 for furniture, 0 for body or None for each line of pages given as (lines, places, title)."""
+    held: dict[str, set] = {}
+    for n, (lines, _, title) in enumerate(pages):
+        for x in set(map(same_words, lines)):
+            held.setdefault(x, set()).add(title or n)  # edited copies keep their title
+    often = {x for x, t in held.items() if len(t) >= REPEATED}
+
+    def linked(place: str | None) -> bool:
+        if place is None:
+            return False
+        path, inline = place.split("|")
+        return "a" in inline.split() or not NAVIGATION.isdisjoint(path.split(">"))
+
+    def dense(line: str, place: str | None) -> bool:
+        return line.count(" ") + 1 >= DENSE and _ending(line) == "." and not linked(place) and same_words(line) not in often
+
+    seen = {x for lines, places, _ in pages for line, p in zip(lines, places) if dense(line, p) for x in _pairs(line)}
+    out = []
+    for lines, places, title in pages:
+        own: list[int | None] = []
+        for line, p in zip(lines, places):
+            if linked(p):
+                own.append(1)
+            elif dense(line, p) or (p or "").split("|")[0].split(">")[-1] == "h1" or (title and line == title.strip()):
+                own.append(0)
+            elif same_words(line) in often:
+                pairs = _pairs(line)
+                share = sum(x in seen for x in pairs) / len(pairs) if pairs else 0.0
+                own.append(1 if share <= UNLIKE else 0 if share >= LIKE else None)
+            else:
+                own.append(None)
+        out.append(own)
+    return out
 
 
 def train(docs: DataFrame) -> Classifier:
@@ -289,27 +354,38 @@ def train(docs: DataFrame) -> Classifier:
 
 
 def fit_pages(rows: list[tuple[str, bytes, str | None]]) -> Classifier:
-    """Fit on (text, page, title) rows, then again with the labels of loose elements corrected.
+    """Fit on (text, page, title) rows by their weak labels, then twice more with labels corrected by the fit before.
 
-    Pages set some furniture in plain paragraphs, so those paragraphs and blocks that the first fit takes for furniture
-    become furniture; all else keeps its weak label.
+    Lines without a label take the fit's where it is SURE; dense text and lines worded like it may become furniture.
     """
-    feats, labels, loose = [], [], []
+    pages = []
     for text, page, title in rows:
         _, lines = split(text)
-        places = paths(lines, page)
-        for f, y, p in zip(features(lines, title), weak_labels(places), places):
-            if y is not None:
-                feats.append(f)
-                labels.append(y)
-                loose.append(p[0] in ("p", "div"))
-    y, loose = np.array(labels, float), np.array(loose, bool)
-    model = Classifier.fit(feats, y)
+        pages.append((lines, paths(lines, page), title))
+    feats, labels, heads = [], [], []
+    for (lines, places, title), own in zip(pages, weak_labels(pages)):
+        for f, y, p, line in zip(features(lines, title), own, places, lines):
+            feats.append((f, p))
+            labels.append(-1 if y is None else y)
+            heads.append((p or "").endswith("h1|") or bool(title and line == title.strip()))
+    if not feats:
+        return Classifier.fit([], np.zeros(0))
+    weak, heads = np.array(labels, float), np.array(heads, bool)
+    bare = [f for f, _ in feats]
+    tagged = [_with(f, p) for f, p in feats if p is not None]
+    has = np.array([p is not None for _, p in feats], bool)
+    y = weak
     for _ in range(2):
-        odds = model.odds(feats)
-        y = np.where(loose & (odds > SURE), 1.0, y)
-        model = Classifier.fit(feats, y)
-    return model
+        use = y >= 0
+        odds = Classifier.fit([f for f, u in zip(bare, use) if u], y[use], epochs=2).odds(bare)
+        y = np.where(weak == 1, 1.0, np.where(odds > SURE, 1.0, np.where((weak == 0) | (odds < -SURE), 0.0, -1.0)))
+        y[heads] = 0.0
+    use = y >= 0
+    return Classifier.fit([f for f, u in zip(bare, use) if u] + [f for f, u in zip(tagged, use[has]) if u], np.concatenate((y[use], y[has][use[has]])), epochs=4)
+
+
+def _with(f: Row, place: str | None) -> Row:
+    return f if place is None else (tags(place) + f[0], f[1], f[2])
 
 
 def label(text: str | None, page: bytes | None, title: str | None, source: str | None, odds_of) -> tuple[list[int], list[bool], list[float]]:
@@ -320,7 +396,7 @@ def label(text: str | None, page: bytes | None, title: str | None, source: str |
     if (source or "").startswith(METADATA) or assess(text, False)[1]:
         return numbers, [False] * len(lines), [-9.0] * len(lines)
     places = paths(lines, page)
-    odds = [float(max(-8.0, min(8.0, z))) + dom_odds(p) for z, p in zip(odds_of(features(lines, title)), places)]
+    odds = np.clip(odds_of([_with(f, p) for f, p in zip(features(lines, title), places)]), -8.0, 8.0).tolist()
     return numbers, min_cut(odds, smooth_edges(places)), odds
 
 
