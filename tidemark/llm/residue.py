@@ -1,8 +1,8 @@
 """Template residue, filler, error pages and script notices in place of content (problem 1).
 
-One multi-pattern automaton finds all phrases in a single pass over the lower-cased text. A field is residue when the
-phrases cover at least COVERAGE of its letters and digits (a site's name at the end of a short field and menu lines are
-left out of the count), or when it holds an unfilled placeholder anywhere; placeholder syntax is checked only where the automaton
+One multi-pattern automaton finds all phrases (phrases.py) in a single pass over the lower-cased text. A field is residue
+when the phrases cover at least COVERAGE of its letters and digits (a site's name at the end of a short field and menu
+lines are left out of the count), TELLING of them by phrases that say themselves what is wrong, or when it holds an unfilled placeholder anywhere; placeholder syntax is checked only where the automaton
 met one of its openers. A long text that quotes such a phrase stays far below the coverage.
 
 Defined results: null, empty and blank fields and bare addresses are no residue; whole texts are read, however long.
@@ -17,41 +17,22 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import types as T
 
+from tidemark.llm.phrases import phrases
 from tidemark.session import spread
 
 COVERAGE = 0.6
 
-# Phrases by kind, in the languages of the corpus.
-ERROR = [
-    "acesso bloqueado", "acesso negado", "página não encontrada", "ops! não achamos esta página", "o conteúdo que você procura saiu do ar", "falha interna do servidor",
-    "serviço temporariamente indisponível", "estamos em manutenção", "sessão expirada", "seu pedido foi recusado", "tente de novo em alguns minutos", "confira se o link está correto",
-    "o endereço digitado não existe ou mudou de lugar", "volte para a página inicial", "se o problema persistir, avise a equipe técnica", "prove que não é um robô marcando a caixa abaixo",
-    "detectamos tráfego incomum na sua rede",
-    "access denied", "we can't find that page", "request blocked", "page not found", "bad gateway", "service unavailable", "down for maintenance", "session expired", "internal server error", "please try again in a few minutes",
-    "check the link and retry", "the address does not exist or has moved", "return to the front page", "tick the box to show you are human", "unusual traffic was detected from your network",
-    "acceso bloqueado", "acceso denegado", "página no encontrada", "no pudimos hallar la página", "servicio no disponible", "intente otra vez en unos minutos",
-    "la dirección no existe o cambió de lugar", "vuelva a la portada",
-    "accès bloqué", "accès refusé", "page introuvable", "service indisponible", "réessayez dans quelques minutes", "l'adresse n'existe pas ou a changé", "retour à l'accueil",
-]
-SCRIPT = [
-    "sem suporte a script não é possível exibir a matéria", "ative o javascript no navegador para ver esta página", "este conteúdo precisa de javascript para funcionar",
-    "seu navegador está com os scripts desligados; habilite-os e recarregue", "carregando... se nada aparecer, verifique se os scripts estão permitidos", "aguarde, verificando o seu navegador",
-    "this reader requires javascript and cookies", "you need to enable javascript to run this app", "scripts are disabled in your browser. turn them on and reload",
-    "please enable javascript to continue", "veuillez activer javascript pour lire cet article", "habilite los scripts de su navegador", "es necesario activar javascript para continuar",
-]
-FILLER = [
-    "insert body copy here", "título da página aqui", "escreva o seu texto aqui", "escriba aquí su texto", "headline goes here", "aqui vai o corpo da matéria", "[texto provisório]", "texto provisório",
-    "texto de exemplo. substituir antes de publicar", "sample text", "parágrafo modelo", "teste", "tk", "blá", "xxxxx", "xxxx", "xxxxxx", "xxx", "votre texte ici", "your text here",
-]
-LOREM = (
-    "lorem ipsum dolor sit amet consectetur adipiscing elit sed eiusmod tempor incididunt labore dolore magna aliqua enim minim veniam quis nostrud ullamco laboris nisi aliquip commodo consequat "
-    "nulla pariatur excepteur sint occaecat cupidatat proident mollit laborum vitae velit urna nunc augue donec libero ligula porta risus sapien semper tortor massa mauris lectus integer "
-    "fringilla facilisis egestas curabitur pulvinar ornare vestibulum"
-).split()
+#: Least share that phrases which say by themselves what is wrong need; the rest may be advice and the like around them.
+TELLING = 0.1
 OPENERS = ["{", "<%", "<?", "[[", "[inserir ", "[insert", "[insér", "[object object]", "__", "@@", "%(", "%"]
 
 #: Texts whose words vary: error numbers and incident codes.
-NUMBERED = re.compile(r"\b(?:erro|error|erreur) [1-5]\d\d\b|\b(?:código da ocorrência|incident id|código del incidente|code d'incident) ?: [0-9a-f]{4,}")
+NUMBERED = re.compile(
+    r"\b(?:http|erro|error|erreur|errore|fehler|fout|hata|błąd|ошибка)(?: (?:http|code|código|codice))?:? #?[1-5]\d\d\b"
+    r"|\b(?:código da ocorrência|incident id|código del incidente|code d'incident|ray id|request id|reference id|support id) ?:? ?#?[0-9a-f][0-9a-f.-]{3,}"
+)
+#: A status code that stands beside such a phrase.
+STATUS = re.compile(r"(?<![\w.,])[45]\d\d(?![\w]|[.,]\d)")
 _ID = r"[A-Za-z_$][\w.]*"
 PLACEHOLDER = re.compile(
     rf"\{{\{{\s*{_ID}\s*\}}\}}|\{{%\s*{_ID}\s*%\}}|<%=?\s*{_ID}\s*%>|<\?=?\s*{_ID}\s*\?>|[$#]?\{{\s*(?:{_ID}|\d+)\s*\}}|\[\[\s*{_ID}\s*\]\]|\[(?:INSERIR|INSERT|INSERTAR|INSÉRER) [^\]\n]{{1,60}}\]"
@@ -61,7 +42,7 @@ ADDRESS = re.compile(r"\s*(?:[a-z]+://)?[\w.-]+\.[a-z]{2,}(?::\d+)?(?:/\S*)?\s*"
 SITE = re.compile(r"\s[-|—–]\s[^\s|—–][^|—–\n]{0,40}$")
 #: A line of at least three short entries between bars is a menu; it is no content beside which phrases could be few.
 MENU = re.compile(r"^(?:[^|\n]{1,30}\|){2,}[^|\n]{1,30}$", re.M)
-SIGN = re.compile(r"[^\W_]")
+_PLAIN = str.maketrans("\u2019\u00a0", "' ")
 
 _automaton = None
 
@@ -73,9 +54,8 @@ def automaton():
         import ahocorasick
 
         _automaton = ahocorasick.Automaton()
-        for kind, phrases in (("lorem", LOREM), ("filler", FILLER), ("error", ERROR), ("script", SCRIPT), ("opener", OPENERS)):
-            for p in phrases:
-                _automaton.add_word(p, (kind, len(p)))
+        for p, kind in (phrases() | dict.fromkeys(OPENERS, "opener")).items():
+            _automaton.add_word(p, (kind, len(p)))
         _automaton.make_automaton()
     return _automaton
 
@@ -87,11 +67,13 @@ def assess(text: str | None, short: bool) -> tuple[float, str | None]:
     low = text.lower()
     if len(low) != len(text):  # a letter that grows in lower case would shift the spans
         low = "".join(c if len(c.lower()) != 1 else c.lower() for c in text)
+    if not low.isascii():
+        low = low.translate(_PLAIN)
     end = len(low)
     if short and (m := SITE.search(low)) and m.start():
         end = m.start()
     spans: list[tuple[int, int, str]] = []
-    opener = False
+    opener = telling = False
     for stop, (kind, n) in automaton().iter(low):
         if kind == "opener":
             opener = True
@@ -99,25 +81,28 @@ def assess(text: str | None, short: bool) -> tuple[float, str | None]:
         start, stop = stop + 1 - n, stop + 1
         if stop <= end and not (start and low[start].isalnum() and low[start - 1].isalnum()) and not (stop < len(low) and low[stop - 1].isalnum() and low[stop].isalnum()):
             spans.append((start, stop, kind))
+            telling |= kind != "related"
     if opener and PLACEHOLDER.search(text):
         return 1.0, "placeholder"
-    if not spans and not ("err" in low or "inciden" in low or "ocorr" in low):
-        return 0.0, None
-    spans += [(m.start(), m.end(), "error") for m in NUMBERED.finditer(low, 0, end)]
-    if not spans:
+    numbered = [(m.start(), m.end(), "error") for m in NUMBERED.finditer(low, 0, end)]
+    if not telling and not numbered:
         return 0.0, None
-    spans.sort(key=lambda s: (s[0], -s[1]))
-    covered, at, weight = 0, 0, {}
-    for start, stop, kind in spans:
-        if stop > at:
-            n = len(SIGN.findall(low[max(start, at) : stop]))
-            covered += n
-            weight[kind] = weight.get(kind, 0) + n
-            at = stop
-    total = len(SIGN.findall(low[:end]))
+    spans += numbered
+    spans += [(m.start(), m.end(), "related") for m in STATUS.finditer(low, 0, end)]
+    # telling phrases are counted first, so that related ones only add what they alone cover
+    marks, weight = bytearray(end), {}
+    for start, stop, kind in sorted(spans, key=lambda s: (s[2] == "related", s[0] - s[1])):
+        n = sum(not marks[i] and low[i].isalnum() for i in range(start, stop))
+        marks[start:stop] = b"\1" * (stop - start)
+        weight[kind] = weight.get(kind, 0) + n
+    covered = sum(weight.values())
+    total = sum(c.isalnum() for c in low[:end])
     if covered < COVERAGE * total:
-        total -= sum(len(SIGN.findall(m.group())) for m in MENU.finditer(low, 0, end))
-    share = covered / total if total else 0.0
+        total -= sum(sum(c.isalnum() for c in m.group()) for m in MENU.finditer(low, 0, end))
+    related = weight.pop("related", 0)
+    if not total or not weight or covered - related < TELLING * total:
+        return (covered - related) / total if total else 0.0, None
+    share = covered / total
     kind = max(weight, key=lambda k: (weight[k], k)).replace("lorem", "filler")
     return share, kind if share >= COVERAGE else None
 
