@@ -424,6 +424,35 @@ def test_nearest_equals_brute_force():
         assert np.allclose(np.sort(dense @ q)[::-1][: len(s)], s, atol=1e-5)
 
 
+def test_scores_equal_brute_force():
+    rng = random.Random(14)
+    vocabulary = [f"palavra{chr(97 + i // 26)}{chr(97 + i % 26)}" for i in range(90)]
+    bad = vocabulary[:12]
+    say = lambda words, k: " ".join(rng.choices(words, k=k)) + "."
+    texts = [" ".join([say(vocabulary, 5), say(bad + vocabulary[:25], 4) if i % 4 == 0 else say(vocabulary, 3), say(vocabulary, 1)]) for i in range(500)]
+    labels = [int(i % 4 == 0) for i in range(300)]
+    p = abuse.Passages(texts)
+    n = np.bincount(p.bucket, minlength=1 << abuse.BITS)
+    index, _ = abuse.fit(texts[:300], labels, abuse.idf_of([(-1, p.count), *((int(b), int(n[b])) for b in np.nonzero(n)[0])]))
+    assert index.n_pos > 2 * abuse.BLOCK  # abusive examples in several blocks
+    got, w = index.scores(p), p.weights(index.idf)
+    dense = np.zeros((index.n, 1 << abuse.BITS), np.float32)
+    dense[np.repeat(np.arange(index.n), index.size), index.bucket] = index.weight
+    some = 0
+    for j in range(p.count):
+        q = np.zeros(1 << abuse.BITS, np.float32)
+        at = slice(p.first[j], p.first[j] + p.size[j])
+        q[p.bucket[at]] = w[at]
+        c = dense @ q
+        top = np.lexsort((np.arange(index.n), -c))[: abuse.K]
+        top = top[c[top] > abuse.NEAR]
+        vote = np.minimum(c[top], 1) ** abuse.POWER
+        want = float((vote * index.pos[top] / (index.pos[top] + index.neg[top])).sum() / (vote.sum() + abuse.SILENT))
+        some += want > 0
+        assert abs(want - got[j]) < 2e-3, (want, got[j])  # equal cosines may be told apart by rounding
+    assert some > 100
+
+
 @pytest.mark.parametrize(("a", "b"), [("vaaagaaabuuundaaa", "vagabunda"), ("d3v4g4r", "devagar"), ("MORON", "moron"), ("Réu", "reu")])
 def test_words_are_normalised(a, b):
     assert abuse.normal(a) == b

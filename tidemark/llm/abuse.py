@@ -6,11 +6,12 @@ written as digits, letters drawn out or spaced out. Examples are the passages of
 
 A positive document's ordinary passages are no examples of abuse: those whose weight lies mostly on words that are no
 more usual in positive documents than elsewhere are left out, by the labels and by how much of what all documents hold
-of these words stands in labelled positive ones: a site's name is met far more often outside. The examples stand in an inverted index in blocks, with
-the greatest weight of each word in each block. The same bound over all positive examples as one block shows which
-passages can't come within NEAR of any of them; the rest get their K nearest examples, exactly, by opening blocks in
-the order of their bounds until no closed block can hold a nearer one. Votes weigh with the POWER of the cosine, and
-SILENT adds the weight of a silent negative vote, so a passage far from all examples scores low. The score of a
+of these words stands in labelled positive ones: a site's name is met far more often outside. The examples stand in an inverted index in blocks of alike ones, with
+the greatest weight of each word in each block. A passage's bound over a block is the sum of its own weights times these
+maxima, so no example of a block with a lower bound can be nearer. Of a passage's K nearest examples those with a cosine
+of NEAR or more vote, with the POWER of the cosine (the kernel ends there, so farther ones have no weight and needn't be
+searched for); SILENT adds the weight of a silent negative vote. A passage without an abusive example within NEAR
+therefore scores 0, which the bounds show for most passages without a cosine being computed. The score of a
 document is that of its worst passage, which comes with it as evidence; scores are mapped to rates by the labelled
 documents scored without their own examples.
 
@@ -36,16 +37,20 @@ from tidemark.session import hash_sample, spread
 LABELLED = 4000
 BITS = 18
 K, POWER, SILENT = 9, 6, 0.02
-#: Least cosine with a positive example at which a passage is searched for at all.
+#: Least cosine of an example that votes.
 NEAR = 0.45
 #: Share of abusive documents a passage of a positive document needs, by weight of its words, to be an example.
 PURE = 0.4
-BLOCK = 64
+BLOCK = 16
+#: Rounding of sums of single-precision weights, by which bounds are loosened.
+SLACK = 1e-5
 #: Least part of the median example's share of its words' occurrences in all documents that stands in positive ones.
 HELD = 0.2
 #: Score from which a document counts as found.
 FOUND = 0.5
 MEMO = 400_000
+#: Tasks a core that count words.
+TASKS = 4
 
 _TOKEN = re.compile(r"[^\W_]+(?:[*@$][^\W_]*)*|[.!?:…]")
 _SPACED = re.compile(r"(?<![^\W_])[^\W\d_](?:[ .\-_*][^\W\d_]){3,}(?![^\W_])")
@@ -148,7 +153,11 @@ class Passages:
 
 
 def frequencies(docs: DataFrame, text: str) -> DataFrame:
-    """(bucket, n): passages that hold a word, by bucket; bucket -1 counts all. One row per bucket and task is shuffled."""
+    """(bucket, n): passages that hold a word, by bucket; bucket -1 counts all.
+
+    A task sends a row for each bucket it met, so a large input is read by TASKS tasks a core and not by one for each of
+    its splits: the rows shuffled depend on the cluster, not on the data.
+    """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         n, total = np.zeros(1 << BITS, np.int64), 0
@@ -159,7 +168,8 @@ def frequencies(docs: DataFrame, text: str) -> DataFrame:
         at = np.nonzero(n)[0]
         yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(([-1], at)), pa.int32()), pa.array(np.concatenate(([total], n[at])), pa.int64())], names=["bucket", "n"])
 
-    part = spread(docs.filter(F.col(text).isNotNull()), text).mapInArrow(run, "bucket int, n long")
+    src = spread(docs.filter(F.col(text).isNotNull()), text)
+    part = src.coalesce(TASKS * max(2, docs.sparkSession.sparkContext.defaultParallelism)).mapInArrow(run, "bucket int, n long")
     return part.groupBy("bucket").agg(F.sum("n").alias("n"))
 
 
@@ -173,12 +183,18 @@ def idf_of(counts: list[tuple[int, int]]) -> np.ndarray:
     return np.log((total + 1) / (n + 1)).astype(np.float64)
 
 
+def _ranges(start: np.ndarray, size: np.ndarray) -> np.ndarray:
+    """start[0], start[0] + 1, ... for each range, end to end."""
+    size = size.astype(np.int64)
+    return np.repeat(start - (np.cumsum(size) - size), size) + np.arange(int(size.sum()))
+
+
 class Index:
-    """Labelled examples in blocks, with block maxima; small enough to travel with the closure, by LABELLED."""
+    """Labelled examples in blocks, with block maxima; its size is in proportion to the examples' words, bounded by LABELLED."""
 
     def __init__(self, idf: np.ndarray, rows: list[tuple[np.ndarray, np.ndarray, int, int]]):
         """rows: (buckets, weights, abusive documents, other documents) of each distinct example."""
-        # alike examples share blocks when sorted by their heaviest word
+        # abusive examples first; alike ones share blocks when sorted by their heaviest word
         rows = sorted(rows, key=lambda r: (r[2] == 0, int(r[0][np.argmax(r[1])]) if len(r[0]) else 0, r[0].tobytes()))
         self.idf = idf
         self.size = np.array([len(r[0]) for r in rows], int)
@@ -187,60 +203,52 @@ class Index:
         self.weight = np.concatenate([r[1] for r in rows]).astype(np.float32) if rows else np.empty(0, np.float32)
         self.pos, self.neg = (np.array([r[k] for r in rows], float) for k in (2, 3))
         self.n = len(rows)
-        # the abusive examples stand first; their words, and the examples as columns over just those words
         self.n_pos = int((self.pos > 0).sum())
-        end = int(self.first[self.n_pos])
-        self.words, column = np.unique(self.bucket[:end], return_inverse=True)
-        self.dense = np.zeros((len(self.words), self.n_pos), np.float32)
-        self.dense[column, np.repeat(np.arange(self.n_pos), self.size[: self.n_pos])] = self.weight[:end]
-        self.column = np.full(1 << BITS, -1, np.int32)
-        self.column[self.words] = np.arange(len(self.words))
-        self.most = np.zeros(1 << BITS, np.float32)  # greatest weight of each word over all of them: their block bound
-        np.maximum.at(self.most, self.bucket[:end], self.weight[:end])
         block = np.repeat(np.arange(self.n) // BLOCK, self.size)
-        key = self.bucket.astype(np.int64) << 32 | block
-        uniq, at = np.unique(key, return_inverse=True)
+        uniq, at = np.unique(self.bucket.astype(np.int64) << 32 | block, return_inverse=True)
         peak = np.zeros(len(uniq), np.float32)
         np.maximum.at(peak, at, self.weight)
         self.blocks = -(-self.n // BLOCK)
         self.post_bucket, self.post_block, self.post_max = (uniq >> 32).astype(np.int32), (uniq & 0xFFFFFFFF).astype(np.int32), peak
+        # postings of the blocks that hold abusive examples, and all of these blocks as one
+        mine = self.post_block < -(-self.n_pos // BLOCK)
+        self.pos_block, self.pos_max = self.post_block[mine], peak[mine]
+        self.pos_start = np.searchsorted(self.post_bucket[mine], np.arange((1 << BITS) + 1)).astype(np.int32)
+        self.most = np.zeros(1 << BITS, np.float32)
+        np.maximum.at(self.most, self.post_bucket[mine], self.pos_max)
         self.memo: dict = {}
+        self.query = np.zeros(1 << BITS, np.float32)
 
-    def nearest(self, bucket: np.ndarray, weight: np.ndarray, k: int = K) -> tuple[np.ndarray, np.ndarray]:
-        """(examples, cosines) of the k nearest, exactly."""
+    def cosines(self, ids: np.ndarray) -> np.ndarray:
+        """Cosines of the current query with some examples."""
+        sizes = self.size[ids]
+        flat = _ranges(self.first[ids], sizes)
+        return np.bincount(np.repeat(np.arange(len(ids)), sizes), self.query[self.bucket[flat]] * self.weight[flat], len(ids))
+
+    def nearest(self, bucket: np.ndarray, weight: np.ndarray, k: int = K, least: float = 0.0) -> tuple[np.ndarray, np.ndarray]:
+        """(examples, cosines) of the k nearest with a cosine above `least`, exactly: blocks are opened in the order of
+        their bounds until no closed one can hold a nearer example; of equal cosines the first example wins."""
         lo = np.searchsorted(self.post_bucket, bucket, "left")
         hi = np.searchsorted(self.post_bucket, bucket, "right")
         bound = np.zeros(self.blocks)
         for a, b, w in zip(lo, hi, weight):
             if b > a:
                 bound[self.post_block[a:b]] += w * self.post_max[a:b]
-        # blocks with abusive examples are open already: their cosines come from the columns
-        bound[: self.n_pos // BLOCK] = 0
-        at = self.column[bucket]
-        s = weight[at >= 0].astype(np.float32) @ self.dense[at[at >= 0]]
-        best_i = np.argsort(-s, kind="stable")[:k]
-        best_s = s[best_i].astype(float)
         order = np.argsort(-bound, kind="stable")
-        order = order[bound[order] > (best_s[-1] if len(best_s) == k else 0)]
-        query = np.zeros(1 << BITS, np.float32) if not hasattr(self, "_query") else self._query
-        self._query = query
-        query[bucket] = weight
+        order = order[bound[order] > least - SLACK]
+        best_i, best_s = np.empty(0, int), np.empty(0)
+        self.query[bucket] = weight
         step = 8
         for at in range(0, len(order), step):
-            if len(best_s) == k and bound[order[at]] <= best_s[-1]:
+            if len(best_s) == k and bound[order[at]] < best_s[-1] - SLACK:
                 break
             ids = (order[at : at + step, None] * BLOCK + np.arange(BLOCK)).reshape(-1)
-            ids = ids[(ids < self.n) & (ids >= self.n_pos)]
-            if not len(ids):
-                continue
-            sizes = self.size[ids]
-            flat = np.repeat(self.first[ids] - (np.cumsum(sizes) - sizes), sizes) + np.arange(int(sizes.sum()))
-            s = np.bincount(np.repeat(np.arange(len(ids)), sizes), query[self.bucket[flat]] * self.weight[flat], len(ids))
-            best_i, best_s = np.concatenate((best_i, ids)), np.concatenate((best_s, s))
+            ids = ids[ids < self.n]
+            best_i, best_s = np.concatenate((best_i, ids)), np.concatenate((best_s, self.cosines(ids)))
             top = np.lexsort((best_i, -best_s))[:k]
             best_i, best_s = best_i[top], best_s[top]
-        query[bucket] = 0
-        keep = best_s > 0
+        self.query[bucket] = 0
+        keep = best_s > least
         return best_i[keep], best_s[keep]
 
     def vote(self, bucket: np.ndarray, weight: np.ndarray, own: int | None = None) -> float:
@@ -249,7 +257,7 @@ class Index:
         key = (bucket.tobytes(), weight.astype(np.float32).tobytes(), own)
         if key in self.memo:
             return self.memo[key]
-        i, s = self.nearest(bucket, weight, K if own is None else K + 2)
+        i, s = self.nearest(bucket, weight, K if own is None else K + 2, NEAR)
         pos, neg = self.pos[i].copy(), self.neg[i].copy()
         if own is not None:
             same = s > 1 - 1e-5
@@ -264,25 +272,46 @@ class Index:
         self.memo[key] = out
         return out
 
+    def reached(self, p: Passages, w: np.ndarray) -> np.ndarray:
+        """Passages with an abusive example within NEAR: the bounds leave few blocks, whose examples are then compared."""
+        bound = np.bincount(p.passage, w * self.most[p.bucket], p.count)
+        maybe = np.nonzero(bound >= NEAR - SLACK)[0]
+        blocks = int(self.pos_block.max()) + 1
+        held = np.concatenate((p.passage << BITS | p.bucket, [np.iinfo(np.int64).max]))  # ascending
+        hit = np.zeros(p.count, bool)
+        for lo in range(0, len(maybe), 4096):
+            part = maybe[lo : lo + 4096]
+            n = p.size[part]
+            at = _ranges(p.first[part], n)
+            a = self.pos_start[p.bucket[at]]
+            m = self.pos_start[p.bucket[at] + 1] - a
+            post = _ranges(a, m)
+            own = np.repeat(np.repeat(np.arange(len(part)), n), m)
+            sums = np.bincount(own * blocks + self.pos_block[post], np.repeat(w[at], m) * self.pos_max[post], len(part) * blocks)
+            near = np.nonzero(sums >= NEAR - SLACK)[0]
+            for k in range(0, len(near), 2048):
+                who, block = np.divmod(near[k : k + 2048], blocks)
+                start = block * BLOCK
+                count = np.minimum(start + BLOCK, self.n) - start
+                ids, q = _ranges(start, count), np.repeat(part[who], count)
+                sizes = self.size[ids]
+                flat = _ranges(self.first[ids], sizes)
+                key = np.repeat(q, sizes) << BITS | self.bucket[flat]
+                place = np.searchsorted(held, key)
+                product = np.where(held[place] == key, w[np.minimum(place, len(w) - 1)], 0.0) * self.weight[flat]
+                cosine = np.bincount(np.repeat(np.arange(len(ids)), sizes), product, len(ids))
+                hit[q[(cosine > NEAR) & (ids < self.n_pos)]] = True
+        return np.nonzero(hit)[0]
+
     def scores(self, p: Passages, own: np.ndarray | None = None) -> np.ndarray:
-        """Score of each passage of a batch; 0 where the bound shows that no abusive example is near."""
+        """Score of each passage of a batch."""
         w = p.weights(self.idf)
         out = np.zeros(p.count)
         if not p.count or not self.n_pos:
             return out
-        bound = np.bincount(p.passage, w * self.most[p.bucket], p.count)
-        maybe = np.nonzero(bound >= NEAR)[0]
-        for lo in range(0, len(maybe), 1024):
-            part = maybe[lo : lo + 1024]
-            n = p.size[part]
-            at = np.repeat(p.first[part] - (np.cumsum(n) - n), n) + np.arange(int(n.sum()))
-            column = self.column[p.bucket[at]]
-            hit = column >= 0
-            rows = np.zeros((len(part), len(self.words)), np.float32)
-            rows[np.repeat(np.arange(len(part)), n)[hit], column[hit]] = w[at][hit]
-            for j in part[(rows @ self.dense).max(axis=1) >= NEAR]:
-                a, b = p.first[j], p.first[j] + p.size[j]
-                out[j] = self.vote(p.bucket[a:b], w[a:b], None if own is None else int(own[p.owner[j]]))
+        for j in self.reached(p, w):
+            a, b = p.first[j], p.first[j] + p.size[j]
+            out[j] = self.vote(p.bucket[a:b], w[a:b], None if own is None else int(own[p.owner[j]]))
         return out
 
 
