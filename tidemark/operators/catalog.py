@@ -7,17 +7,21 @@ from pyspark.sql import functions as F
 
 from tidemark.functions import text as X
 from tidemark.functions import url as U
-from tidemark.session import durable
+from tidemark.session import drop_path, durable_path, scratch
 
 COLUMNS = ["id", "url", "dominio", "estrato", "titulo", "publicado_em", "capturado_em", "snapshot", "hash_texto", "nivel", "identificadores", "categorias", "primeira_rodada", "lexico_versao"]
 
 
 def entries(items: DataFrame, strata: DataFrame, least: int = 3) -> DataFrame:
-    """Catalogue rows (with ord) of triaged items of at least a level; arrays joined by semicolons, missing values empty."""
+    """Catalogue rows (with ord) of triaged items of at least a level; arrays joined by semicolons, missing values empty.
+
+    The title is the displayed one (`exibido`) where the items have it.
+    """
     rows = items.filter((F.col("situacao") == "triado") & (F.coalesce("nivel", F.lit(0)) >= least) & F.col("url").isNotNull())
     plain = U.unarchived(F.col("url"))
     s = strata.select("fonte", F.col("estrato").alias("_s"))
-    out = rows.join(F.broadcast(s), "fonte", "left")  # one row per configured source
+    out = rows.join(s, "fonte", "left")
+    shown = F.col("exibido" if "exibido" in items.columns else "titulo")
     empty = lambda c: F.coalesce(c.cast("string"), F.lit(""))
     return out.select(
         "ord",
@@ -25,7 +29,7 @@ def entries(items: DataFrame, strata: DataFrame, least: int = 3) -> DataFrame:
         plain.alias("url"),
         U.domain(F.col("url")).alias("dominio"),
         F.coalesce("_s", F.lit("geral")).alias("estrato"),
-        empty(F.col("titulo")).alias("titulo"),
+        F.trim(F.replace(empty(shown), F.lit("\n"), F.lit(" "))).alias("titulo"),
         empty(F.col("publicado_em")).alias("publicado_em"),
         empty(U.snapshot_stamp(F.col("snapshot"))).alias("capturado_em"),
         empty(F.col("snapshot")).alias("snapshot"),
@@ -38,39 +42,41 @@ def entries(items: DataFrame, strata: DataFrame, least: int = 3) -> DataFrame:
     )
 
 
-
 def independent(rows: DataFrame, order: str = "ord", id_: str = "id", digest: str = "hash_texto") -> DataFrame:
     """Rows that a scan in order would keep when it skips a row whose id or non-empty hash is already kept.
 
     The scan is the lexicographically first maximal independent set of the conflict graph. Per round, rows that come
     first both in their id group and in their hash group are kept, and rows that share a value with them leave; random
-    orders need O(log^2 n) rounds. Rounds are written to the shared folder. A group holding many rows folds in the
-    map-side aggregate. `order` has to be unique; null and empty ids and hashes conflict with nothing.
+    orders need O(log^2 n) rounds, a chain in which each row conflicts with the next one needs half its length. Rounds
+    are written to the shared folder, and a round's input is deleted when the next one stands. A group holding many rows
+    folds in the map-side aggregate. `order` has to be unique; null and empty ids and hashes conflict with nothing: each
+    takes a value of its own, so they don't meet under one key either.
     """
-    h = F.nullif(F.col(digest), F.lit(""))
-    left = durable(rows.select(F.col(order).alias("o"), F.nullif(F.col(id_), F.lit("")).alias("i"), h.alias("h")), "undecided")
-    kept: list[DataFrame] = []
-    while not left.isEmpty():
-        first_i = left.filter("i is not null").groupBy("i").agg(F.min("o").alias("fi"))
-        first_h = left.filter("h is not null").groupBy("h").agg(F.min("o").alias("fh"))
-        tagged = left.join(first_i, "i", "left").join(first_h, "h", "left")
-        now = durable(tagged.filter("(fi is null or o = fi) and (fh is null or o = fh)").select("o", "i", "h"), "kept")
-        kept.append(now.select("o"))
-        rest = left.join(now.select("o"), "o", "left_anti").join(now.select("i").filter("i is not null"), "i", "left_anti")
-        left = durable(rest.join(now.select("h").filter("h is not null"), "h", "left_anti").select("o", "i", "h"), "undecided")
-    if not kept:
+    spark = rows.sparkSession
+    own = lambda c: F.coalesce(F.nullif(F.col(c).cast("string"), F.lit("")), F.concat(F.lit("\0"), F.col(order).cast("string")))
+    kept = scratch(spark, "kept")
+    left = rows.select(F.col(order).alias("o"), own(id_).alias("i"), own(digest).alias("h"))
+    at, n = durable_path(left, "undecided"), 0
+    while not (left := spark.read.parquet(at)).isEmpty():
+        tagged = left.join(left.groupBy("i").agg(F.min("o").alias("fi")), "i").join(left.groupBy("h").agg(F.min("o").alias("fh")), "h")
+        tagged.filter("o = fi and o = fh").select("o", "i", "h").write.parquet(f"{kept}/round={n}")
+        now = spark.read.parquet(f"{kept}/round={n}")
+        rest = left.join(now.select("o"), "o", "left_anti").join(now.select("i"), "i", "left_anti").join(now.select("h"), "h", "left_anti")
+        done, at, n = at, durable_path(rest.select("o", "i", "h"), "undecided"), n + 1
+        drop_path(spark, done)
+    if not n:
         return rows.limit(0)
-    chosen = kept[0]
-    for k in kept[1:]:
-        chosen = chosen.unionByName(k)
-    return rows.join(chosen.withColumnRenamed("o", order), order, "left_semi")
+    chosen = spark.read.parquet(kept).select(F.col("o").alias(order))
+    return rows.join(chosen, order, "left_semi")
 
 
 def upsert(catalog: DataFrame, fresh: DataFrame, order: str = "ord") -> DataFrame:
     """Rows of `fresh` to append: neither id nor hash is in the catalogue or earlier in the batch. No row is rewritten."""
     new = fresh.join(catalog.select("id").distinct(), "id", "left_anti")
     known = catalog.select("hash_texto").filter("hash_texto <> ''").distinct()
-    return independent(new.join(known, "hash_texto", "left_anti"), order)
+    # rows without a hash don't take part in that join, where they would all meet under one key
+    none = F.coalesce("hash_texto", F.lit("")) == ""
+    return independent(new.filter(~none).join(known, "hash_texto", "left_anti").select(*new.columns).unionByName(new.filter(none)), order)
 
 
 def migrate(legacy: DataFrame) -> DataFrame:

@@ -2,6 +2,9 @@
 
 A sighting row has id, fonte, rodada, nivel, publicado_em, hash_texto and ord. A unit is the text's hash, or the page
 where there is none; a page's last row decides, over all rows, whatever their level.
+
+Every figure but the curve follows from `subsets`: how many units exactly which channels have. That table has at most
+2 ** channels rows a stratum, so each figure is one pass over the sightings and array expressions over a small row.
 """
 
 from __future__ import annotations
@@ -20,63 +23,78 @@ SHORT_WINDOW = ("gdelt",)
 def sightings(items: DataFrame, least: int = 2) -> DataFrame:
     """Sightings of triaged items of at least a level, one row each time; repeats across runs are meant."""
     rows = items.filter((F.col("situacao") == "triado") & (F.coalesce("nivel", F.lit(0)) >= least) & F.col("url").isNotNull())
-    return rows.select("ord", U.identity(F.col("url")).alias("id"), X.channel(F.col("fonte")).alias("canal"), "fonte", "rodada", "nivel", "publicado_em", "hash_texto", "url")
+    return rows.select("ord", U.identity(F.col("url")).alias("id"), X.channel(F.col("fonte")).alias("canal"), "fonte", "rodada", "nivel", "publicado_em", "hash_texto", U.unarchived(F.col("url")).alias("url"))
 
 
 def observed(seen: DataFrame, strata: DataFrame, least: int = 2, since: Column | None = None) -> DataFrame:
-    """(estrato, canal, rodada, unidade) of qualifying sightings, repeats folded; with `since`, undated rows are out."""
-    unit = seen.groupBy("id").agg(F.max_by(F.coalesce(F.nullif("hash_texto", F.lit("")), F.col("id")), "ord").alias("unidade"))
-    ok = F.coalesce(F.try_to_number(F.col("nivel").cast("string"), F.lit("9")).cast("int") if dict(seen.dtypes)["nivel"] == "string" else F.col("nivel"), F.lit(0)) >= least
+    """(estrato, canal, rodada, unidade) of qualifying sightings, the first run of each channel's page; with `since`,
+    undated rows are out.
+
+    Sightings of a page fold to one row for each of its strata and channels before its unit is known, so nothing is
+    joined and no page gathers more rows than there are channels.
+    """
+    level = F.try_to_number(F.col("nivel"), F.lit("9")).cast("int") if dict(seen.dtypes)["nivel"] == "string" else F.col("nivel")
+    ok = F.coalesce(level, F.lit(0)) >= least
     if since is not None:
         ok = ok & F.coalesce(F.col("publicado_em") >= since, F.lit(False))
-    s = F.broadcast(strata.select("fonte", F.col("estrato").alias("_s")))  # one row per configured source
-    rows = seen.filter(ok).join(unit, "id").join(s, "fonte", "left")
-    return rows.select(F.coalesce("_s", F.lit("geral")).alias("estrato"), X.channel(F.col("fonte")).alias("canal"), "rodada", "unidade").distinct()
+    rows = seen.join(strata.select("fonte", F.col("estrato").alias("_s")), "fonte", "left")
+    unit = F.coalesce(F.nullif("hash_texto", F.lit("")), F.col("id"))
+    rows = rows.select("id", F.coalesce("_s", F.lit("geral")).alias("estrato"), X.channel(F.col("fonte")).alias("canal"), "rodada", "ord", unit.alias("u"), ok.alias("ok"))
+    folded = rows.groupBy("id", "estrato", "canal").agg(F.min(F.when(F.col("ok"), F.col("rodada"))).alias("rodada"), F.bool_or("ok").alias("ok"), F.max_by("u", "ord").alias("u"), F.max("ord").alias("ord"))
+    pages = folded.groupBy("id").agg(F.max_by("u", "ord").alias("unidade"), F.collect_list(F.when(F.col("ok"), F.struct("estrato", "canal", "rodada"))).alias("x"))
+    return pages.select(F.explode("x").alias("x"), "unidade").select("x.estrato", "x.canal", "x.rodada", "unidade")
+
+
+def subsets(obs: DataFrame) -> DataFrame:
+    """(estrato, canais, n): number of units that exactly these channels, in order, have."""
+    units = obs.groupBy("estrato", "unidade").agg(F.array_sort(F.collect_set("canal")).alias("canais"))
+    return units.groupBy("estrato", "canais").agg(F.count("*").alias("n"))
+
+
+def _by_stratum(obs: DataFrame) -> DataFrame:
+    """(estrato, x: array of struct<canais, n>, all: its channels)."""
+    rows = subsets(obs).groupBy("estrato").agg(F.collect_list(F.struct("canais", "n")).alias("x"))
+    return rows.withColumn("all", F.array_sort(F.array_distinct(F.flatten(F.transform("x", lambda s: s["canais"])))))
+
+
+def _total(keep, start: int = 0) -> Column:
+    """Sum of n over the subsets that keep(canais) holds for."""
+    return F.aggregate("x", F.lit(start).cast("bigint"), lambda acc, s: acc + F.when(keep(s["canais"]), s["n"]).otherwise(0))
+
+
+def _comparable(aligned: bool):
+    return (lambda c: c) if aligned else (lambda c: F.filter(c, lambda x: ~x.isin(*SHORT_WINDOW)))
 
 
 def per_channel(obs: DataFrame) -> DataFrame:
     """(estrato, canal, unidades, exclusivas): units of each channel, and those no other channel has."""
-    cells = obs.select("estrato", "canal", "unidade").distinct()
-    alone = cells.groupBy("estrato", "unidade").agg(F.count("*").alias("n"), F.min("canal").alias("canal"))
-    own = alone.filter("n = 1").groupBy("estrato", "canal").agg(F.count("*").alias("exclusivas"))
-    return cells.groupBy("estrato", "canal").agg(F.count("*").alias("unidades")).join(own, ["estrato", "canal"], "left").withColumn("exclusivas", F.coalesce("exclusivas", F.lit(0)))
+    each = subsets(obs).select("estrato", F.explode("canais").alias("canal"), "n", (F.size("canais") == 1).alias("own"))
+    return each.groupBy("estrato", "canal").agg(F.sum("n").alias("unidades"), F.sum(F.when(F.col("own"), F.col("n")).otherwise(0)).alias("exclusivas"))
 
 
 def frequencies(obs: DataFrame, aligned: bool = False) -> DataFrame:
     """(estrato, k, n): number of units that exactly k comparable channels have."""
-    cells = obs.select("estrato", "canal", "unidade").distinct()
-    if not aligned:
-        cells = cells.filter(~F.col("canal").isin(*SHORT_WINDOW))
-    return cells.groupBy("estrato", "unidade").agg(F.count("*").alias("k")).groupBy("estrato", "k").agg(F.count("*").alias("n"))
+    k = F.size(_comparable(aligned)(F.col("canais"))).cast("bigint")
+    return subsets(obs).groupBy("estrato", k.alias("k")).agg(F.sum("n").alias("n")).filter("k > 0")
 
 
 def coverage(obs: DataFrame, aligned: bool = False) -> DataFrame:
     """(estrato, observadas, canais, f1, f2, chao, cobertura); the lower bound is null with fewer than two
     comparable channels, and coverage is those channels' units divided by it."""
-    cells = obs.select("estrato", "canal", "unidade").distinct()
-    mine = F.lit(True) if aligned else ~F.col("canal").isin(*SHORT_WINDOW)
-    per_unit = cells.groupBy("estrato", "unidade").agg(F.count_if(mine).alias("k"))
-    k = F.col("k")
-    f = per_unit.groupBy("estrato").agg(F.count("*").alias("observadas"), F.count_if(k > 0).alias("s"), F.count_if(k == 1).alias("f1"), F.count_if(k == 2).alias("f2"))
-    channels = obs.filter(mine).select("estrato", "canal").distinct().groupBy("estrato").agg(F.count("*").alias("canais"))
-    j = f.join(channels, "estrato", "left")
+    mine = _comparable(aligned)
+    k = lambda n: _total(lambda c: F.size(mine(c)) == n)
+    j = _by_stratum(obs).select("estrato", _total(lambda c: F.lit(True)).alias("observadas"), F.size(mine(F.col("all"))).cast("bigint").alias("canais"), k(1).alias("f1"), k(2).alias("f2"), _total(lambda c: F.size(mine(c)) > 0).alias("s"))
     f1, f2, s = (F.col(c).cast("double") for c in ("f1", "f2", "s"))
     chao = F.when(F.col("canais") >= 2, F.when(f2 > 0, s + f1 * f1 / (2 * f2)).otherwise(s + f1 * (f1 - 1) / 2))
-    return j.select("estrato", "observadas", F.coalesce("canais", F.lit(0)).alias("canais"), "f1", "f2", F.round(chao, 6).alias("chao"), F.round(F.when(chao > 0, s / chao), 6).alias("cobertura"))
+    return j.select("estrato", "observadas", "canais", "f1", "f2", F.round(chao, 6).alias("chao"), F.round(F.when(chao > 0, s / chao), 6).alias("cobertura"))
 
 
 def pairs(obs: DataFrame, aligned: bool = False) -> DataFrame:
-    """(estrato, a, b, n1, n2, m, chapman, baixo, alto, comparavel) of all pairs of channels, those without overlap too.
-
-    Overlaps come from the channels of one unit (at most as many as there are channels), never from a join of units.
-    """
-    cells = obs.select("estrato", "canal", "unidade").distinct()
-    size = cells.groupBy("estrato", "canal").agg(F.count("*").alias("n"))
-    held = cells.groupBy("estrato", "unidade").agg(F.array_sort(F.collect_list("canal")).alias("c")).filter(F.size("c") > 1)
-    two = F.flatten(F.transform("c", lambda x, i: F.transform(F.slice("c", i + 2, F.size("c")), lambda y: F.struct(x.alias("a"), y.alias("b")))))
-    both = held.select("estrato", F.explode(two).alias("p")).groupBy("estrato", "p.a", "p.b").agg(F.count("*").alias("m"))
-    left, right = size.select("estrato", F.col("canal").alias("a"), F.col("n").alias("n1")), size.select("estrato", F.col("canal").alias("b"), F.col("n").alias("n2"))
-    j = left.join(right, "estrato").filter("a < b").join(both, ["estrato", "a", "b"], "left").withColumn("m", F.coalesce("m", F.lit(0)))
+    """(estrato, a, b, n1, n2, m, chapman, baixo, alto, comparavel) of all pairs of channels, those without overlap too."""
+    two = F.flatten(F.transform("all", lambda a, i: F.transform(F.slice("all", i + 2, F.size("all")), lambda b: F.struct(a.alias("a"), b.alias("b")))))
+    j = _by_stratum(obs).select("estrato", "x", F.explode(two).alias("p")).select("estrato", "x", "p.a", "p.b")
+    has = lambda *names: _total(lambda c: F.array_size(F.array_intersect(c, F.array(*names))) == len(names))
+    j = j.select("estrato", "a", "b", has("a").alias("n1"), has("b").alias("n2"), has("a", "b").alias("m"))
     n1, n2, m = (F.col(c).cast("double") for c in ("n1", "n2", "m"))
     estimate = (n1 + 1) * (n2 + 1) / (m + 1) - 1
     spread = 1.96 * F.sqrt((n1 + 1) * (n2 + 1) * (n1 - m) * (n2 - m) / ((m + 1) * (m + 1) * (m + 2)))
@@ -92,7 +110,7 @@ def curve(obs: DataFrame, runs: DataFrame) -> DataFrame:
     first = obs.groupBy("estrato", "unidade").agg(F.min("rodada").alias("rodada"))
     new = first.groupBy("estrato", "rodada").agg(F.count("*").alias("n"))
     start = new.groupBy("estrato").agg(F.min("rodada").alias("_from"))
-    grid = start.join(F.broadcast(runs.select("rodada").filter("rodada is not null").distinct()), F.col("rodada") >= F.col("_from")).select("estrato", "rodada")
+    grid = start.join(runs.select("rodada").filter("rodada is not null").distinct(), F.col("rodada") >= F.col("_from")).select("estrato", "rodada")
     w = Window.partitionBy("estrato").orderBy("rodada").rowsBetween(Window.unboundedPreceding, 0)
     each = grid.join(new, ["estrato", "rodada"], "left").withColumn("novas", F.coalesce("n", F.lit(0)))
     return each.select("estrato", "rodada", "novas", F.sum("novas").over(w).alias("total"))

@@ -45,12 +45,16 @@ def _forget(spark: SparkSession, root: str) -> None:
         drop_path(spark, root)
 
 
+def durable_path(df: DataFrame, name: str) -> str:
+    """Write df to a fresh path of the shared folder."""
+    path = scratch(df.sparkSession, name)
+    df.write.parquet(path)
+    return path
+
+
 def durable(df: DataFrame, name: str) -> DataFrame:
     """Write df to the shared folder and read it back: lineage is cut and a lost executor loses nothing."""
-    spark = df.sparkSession
-    path = scratch(spark, name)
-    df.write.parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(durable_path(df, name))
 
 
 def _fs(spark: SparkSession, path: str):
@@ -85,18 +89,26 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+#: Logical operators that neither shuffle nor hold more than a row.
+_LOCAL = {"Project", "Filter", "Union", "LogicalRelation", "LocalRelation", "LogicalRDD", "Generate", "SubqueryAlias"}
+
+
+def _nodes(plan) -> list[str]:
+    """Names of the operators of a logical plan."""
+    below = plan.children()
+    return [plan.nodeName().split(" ")[0], *(x for i in range(below.size()) for x in _nodes(below.apply(i)))]
+
+
 def spread(df: DataFrame, *cols: str) -> DataFrame:
     """Give a CPU-heavy stage at least one task per core when the scan yields fewer.
 
-    Large inputs already have many splits and are returned untouched, so no shuffle is added at scale. Plans that
-    shuffle are returned untouched too: counting their partitions would run them.
+    Large inputs already have many splits and are returned untouched, so no shuffle is added at scale. Plans that do
+    more than scan, filter and project are returned untouched too: counting their partitions could run them.
     """
     spark = df.sparkSession
     if cols:
         df = df.select(*cols)
-    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(BATCH_ROWS))
-    plan = df._jdf.queryExecution().optimizedPlan().toString()
-    if any(x in plan for x in ("Join", "Aggregate", "Sort", "Repartition", "Window")):
+    if not _LOCAL.issuperset(_nodes(df._jdf.queryExecution().optimizedPlan())):
         return df
     cores = max(2, spark.sparkContext.defaultParallelism)
     return df.repartition(2 * cores) if df.rdd.getNumPartitions() < cores else df
@@ -117,11 +129,13 @@ def hash_sample(df: DataFrame, key: str, limit: int, total: int | None = None, s
 
 
 def ship(spark: SparkSession) -> SparkSession:
-    """Make this package importable in the session's Python workers, wherever they run."""
+    """Prepare a session: the package importable in its Python workers, wherever they run, and small Arrow batches."""
     import shutil
     from pathlib import Path
 
     sc = spark.sparkContext
+    if int(spark.conf.get("spark.sql.execution.arrow.maxRecordsPerBatch")) > BATCH_ROWS:
+        spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(BATCH_ROWS))
     if getattr(sc, "_tidemark_shipped", False):
         return spark
     root = Path(__file__).resolve().parent
