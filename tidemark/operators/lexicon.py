@@ -108,13 +108,16 @@ def parse(data) -> Lexicon:
             c.problems.append(f"{where}.chave: '{key}' repeats")
         lists = {k: c.texts(f"{where}.{k}", t.get(k, []), least) for k, least in (("formas", 1), ("exclusoes", 0), ("categorias", 0))}
         terms.append(Term(key, lists["formas"], lists["exclusoes"], float(weight), lists["categorias"], t.get("nota")))
-    context = data.get("contexto") or {}
+    for name, value in [("descricao", data.get("descricao", "")), *((f"termos[{i}].nota", t.get("nota", "")) for i, t in enumerate(raw) if isinstance(t, dict))]:
+        if not isinstance(value, str):
+            c.problems.append(f"{name}: must be a string")
+    context = data.get("contexto")
     markers: tuple[str, ...] = ()
-    if not isinstance(context, dict):
+    if context is not None and not isinstance(context, dict):
         c.problems.append("contexto: must be an object")
-    else:
+    elif context is not None:  # a context that asks for nothing is a mistake
         c.fields("contexto", context, _CONTEXT)
-        markers = c.texts("contexto.exige_qualquer", context.get("exige_qualquer", []))
+        markers = c.texts("contexto.exige_qualquer", context.get("exige_qualquer"), 1)
     if c.problems:
         raise LexiconError(c.problems)
     return Lexicon(name, version, tuple(terms), markers, data.get("descricao"))

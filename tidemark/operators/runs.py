@@ -2,10 +2,11 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tidemark.functions import text as X
+from tidemark.operators import state
 
 
 def counts(items: DataFrame) -> DataFrame:
@@ -25,7 +26,8 @@ def summary(items: DataFrame, failures: DataFrame) -> DataFrame:
 def records(items: DataFrame, lexicon_id: str, version: str) -> dict[str, DataFrame]:
     """The three record sinks: every item, accepted ones and those that need judgement, stamped with the lexicon."""
     stamped = items.withColumns({"lexico_id": F.lit(lexicon_id), "lexico_versao": F.lit(version)})
-    return {"itens": stamped, "aceitos": stamped.filter("nivel = 3"), "pede-juizo": stamped.filter("nivel = 2")}
+    done = stamped.filter(F.col("situacao") == state.DONE) if "situacao" in items.columns else stamped
+    return {"itens": stamped, "aceitos": done.filter("nivel = 3"), "pede-juizo": done.filter("nivel = 2")}
 
 
 def write_records(sinks: dict[str, DataFrame], root: str) -> None:
@@ -34,17 +36,37 @@ def write_records(sinks: dict[str, DataFrame], root: str) -> None:
         df.write.mode("overwrite").json(f"{root}/{name}.jsonl")
 
 
-def buckets(items: DataFrame) -> DataFrame:
-    """(rodada, secao, n): items by section of the full report."""
-    section = (
-        F.when(F.col("situacao") == "falha_captura", "falhas de captura")
-        .when(F.col("situacao") == "bloqueado_robots", "bloqueados por robots")
-        .when(F.col("situacao") == "reprovado_sentinela", "reprovados na sentinela")
-        .when(F.col("nivel") == 3, "aceitos")
-        .when(F.col("nivel") == 2, "pedem juízo")
-        .otherwise("descartados")
+#: Sections of a run's report, in the full report's order; the summary has the first three.
+SECTIONS = ("juizo", "aceitos", "falhas", "robots", "nivel1", "nivel0")
+
+
+def section() -> Column:
+    """The report's section of an item; null for a status or level that belongs to none."""
+    level = F.when(F.col("situacao") == state.DONE, F.col("nivel"))
+    return (
+        F.when(level == 3, "aceitos")
+        .when(level == 2, "juizo")
+        .when(level == 1, "nivel1")
+        .when(level == 0, "nivel0")
+        .when(F.col("situacao").isin(state.FAILED, state.REJECTED), "falhas")
+        .when(F.col("situacao") == state.BLOCKED, "robots")
     )
-    return items.groupBy("rodada", section.alias("secao")).agg(F.count("*").alias("n"))
+
+
+def buckets(items: DataFrame) -> DataFrame:
+    """(rodada, secao, n): items by section of the report."""
+    return items.groupBy("rodada", section().alias("secao")).agg(F.count("*").alias("n")).filter("secao is not null")
+
+
+def report_rows(items: DataFrame) -> DataFrame:
+    """(rodada, secao, ord, linha): one line of the run's report for each item, titles cut to 120 and errors to 200
+    characters. A row stays a row: reports of any length are written by the cluster."""
+    name = F.coalesce(F.nullif(F.substring(X.cell(F.col("titulo")), 1, 120), F.lit("")), F.col("id_na_fonte"))
+    grade = F.concat(F.lit(" — nível "), F.col("nivel").cast("string"), F.lit(", "), F.col("motivo"), F.when(F.size("chaves") > 0, F.concat(F.lit(": "), F.array_join("chaves", ", "))).otherwise(""))
+    detail = F.when(F.col("situacao") == state.DONE, F.coalesce(grade, F.lit(""))).when(X.cell(F.col("erro")) != "", F.concat(F.lit(" — "), F.substring(X.cell(F.col("erro")), 1, 200))).otherwise("")
+    copy = F.when(F.coalesce("snapshot", F.lit("")) != "", F.concat(F.lit(" — [arquivado]("), F.col("snapshot"), F.lit(")"))).otherwise("")
+    line = F.concat(F.lit("* ["), name, F.lit("]("), F.coalesce("url", F.lit("")), F.lit("), "), F.col("fonte"), detail, copy)
+    return items.select("rodada", section().alias("secao"), "ord", line.alias("linha")).filter("secao is not null")
 
 
 def corpus(documents: DataFrame, intact: str) -> DataFrame:
@@ -52,3 +74,24 @@ def corpus(documents: DataFrame, intact: str) -> DataFrame:
     stay out."""
     good = documents.filter(F.col(intact)).groupBy("fonte", "hash_texto").agg(F.max("ord").alias("ord"))
     return good.select("fonte", "hash_texto", F.concat_ws("/", X.safe_name(F.col("fonte")), F.concat("hash_texto", F.lit(".json"))).alias("caminho"), "ord")
+
+
+def document_json(documents: DataFrame) -> DataFrame:
+    """(documents' keys, json): a document as JSON for interchange; extra data and the page as served stay out."""
+    ref = F.struct("fonte", "id_na_fonte", "url", "titulo", F.col("publicado_em").cast("string").alias("publicado_em"))
+    marks = F.map_from_entries(F.filter(F.coalesce("destaques", F.array()), lambda h: h["nome"].isNotNull()))
+    body = F.struct(ref.alias("ref"), "texto", F.date_format("capturado_em", "yyyy-MM-dd'T'HH:mm:ss.SSSSSSXXX").alias("capturado_em"), "hash_texto", "cabecalhos", marks.alias("destaques"))
+    return documents.select("ord", F.to_json(body).alias("json"))
+
+
+DOCUMENT = (
+    "ref struct<fonte:string,id_na_fonte:string,url:string,titulo:string,publicado_em:string>, texto string, capturado_em string, hash_texto string, "
+    "cabecalhos map<string,string>, destaques map<string,string>"
+)
+
+
+def document_from_json(rows: DataFrame) -> DataFrame:
+    """Documents from their JSON; absent headers and highlights are null."""
+    d = rows.select("ord", F.from_json("json", DOCUMENT).alias("d")).select("ord", "d.*")
+    marks = F.transform(F.map_entries("destaques"), lambda e: F.struct(e["key"].alias("nome"), e["value"].alias("texto")))
+    return d.select("ord", "ref.fonte", "ref.id_na_fonte", "ref.url", "ref.titulo", F.col("ref.publicado_em").cast("date").alias("publicado_em"), F.to_timestamp("capturado_em").alias("capturado_em"), "hash_texto", "texto", "cabecalhos", marks.alias("destaques"))

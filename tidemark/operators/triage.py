@@ -30,8 +30,8 @@ def _literals(values) -> Column:
     return F.array(*map(F.lit, values)) if values else F.array().cast("array<string>")
 
 
-def graded(docs: DataFrame, lexicon: Lexicon, text: str = "texto", highlights: str | None = "destaques", names: tuple[str, str] = ("nome", "texto")) -> DataFrame:
-    """docs with nivel, motivo, chaves, categorias, pontuacao, trecho and onde; null texts grade as empty ones.
+def graded(docs: DataFrame, lexicon: Lexicon, text: str = "texto", highlights: str | None = "destaques", names: tuple[str, str] = ("nome", "texto"), columns: tuple[str, ...] = OUTPUT) -> DataFrame:
+    """docs with those of `columns`: nivel, motivo, chaves, categorias, pontuacao, trecho and onde; null texts grade as empty ones.
 
     Columns of docs of the same names are replaced. Repeated rows are graded each.
     """
@@ -59,8 +59,7 @@ def graded(docs: DataFrame, lexicon: Lexicon, text: str = "texto", highlights: s
     first = lambda xs: F.get(xs, F.lit(0))
     at = F.when(some, first(valid)).otherwise(first(void))
     inside = F.col("_hit.valid")
-    out = pinned(
-        base,
+    made = dict(
         nivel=F.when(~some, 0).when(~F.col("_context"), 1).when(hit, 3).otherwise(2),
         motivo=F.when(~some & (F.size(void) > 0), "so_exclusao").when(~some, "sem_termo").when(~F.col("_context"), "sem_contexto").when(hit, "aceito").otherwise("pede_juizo"),
         chaves=look([F.lit(t.key) for t in lexicon.terms]),
@@ -69,4 +68,6 @@ def graded(docs: DataFrame, lexicon: Lexicon, text: str = "texto", highlights: s
         trecho=F.when(hit, X.snippet(F.col("_hit.text"), first(inside)["start"], first(inside)["end"])).when(at.isNotNull(), X.snippet(F.col("_text"), at["start"], at["end"])),
         onde=F.when(hit, F.col("_hit.name")).when(at.isNotNull(), "texto"),
     )
-    return out.select(*(F.col(f"`{c}`") for c in kept), *OUTPUT)
+    # a pinned column is computed whether it is used or not, so only the wanted ones are
+    out = pinned(base, **{c: made[c] for c in columns})
+    return out.select(*(F.col(f"`{c}`") for c in kept), *columns)

@@ -82,7 +82,7 @@ def dates_parsed(spark: SparkSession, sf: str) -> DataFrame:
 
 def stratum_lookup(spark: SparkSession, sf: str) -> DataFrame:
     s = table(spark, sf, "fontes").select("fonte", "estrato")
-    rows = _items(spark, sf).select("ord", "fonte").join(F.broadcast(s), "fonte", "left")  # fontes has one row per configured source
+    rows = _items(spark, sf).select("ord", "fonte").join(s, "fonte", "left")
     return rows.groupBy(F.coalesce("estrato", F.lit("geral")).alias("estrato")).agg(F.count("*").alias("n"))
 
 
@@ -168,6 +168,57 @@ def _obs(spark: SparkSession, sf: str, since: str | None = None) -> DataFrame:
     return estimate.observed(_seen(spark, sf), table(spark, sf, "fontes"), 2, F.lit(since).cast("date") if since else None)
 
 
+def sighting_rows(spark: SparkSession, sf: str) -> DataFrame:
+    return _seen(spark, sf)
+
+
+def run_lines(spark: SparkSession, sf: str) -> DataFrame:
+    """The report of every run, one line for each item, by section."""
+    return runs.report_rows(_items(spark, sf))
+
+
+def run_records(spark: SparkSession, sf: str) -> DataFrame:
+    """Rows of each record sink, stamped with the lexicon."""
+    sinks = runs.records(_items(spark, sf), "ilha", "2024-07-15")
+    each = [df.select(F.lit(k).alias("arquivo"), "rodada", "ord", "lexico_id", F.col("lexico_versao").alias("versao")) for k, df in sinks.items()]
+    out = each[0].unionByName(each[1]).unionByName(each[2])
+    return out.groupBy("arquivo", "rodada", "lexico_id", "versao").agg(F.count("*").alias("n"), F.max("ord").alias("ultima"))
+
+
+def dates_refused(spark: SparkSession, sf: str) -> DataFrame:
+    """Notations of days that don't exist, and of none at all."""
+    y = F.year("publicado_em").cast("string")
+    rows = table(spark, sf, "openalex_listagem").filter("publicado_em is not null")
+    return rows.select(
+        "ord",
+        X.feed_day(F.concat(F.lit("Sun, 31 Feb "), y, F.lit(" 23:30:00 -0300"))).alias("rfc822"),
+        X.feed_day(F.concat(y, F.lit("-02-31T23:30:00Z"))).alias("rfc3339"),
+        X.compact_day(F.concat(y, F.lit("1301T000000Z"))).alias("compacta"),
+        X.compact_day(F.concat(y, F.lit("-1-2"))).alias("sem_digitos"),
+        X.iso_day(F.concat(y, F.lit("-13-01"))).alias("iso"),
+        X.parts_day(F.array(F.year("publicado_em"), F.lit(2), F.lit(30))).alias("partes"),
+        X.parts_day(F.array(F.lit(None).cast("int"), F.lit(2), F.lit(3))).alias("sem_ano"),
+        X.parts_day(F.array(F.year("publicado_em"))).alias("so_ano"),
+    )
+
+
+def inverted_index_clash(spark: SparkSession, sf: str) -> DataFrame:
+    """Titles rebuilt from an index in which a last entry claims the first and the last position as well."""
+    t = table(spark, sf, "openalex_listagem").filter("titulo is not null").select("ord", F.split("titulo", " ").alias("w"))
+    at = F.transform(F.array_distinct("w"), lambda x: F.struct(x.alias("key"), F.filter(F.transform("w", lambda y, i: F.when(y == x, i)), lambda i: i.isNotNull()).alias("value")))
+    late = F.array(F.struct(F.lit("\u25a0").alias("key"), F.array(F.lit(0), F.size("w") - 1).alias("value")))
+    return t.select("ord", X.inverted_text(F.map_from_entries(F.concat(at, late))).alias("texto"))
+
+
+def stream_windows(spark: SparkSession, sf: str) -> DataFrame:
+    """Captures by day and source, counted by the streaming window aggregate as far as the files go."""
+    root = scratch(spark, "windows")
+    schema = spark.read.parquet(f"{sf}/itens.parquet").select("fonte", "capturado_em").schema
+    ingest.count_windows(spark, f"{sf}/itens.parquet*", root, schema)
+    got = spark.read.parquet(f"{root}/counts")
+    return got.select(F.to_date("janela.start").alias("inicio"), "fonte", "n")
+
+
 def sighting_counts(spark: SparkSession, sf: str) -> DataFrame:
     return _seen(spark, sf).groupBy("rodada", "canal").agg(F.count("*").alias("n"), F.countDistinct("id").alias("paginas"))
 
@@ -243,7 +294,8 @@ def stream_refs(spark: SparkSession, sf: str) -> DataFrame:
 def report_lines(spark: SparkSession, sf: str) -> DataFrame:
     """The Markdown coverage report, line by line."""
     obs = _obs(spark, sf).persist()
-    text = report.coverage_report(estimate.coverage(obs), estimate.per_channel(obs), estimate.pairs(obs))
+    text = report.coverage_report(estimate.coverage(obs), estimate.per_channel(obs), estimate.pairs(obs), estimate.curve(obs, _items(spark, sf).select("rodada").distinct()))
+    obs.unpersist()
     lines = [(i, x) for i, x in enumerate(text.split("\n"))]  # as many as strata, channels and pairs
     return spark.createDataFrame(lines, "linha int, texto string")
 
@@ -251,7 +303,7 @@ def report_lines(spark: SparkSession, sf: str) -> DataFrame:
 QUERIES = {
     f.__name__: f
     for f in (
-        stream_refs, report_lines,
+        stream_refs, stream_windows, report_lines, sighting_rows, run_lines, run_records, dates_refused, inverted_index_clash,
         url_forms, domain_counts, registrable_domains, noise_filter, snapshots, small_texts, inverted_index, markup_strip, dates_parsed, stratum_lookup, first_listed, last_hash, to_fetch, state_seen,
         state_pending, window_starts, slice_plan, slice_pending, status_counts, run_summary, report_sections, corpus_paths, sighting_counts, channel_units, unit_frequencies, coverage, coverage_aligned,
         channel_pairs, accumulation_curve, catalog_entries, catalog_upsert, catalog_complete, catalog_migrate, catalog_search, catalog_newest, catalog_tiles, catalog_facets,
@@ -307,7 +359,7 @@ r AS (SELECT estrato, s, observadas, coalesce(canais, 0) AS canais, coalesce(f1,
   FROM tot LEFT JOIN ch USING (estrato) LEFT JOIN f USING (estrato))
 SELECT estrato, observadas, canais, f1, f2, chao, CASE WHEN chao > 0 THEN round(s / chao, 6) END AS cobertura FROM r"""
 _CELLS = "cells AS (SELECT DISTINCT estrato, canal, unidade FROM obs),"
-_ENTRIES = f"""SELECT ord, {page_sql('url')} AS id, {_unarchived('url')} AS url, {_first('url')} AS dominio, coalesce(f.estrato, 'geral') AS estrato, coalesce(titulo, '') AS titulo,
+_ENTRIES = f"""SELECT ord, {page_sql('url')} AS id, {_unarchived('url')} AS url, {_first('url')} AS dominio, coalesce(f.estrato, 'geral') AS estrato, trim(replace(coalesce(titulo, ''), chr(10), ' ')) AS titulo,
   coalesce(publicado_em::VARCHAR, '') AS publicado_em, coalesce({_stamp('snapshot')}, '') AS capturado_em, coalesce(snapshot, '') AS snapshot, coalesce(hash_texto, '') AS hash_texto,
   CASE WHEN nivel > 0 THEN nivel::VARCHAR ELSE '' END AS nivel, coalesce(array_to_string(chaves, ';'), '') AS identificadores, coalesce(array_to_string(categorias, ';'), '') AS categorias,
   coalesce(rodada, '') AS primeira_rodada, coalesce(lexico_versao, '') AS lexico_versao
@@ -317,6 +369,8 @@ _DECADE = f"CASE WHEN regexp_matches({_DAY}, '^\\d{{4}}') THEN {_DAY}[1:3] || '0
 _PLAN = f"""SELECT fonte, dominio AS prefixo, ano::INT AS ano, CASE WHEN ano = 2003 THEN DATE '2003-05-20' ELSE make_date(ano, 1, 1) END AS inicio,
   CASE WHEN ano < 2024 THEN make_date(ano, 12, 31) END AS fim FROM fontes, range(2003, 2025) t(ano) WHERE canal = 'wayback'"""
 _NOISE = slices.NOISE.replace("'", "''")
+_SECTION = "CASE WHEN situacao = 'triado' THEN CASE nivel WHEN 3 THEN 'aceitos' WHEN 2 THEN 'juizo' WHEN 1 THEN 'nivel1' WHEN 0 THEN 'nivel0' END WHEN situacao IN ('falha_captura', 'reprovado_sentinela') THEN 'falhas' WHEN situacao = 'bloqueado_robots' THEN 'robots' END"
+_CELL = "trim(replace(replace(coalesce({}, ''), '|', '\\|'), chr(10), ' '))"
 _SPLIT = "rodada {op} '" + _LAST + "'"
 
 SQL = {
@@ -328,7 +382,7 @@ SQL = {
     "small_texts": """SELECT ord, regexp_replace(coalesce(erro, '') || ' ?api_key=' || id_na_fonte || '&q=1&token=' || rodada, '((?:api[_-]?key|apikey|key|token|access[_-]?token|secret|password|senha|mailto)=)[^&#\\s]+', '\\1<redigido>', 'gi') AS mensagem,
   coalesce(nullif(regexp_replace(regexp_replace(fonte, '[^A-Za-z0-9._\\-]+', '_', 'g'), '^_+|_+$', '', 'g'), ''), '_') AS arquivo,
   trim(replace(replace(coalesce(titulo, ''), '|', '\\|'), chr(10), ' ')) AS celula,
-  CASE WHEN t IS NOT NULL AND t <> url AND NOT regexp_matches(t, '^(https?://|www\\.)') THEN t ELSE coalesce(nullif(trim(motivo), ''), t) END AS exibido,
+  CASE WHEN t IS NOT NULL AND t <> url AND NOT regexp_matches(t, '^(https?://|www\\.)\\S+$') THEN t ELSE coalesce(nullif(trim(motivo), ''), t) END AS exibido,
   split_part(fonte, ':', 1) AS canal, CASE WHEN publicado_em IS NOT NULL THEN (publicado_em::VARCHAR)[1:3] || '0' END AS decada FROM (SELECT *, nullif(trim(titulo), '') AS t FROM itens)""",
     "inverted_index": "SELECT ord, titulo AS texto FROM openalex_listagem WHERE titulo IS NOT NULL",
     "markup_strip": "SELECT ord, trim(regexp_replace(titulo, '\\s+', ' ', 'g')) AS limpo FROM openalex_listagem WHERE titulo IS NOT NULL",
@@ -357,8 +411,23 @@ SELECT fonte, prefixo, ano, inicio, fim FROM plan ANTI JOIN done USING (fonte, p
     "status_counts": "SELECT rodada, 'situacao' AS grupo, situacao AS valor, count(*) AS n FROM itens WHERE situacao IS NOT NULL GROUP BY ALL UNION ALL SELECT rodada, 'motivo', motivo, count(*) FROM itens WHERE motivo IS NOT NULL GROUP BY ALL",
     "run_summary": """SELECT rodada, count(*) AS itens, coalesce(bool_or(nivel >= 2), false) AS pede_leitura,
   CASE WHEN count(*) FILTER (situacao = 'falha_captura' AND erro LIKE 'HTTP 5%') > 0 THEN 2 WHEN coalesce(bool_or(nivel >= 2), false) THEN 3 ELSE 0 END AS codigo FROM itens GROUP BY 1""",
-    "report_sections": """SELECT rodada, CASE WHEN situacao = 'falha_captura' THEN 'falhas de captura' WHEN situacao = 'bloqueado_robots' THEN 'bloqueados por robots' WHEN situacao = 'reprovado_sentinela' THEN 'reprovados na sentinela'
-  WHEN nivel = 3 THEN 'aceitos' WHEN nivel = 2 THEN 'pedem juízo' ELSE 'descartados' END AS secao, count(*) AS n FROM itens GROUP BY ALL""",
+    "report_sections": f"SELECT rodada, {_SECTION} AS secao, count(*) AS n FROM itens WHERE {_SECTION} IS NOT NULL GROUP BY ALL",
+    "run_lines": f"""SELECT rodada, {_SECTION} AS secao, ord, '* [' || coalesce(nullif(substring({_CELL.format('titulo')}, 1, 120), ''), id_na_fonte) || '](' || coalesce(url, '') || '), ' || fonte
+  || CASE WHEN situacao = 'triado' THEN coalesce(' — nível ' || nivel || ', ' || motivo || CASE WHEN len(chaves) > 0 THEN ': ' || array_to_string(chaves, ', ') ELSE '' END, '') WHEN {_CELL.format('erro')} <> '' THEN ' — ' || substring({_CELL.format('erro')}, 1, 200) ELSE '' END
+  || CASE WHEN coalesce(snapshot, '') <> '' THEN ' — [arquivado](' || snapshot || ')' ELSE '' END AS linha FROM itens WHERE {_SECTION} IS NOT NULL""",
+    "run_records": """SELECT arquivo, rodada, 'ilha' AS lexico_id, '2024-07-15' AS versao, count(*) AS n, max(ord) AS ultima FROM (SELECT 'itens' AS arquivo, rodada, ord FROM itens
+  UNION ALL SELECT CASE nivel WHEN 3 THEN 'aceitos' ELSE 'pede-juizo' END, rodada, ord FROM itens WHERE situacao = 'triado' AND nivel IN (2, 3)) GROUP BY ALL""",
+    "sighting_rows": f"""SELECT ord, {page_sql('url')} AS id, split_part(fonte, ':', 1) AS canal, fonte, rodada, nivel, publicado_em, hash_texto, {_unarchived('url')} AS url FROM itens
+  WHERE situacao = 'triado' AND coalesce(nivel, 0) >= 2 AND url IS NOT NULL""",
+    "stream_windows": "SELECT (capturado_em AT TIME ZONE 'UTC')::DATE AS inicio, fonte, count(*) AS n FROM itens WHERE capturado_em IS NOT NULL GROUP BY ALL",
+    "dates_refused": "SELECT ord, NULL::DATE AS rfc822, NULL::DATE AS rfc3339, NULL::DATE AS compacta, NULL::DATE AS sem_digitos, NULL::DATE AS iso, NULL::DATE AS partes, NULL::DATE AS sem_ano, make_date(year(publicado_em), 1, 1) AS so_ano FROM openalex_listagem WHERE publicado_em IS NOT NULL",
+    "inverted_index_clash": "SELECT ord, CASE WHEN len(w) = 1 THEN '■' ELSE array_to_string(list_concat(['■'], w[2:len(w) - 1], ['■']), ' ') END AS texto FROM (SELECT ord, string_split(titulo, ' ') AS w FROM openalex_listagem WHERE titulo IS NOT NULL)",
+    "catalog_upsert": f"""WITH RECURSIVE e AS MATERIALIZED (SELECT ord, id, hash_texto, primeira_rodada, row_number() OVER (ORDER BY ord) AS k FROM ({_ENTRIES})
+  WHERE id NOT IN (SELECT id FROM catalogo WHERE primeira_rodada < '20240901') AND (hash_texto = '' OR hash_texto NOT IN (SELECT hash_texto FROM catalogo WHERE primeira_rodada < '20240901'))),
+r AS (SELECT 0::BIGINT AS k, []::VARCHAR[] AS ids, []::VARCHAR[] AS hs, NULL::BIGINT AS ord UNION ALL
+  SELECT k, CASE WHEN ok THEN list_append(ids, id) ELSE ids END, CASE WHEN ok AND h <> '' THEN list_append(hs, h) ELSE hs END, CASE WHEN ok THEN o END
+  FROM (SELECT e.k, r.ids, r.hs, e.id, e.hash_texto AS h, e.ord AS o, NOT list_contains(r.ids, e.id) AND (e.hash_texto = '' OR NOT list_contains(r.hs, e.hash_texto)) AS ok FROM r JOIN e ON e.k = r.k + 1))
+SELECT ord, id, hash_texto, primeira_rodada FROM e WHERE ord IN (SELECT ord FROM r WHERE ord IS NOT NULL)""",
     "corpus_paths": "SELECT fonte, hash_texto, coalesce(nullif(regexp_replace(regexp_replace(fonte, '[^A-Za-z0-9._\\-]+', '_', 'g'), '^_+|_+$', '', 'g'), ''), '_') || '/' || hash_texto || '.json' AS caminho, max(ord) AS ord FROM documento WHERE coalesce(length(texto) >= 400 AND (length(texto) >= 2500 OR NOT ("
     + " OR ".join("contains(lower(substring(texto, 1, 300)), '" + m.replace("'", "''") + "')" for m in integrity.ERROR_MARKS)
     + ")), false) GROUP BY 1, 2",

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from tidemark.functions import text as X
 from tidemark.functions.fold import fold, fold_text
-from tidemark.operators import integrity, lexicon, triage
+from tidemark.operators import integrity, lexicon, runs, triage
 from tidemark.session import spread, table
 
 SAMPLE = lexicon.parse(
@@ -62,25 +62,27 @@ def span_positions(spark: SparkSession, sf: str) -> DataFrame:
     return o.select("ord", F.col("o.term").alias("termo"), F.col("o.start").alias("inicio"), F.col("o.end").alias("fim"), F.expr("substring(texto, o.start + 1, o.end - o.start)").alias("forma"))
 
 
-def _graded(spark: SparkSession, sf: str) -> DataFrame:
-    return triage.graded(documents(spark, sf, "ord", "fonte", "texto", "destaques"), SAMPLE)
+def _graded(spark: SparkSession, sf: str, *columns: str) -> DataFrame:
+    return triage.graded(documents(spark, sf, "ord", "fonte", "texto", "destaques"), SAMPLE, columns=columns)
 
 
 def triage_levels(spark: SparkSession, sf: str) -> DataFrame:
-    g = _graded(spark, sf)
+    g = _graded(spark, sf, "nivel", "motivo", "pontuacao", "chaves", "categorias", "onde")
     return g.select("ord", "nivel", "motivo", "pontuacao", F.array_join(F.array_sort("chaves"), ";").alias("chaves"), F.array_join(F.array_sort("categorias"), ";").alias("categorias"), "onde")
 
 
 def triage_snippets(spark: SparkSession, sf: str) -> DataFrame:
-    return _graded(spark, sf).filter("trecho is not null").select("ord", "nivel", "chaves", "trecho", "onde")
+    """Passages shown for judgement; keys in the order of their first occurrence."""
+    g = _graded(spark, sf, "nivel", "chaves", "trecho", "onde").filter("trecho is not null")
+    return g.select("ord", "nivel", F.array_join("chaves", ";").alias("chaves"), "trecho", "onde")
 
 
 def triage_counts(spark: SparkSession, sf: str) -> DataFrame:
-    return _graded(spark, sf).groupBy("nivel", "motivo").agg(F.count("*").alias("n"))
+    return _graded(spark, sf, "nivel", "motivo").groupBy("nivel", "motivo").agg(F.count("*").alias("n"))
 
 
 def facet_counts(spark: SparkSession, sf: str) -> DataFrame:
-    return _graded(spark, sf).select("nivel", F.explode("categorias").alias("categoria")).groupBy("categoria", "nivel").agg(F.count("*").alias("n"))
+    return _graded(spark, sf, "nivel", "categorias").select("nivel", F.explode("categorias").alias("categoria")).groupBy("categoria", "nivel").agg(F.count("*").alias("n"))
 
 
 def integrity_check(spark: SparkSession, sf: str) -> DataFrame:
@@ -120,7 +122,15 @@ def page_headings(spark: SparkSession, sf: str) -> DataFrame:
     return p.select("ord", F.explode(F.array("p.h1")).alias("h1")).filter("h1 is not null")
 
 
-QUERIES = {f.__name__: f for f in (triage_counts, triage_levels, triage_snippets, facet_counts, folded_text, dedupe_by_hash, tidied_text, term_presence, term_counts, span_positions, integrity_check, decoded_pages, page_texts, page_headlines, page_headings)}
+def documents_json(spark: SparkSession, sf: str) -> DataFrame:
+    """Stored documents written as JSON and read back."""
+    d = runs.document_from_json(runs.document_json(documents(spark, sf)))
+    marks = F.array_join(F.transform(F.array_sort("destaques"), lambda h: F.concat(h["nome"], F.lit("="), h["texto"])), ";")
+    heads = F.array_join(F.transform(F.array_sort(F.map_entries("cabecalhos")), lambda h: F.concat(h["key"], F.lit("="), h["value"])), ";")
+    return d.select("ord", "fonte", "id_na_fonte", "url", "titulo", "publicado_em", F.date_format("capturado_em", "yyyy-MM-dd HH:mm:ss").alias("capturado_em"), "hash_texto", "texto", heads.alias("cabecalhos"), F.coalesce(marks, F.lit("")).alias("destaques"))
+
+
+QUERIES = {f.__name__: f for f in (triage_counts, triage_levels, triage_snippets, facet_counts, folded_text, dedupe_by_hash, tidied_text, term_presence, term_counts, span_positions, integrity_check, decoded_pages, page_texts, page_headlines, page_headings, documents_json)}
 
 
 def _forms(forms: tuple[str, ...]) -> str:
@@ -150,10 +160,54 @@ graded AS (SELECT ord,
   list_sort(list_distinct(flatten([{', '.join(f"CASE WHEN t{i} THEN {list(t.categories)} ELSE [] END" for i, t in enumerate(_T))}]))) AS categorias,
   CASE WHEN has AND ctx AND len(hits) > 0 THEN hits[1].nome WHEN has OR void THEN 'texto' END AS onde FROM g)
 """
+def _spans(f: str, forms: tuple[str, ...], term: int) -> str:
+    """Matches in folded text as a list of {s, t, e}; offsets are the lengths of what stands before."""
+    if not forms:
+        return "[]::STRUCT(s BIGINT, t BIGINT, e BIGINT)[]"
+    g, m = f"string_split_regex({f}, '{_forms(forms)}')", f"regexp_extract_all({f}, '{_forms(forms)}')"
+    size = lambda x: f"coalesce(list_sum(list_transform({x}, lambda z: length(z))), 0)"
+    start = f"({size(f'({g})[1:i]')} + {size(f'({m})[1:i - 1]')})::BIGINT"
+    return f"list_transform(range(1, len({m}) + 1), lambda i: {{'s': {start}, 't': {term}::BIGINT, 'e': ({start} + length(({m})[i]))::BIGINT}})"
+
+
+def _kept(f: str, inside: bool) -> str:
+    """Occurrences of all terms in (or out of) exclusions, by term."""
+    each = [f"list_filter({_spans(f, t.forms, n)}, lambda o: {'' if inside else 'NOT '}len(list_filter({_spans(f, t.exclusions, n)}, lambda x: x.s <= o.s AND o.e <= x.e)) > 0)" for n, t in enumerate(_T)]
+    return f"flatten([{', '.join(each)}])"
+
+
+def _snippet(text: str, at: str) -> str:
+    a, b = f"greatest({at}.s - 160, 0)", f"least({at}.e + 160, length({text}))"
+    return f"CASE WHEN {a} > 0 THEN '…' ELSE '' END || trim(regexp_replace(substring({text}, {a} + 1, {b} - {a}), '[\\s\\x{{1c}}-\\x{{1f}}\\x{{85}}\\p{{Z}}]+', ' ', 'g')) || CASE WHEN {b} < length({text}) THEN '…' ELSE '' END"
+
+
+_KEYS = "[" + ", ".join(f"'{t.key}'" for t in _T) + "]"
+_SPANNED = f"""
+WITH d AS (SELECT ord, coalesce(texto, '') AS texto, {_FOLD.format("coalesce(texto, '')")} AS f, coalesce(destaques, []) AS hs FROM documento),
+sp AS MATERIALIZED (SELECT *, list_sort({_kept('f', False)}) AS valid, {_kept('f', True)} AS void, regexp_matches(f, '{_forms(SAMPLE.context)}') AS ctx FROM d)"""
+_SNIPPETS = f"""{_SPANNED},
+u AS (SELECT ord, unnest(hs) AS h, generate_subscripts(hs, 1) AS n FROM sp WHERE ctx AND len(valid) > 0),
+v AS MATERIALIZED (SELECT ord, n, h.nome AS nome, h.texto AS t, list_sort({_kept(_FOLD.format('h.texto'), False)}) AS hv FROM u),
+hit AS (SELECT ord, arg_min(nome, n) AS nome, arg_min(t, n) AS t, arg_min(hv, n) AS hv FROM v WHERE len(hv) > 0 GROUP BY 1),
+g AS (SELECT sp.*, hit.nome, hit.t, hit.hv[1] AS ha, coalesce(valid[1], void[1]) AS pos FROM sp LEFT JOIN hit USING (ord)),
+o AS (SELECT ord, string_agg(({_KEYS})[t + 1], ';' ORDER BY s, t) AS chaves FROM (SELECT ord, x.t AS t, min(x.s) AS s FROM (SELECT ord, unnest(valid) AS x FROM sp) GROUP BY ALL) GROUP BY 1)
+SELECT ord, CASE WHEN len(valid) = 0 THEN 0 WHEN NOT ctx THEN 1 WHEN ha IS NOT NULL THEN 3 ELSE 2 END AS nivel, coalesce(chaves, '') AS chaves,
+  CASE WHEN ha IS NOT NULL THEN {_snippet('t', 'ha')} ELSE {_snippet('texto', 'pos')} END AS trecho, CASE WHEN ha IS NOT NULL THEN nome ELSE 'texto' END AS onde
+FROM g LEFT JOIN o USING (ord) WHERE pos IS NOT NULL"""
+_STRIP = "[ \\t\\f\\x{0b}\\x{1c}-\\x{1f}\\x{85}\\p{Z}]"
+_TIDY = f"""SELECT doc_id, regexp_replace(regexp_replace(regexp_replace(regexp_replace(regexp_replace(regexp_replace(
+  replace(replace(nfc_normalize(text), chr(160), ' '), chr(13), ''), '[ \\t\\f\\x{{0b}}]+', ' ', 'g'), '{_STRIP}*\\n', chr(10), 'g'), '\\n{_STRIP}+', chr(10), 'g'),
+  '\\n{{3,}}', chr(10) || chr(10), 'g'), '^[\\n\\t\\f\\x{{0b}} \\x{{1c}}-\\x{{1f}}\\x{{85}}\\p{{Z}}]+', ''), '[\\n\\t\\f\\x{{0b}} \\x{{1c}}-\\x{{1f}}\\x{{85}}\\p{{Z}}]+$', '') AS arrumado FROM documents"""
 _MARKS = lambda marks: " OR ".join("contains(lower(substring(texto, 1, 300)), '" + m.replace("'", "''") + "')" for m in marks)
 _INTACT = "coalesce(length(texto) >= 400 AND (length(texto) >= 2500 OR NOT ({})), false)"
 
 SQL = {
+    "tidied_text": _TIDY,
+    "span_positions": _SPANNED + "SELECT ord, (o.t)::INT AS termo, (o.s)::INT AS inicio, (o.e)::INT AS fim, substring(texto, o.s + 1, o.e - o.s) AS forma FROM (SELECT ord, texto, unnest(valid) AS o FROM sp)",
+    "triage_snippets": _SNIPPETS,
+    "documents_json": """SELECT ord, fonte, id_na_fonte, url, titulo, publicado_em, strftime(capturado_em AT TIME ZONE 'UTC', '%Y-%m-%d %H:%M:%S') AS capturado_em, hash_texto, texto,
+  array_to_string(list_transform(list_sort(map_entries(cabecalhos)), lambda h: h.key || '=' || h.value), ';') AS cabecalhos,
+  coalesce(array_to_string(list_transform(list_sort(destaques), lambda h: h.nome || '=' || h.texto), ';'), '') AS destaques FROM documento""",
     "triage_counts": _GRADED + "SELECT nivel, motivo, count(*) AS n FROM graded GROUP BY ALL",
     "triage_levels": _GRADED + "SELECT ord, nivel, motivo, pontuacao, array_to_string(chaves, ';') AS chaves, array_to_string(categorias, ';') AS categorias, onde FROM graded",
     "facet_counts": _GRADED + "SELECT categoria, nivel, count(*) AS n FROM (SELECT nivel, unnest(categorias) AS categoria FROM graded) GROUP BY ALL",

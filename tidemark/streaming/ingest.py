@@ -27,6 +27,7 @@ def _seen(spark: SparkSession, root: str, before: int) -> DataFrame:
 
 def ingest(spark: SparkSession, folder: str, root: str, schema) -> int:
     """Process the files not taken yet; returns the number of batches. References land in root/refs/batch=N."""
+    taken = []
 
     def one(batch: DataFrame, n: int) -> None:
         s = batch.sparkSession
@@ -34,13 +35,24 @@ def ingest(spark: SparkSession, folder: str, root: str, schema) -> int:
         fresh.write.mode("overwrite").parquet(f"{root}/refs/batch={n}")
         fresh.select(*KEYS).write.mode("overwrite").parquet(f"{root}/seen/batch={n}")
         fresh.unpersist()
+        taken.append(n)
 
     q = spark.readStream.schema(schema).option("recursiveFileLookup", "true").parquet(folder).writeStream.foreachBatch(one).option("checkpointLocation", f"{root}/checkpoint").trigger(availableNow=True).start()
     q.awaitTermination()
-    return len(q.recentProgress)
+    return len(taken)
 
 
 def changes(spark: SparkSession, folder: str, schema, delay: str = "2 hours", width: str = "1 day") -> DataFrame:
     """Streaming count of listed records by source and event-time window, late ones within the delay included."""
     rows = spark.readStream.schema(schema).option("recursiveFileLookup", "true").parquet(folder)
     return rows.withWatermark("capturado_em", delay).groupBy(F.window("capturado_em", width).alias("janela"), "fonte").agg(F.count("*").alias("n"))
+
+
+def count_windows(spark: SparkSession, folder: str, root: str, schema, delay: str = "2 hours", width: str = "1 day") -> None:
+    """Bring the counts of `changes` up to date with the files in folder; they land in root/counts, whole each time."""
+
+    def one(batch: DataFrame, n: int) -> None:
+        batch.write.mode("overwrite").parquet(f"{root}/counts")
+
+    q = changes(spark, folder, schema, delay, width).writeStream.outputMode("complete").foreachBatch(one).option("checkpointLocation", f"{root}/windows").trigger(availableNow=True).start()
+    q.awaitTermination()
