@@ -1,14 +1,17 @@
 import json
+import time
+from datetime import date, timedelta
+from urllib.parse import urlencode
 
 import pytest
 from pyspark.sql import functions as F
 
-from tidemark import cli, config
+from tidemark import cli, collect, config
 from tidemark.operators import lexicon as L
-from tidemark.operators import pipeline
+from tidemark.operators import pipeline, runs
 from tidemark.sources import client as C
+from tidemark.sources import fetch, listing, reader
 from tidemark.sources import payloads as P
-from tidemark.sources import reader
 
 
 def pages(spark, body, source="x:y", base="http://g.example/dossie/"):
@@ -65,8 +68,6 @@ def test_topic_links_and_csv(spark, tmp_path):
 
 
 def test_listing_reader_follows_pages_and_keeps_what_it_has(spark, tmp_path):
-    from urllib.parse import urlencode
-
     def record(url, params, body):
         (tmp_path / reader.replay_name(url + "?" + urlencode(params))).write_bytes(json.dumps(body).encode())
 
@@ -122,13 +123,116 @@ def test_config_and_cli(tmp_path, capsys):
     (tmp_path / "c.json").write_text(json.dumps(good))
     (tmp_path / "l.json").write_text(json.dumps({"id": "a", "versao": "1", "termos": [{"chave": "x", "formas": ["y"]}]}))
     assert cli.main(["validar-config", str(tmp_path / "c.json")]) == 0 and cli.main(["validar-lexico", str(tmp_path / "l.json")]) == 0
-    assert cli.main(["sondar", "--config", str(tmp_path / "c.json")]) == 0 and "rss:a 1" in capsys.readouterr().out
+    assert capsys.readouterr().out == "ok\na 1: 1 terms\n"
+    assert cli.main(["rodar", "--config", str(tmp_path / "c.json"), "--fonte", "rss:b"]) == 2 and "rss:b" in capsys.readouterr().err
+    unsound = {"lexico": "l.json", "fontes": [{"id": "topico:a", "tipo": "topico", "url": "http://g", "paginacao": "{x}", "estrato": "geral"}]}
+    assert "topico:a" in " ".join(config.problems(unsound))
     assert cli.main(["validar-lexico", str(tmp_path / "none.json")]) == 2
 
 
-def test_run_retries_pending_and_lists_from_the_last_whole_run(spark, tmp_path):
-    from datetime import date, timedelta
+def _recorded(folder):
+    """put(url, body, params) records a response for the replay."""
+
+    def put(url, body, params=None):
+        address = url + ("?" + urlencode(params, doseq=True) if params else "")
+        (folder / reader.replay_name(address)).write_bytes((body if isinstance(body, str) else json.dumps(body)).encode())
+
+    return put
+
+
+PAGE = "<html><body><h1>Massacre da Ilha Cinzenta {0}</h1><p>" + "o massacre da ilha cinzenta " * 40 + "{0}</p></body></html>"
+
 
+@pytest.mark.parametrize(
+    ("url", "pattern", "n", "page"),
+    [
+        ("http://g.example/topico", "page/{n}/", 2, "http://g.example/topico/page/2/"),
+        ("http://g.example/topico/", "page/{n}/", 3, "http://g.example/topico/page/3/"),
+        ("http://g.example/topico/", "?page={n}", 2, "http://g.example/topico?page=2"),
+        ("http://g.example/t?a=1", "?page={n}", 2, "http://g.example/t?a=1&page=2"),
+        ("http://g.example/topico", "page/{n}/", 1, "http://g.example/topico"),
+    ],
+)
+def test_topic_pages(url, pattern, n, page):
+    assert listing.topic_page(url, pattern, n) == page
+
+
+def test_topic_stops_without_new_links_and_reads_archived_versions(spark, tmp_path):
+    put = _recorded(tmp_path)
+    s = {"id": "topico:g", "tipo": "topico", "url": "http://g.example/dossie", "max_paginas": 9, "arquivadas": True, "limite_por_minuto": 100000}
+    links = lambda *names: "".join(f"<a href='/2016/{n}'>x</a>" for n in names)
+    put("http://g.example/dossie", links("materia-um", "materia-dois"))
+    put("http://g.example/dossie/page/2/", links("materia-dois", "materia-tres"))
+    put("http://g.example/dossie/page/3/", links("materia-um") + "<a href='/dossie/page/4/'>mais</a>")
+    put("http://g.example/dossie/page/4/", links("nunca-lida"))
+    asked = listing.listing_slices(s, date(2015, 1, 1), date(2016, 1, 1))
+    put(listing.CDX, [["timestamp", "original"], ["2015", "http://g.example/dossie"], ["2014", "http://g.example/gone"]], asked[0]["arquivo_params"])
+    put("https://web.archive.org/web/2015id_/http://g.example/dossie", links("materia-antiga"))
+    reader.register(spark)
+    pages = spark.read.format("tidemark_listing").options(fonte=s["id"], canal="topico", fatias=json.dumps(asked), por_minuto="100000", replay=str(tmp_path)).load()
+    assert {r.url.rsplit("/", 1)[1] for r in P.topic_links(pages).collect()} == {"materia-um", "materia-dois", "materia-tres", "materia-antiga"}
+    assert pages.filter("erro is not null").isEmpty()
+
+
+def test_runs_over_the_archive_go_slice_by_slice(spark, tmp_path, monkeypatch, capsys):
+    """Three runs with one slice each and then the rest, the second one broken: nothing is skipped, nothing repeated."""
+    monkeypatch.setattr(C, "urllib_transport", None)
+    put, year = _recorded(tmp_path), date.today().year
+    s = {"id": "wayback:g", "tipo": "wayback", "prefixos": ["g.example/a/"], "filtro": "(?i).*ilha.*", "fatias_por_rodada": 1, "estrato": "imprensa", "limite_por_minuto": 100000}
+    (tmp_path / "c.json").write_text(json.dumps({"lexico": "l.json", "fontes": [s], "desde": f"{year - 2}-03-01", "catalogo": {}, "vistas": {}, "arquivo": {"resolver": True}}))
+    (tmp_path / "l.json").write_text(json.dumps({"id": "a", "versao": "1", "termos": [{"chave": "ilha", "formas": ["massacre da ilha cinzenta"]}]}))
+    for asked in listing.listing_slices(s, date(year - 2, 3, 1), date.today()):
+        assert asked["params"]["filter"] == ["original:(?i).*ilha.*", "statuscode:200", "mimetype:text/html"]
+        y = asked["fatia"].split("|")[1]
+        put(asked["url"], [["timestamp", "original"], [f"{y}0401000000", f"http://g.example/a/materia-{y}"]], asked["params"])
+        put(f"https://web.archive.org/web/{y}0401000000id_/http://g.example/a/materia-{y}", PAGE.format(y))
+
+    def rodar():
+        record = collect.run(spark, config.load(tmp_path / "c.json"), L.load(tmp_path / "l.json"), [s], replay=str(tmp_path))
+        time.sleep(1.1)  # runs are named by the second
+        return record
+
+    one = rodar()
+    assert one["itens"] == 1 and "wayback:g" in one["incompletas"] and one["codigo"] == 3 and one["contagens"]["motivo"] == {"aceito": 1}
+    keep = collect.Memory.keep
+
+    def broken(*a):
+        raise RuntimeError("lost")
+
+    monkeypatch.setattr(collect.Memory, "keep", broken)
+    with pytest.raises(RuntimeError):
+        rodar()
+    monkeypatch.setattr(collect.Memory, "keep", keep)
+    two, three, four = rodar(), rodar(), rodar()
+    assert [r["itens"] for r in (two, three, four)] == [1, 1, 0] and not three["incompletas"]
+    root = config.load(tmp_path / "c.json").root
+    assert [x.hash_texto is not None for x in spark.read.parquet(f"{root}/catalogo").collect()] == [True] * 3
+    assert spark.read.parquet(f"{root}/catalogo").filter("snapshot <> '' and capturado_em <> ''").count() == 3
+    corpus = runs.read_corpus(spark, root)
+    assert corpus.count() == 3 and corpus.filter("capturado_em is not null and size(destaques) = 1").count() == 3
+    lines = spark.read.option("basePath", f"{root}/saidas/{two['id']}-rodar/relatorio").text(f"{root}/saidas/{two['id']}-rodar/relatorio").collect()
+    assert [x.secao for x in lines] == ["aceitos"] and lines[0].value.startswith(f"* [Massacre da Ilha Cinzenta {year - 1}](https://web.archive.org")
+    assert collect.Memory(spark, root).marks() == {"wayback:g": date.today()} and collect.Memory(spark, root, blank=True).done() == []
+    assert cli.main(["retriar", "--config", str(tmp_path / "c.json")]) == 0 and cli.main(["estimar", "--config", str(tmp_path / "c.json")]) == 0
+    assert "## imprensa: 3 unidades" in capsys.readouterr().out
+    put(listing.CDX, "1700", {"url": "g.example/a/", "matchType": "prefix", "showNumPages": "true"})
+    assert cli.main(["sondar", "--config", str(tmp_path / "c.json"), "--replay", str(tmp_path)]) == 0 and "1700 blocks; too wide" in capsys.readouterr().out
+
+
+def test_latest_captures(spark, tmp_path):
+    ask = {"url": "http://g.example/a", "matchType": "exact", "filter": "statuscode:200", "output": "json", "fl": "timestamp,original", "limit": "-1"}
+    _recorded(tmp_path)(listing.CDX, [["timestamp", "original"], ["20200102030405", "http://g.example/a"]], ask)
+    rows = spark.createDataFrame([("1", "http://g.example/a"), ("2", "http://g.example/none")], "id string, url string")
+    assert [(r.id, r.carimbo) for r in fetch.latest_captures(rows, 100000, str(tmp_path)).collect()] == [("1", "20200102030405")]
+
+
+def test_refusals_by_country():
+    c = C.Client(6000, False, lambda *a: C.Response(403, "u", b"... not available in your country ..."), clock=lambda: 0.0, sleep=lambda s: None)
+    with pytest.raises(C.GeoBlocked):
+        c.get("http://g.example/a")
+
+
+def test_run_retries_pending_and_lists_from_the_last_whole_run(spark, tmp_path):
     days = lambda n: str(date.today() - timedelta(days=n))
     feed = lambda *urls: "<rss><channel>" + "".join(f"<item><guid>{u}</guid><link>{u}</link><title>T {u[-1]}</title></item>" for u in urls) + "</channel></rss>"
     put = lambda url, body: (tmp_path / reader.replay_name(url)).write_bytes(body.encode())
@@ -158,7 +262,7 @@ def test_run_retries_pending_and_lists_from_the_last_whole_run(spark, tmp_path):
     since, items = rodar()
     assert since == {"rss:a": days(32), "rss:b": days(5)} and items == {"1": ("triado", "T 1")}
     since, items = rodar("--desde", "2024-01-01")
-    assert set(since.values()) == {"2024-01-01"} and items == {} and cli._pending(spark, state_dir / "pending").isEmpty()
+    assert set(since.values()) == {"2024-01-01"} and items == {} and collect.Memory(spark, config.load(tmp_path / "c.json").root).pending().isEmpty()
 
 
 def test_streaming_ingest(spark, tmp_path):

@@ -7,7 +7,6 @@ from __future__ import annotations
 
 import argparse
 import json
-import os
 import sys
 from datetime import UTC, date, datetime
 from pathlib import Path
@@ -15,6 +14,9 @@ from pathlib import Path
 from tidemark import config as C
 from tidemark.operators import lexicon as L
 
+#: Index blocks of a prefix beyond which its listing is too wide for one query a year.
+WIDE = 600
+
 
 def _spark():
     from pyspark.sql import SparkSession
@@ -24,169 +26,37 @@ def _spark():
     return ship(SparkSession.builder.appName("tidemark").config("spark.sql.session.timeZone", "UTC").getOrCreate())
 
 
-def listing_slices(source: dict, since: date, today: date) -> list[dict]:
-    """What the listing reader has to ask of a source; one slice per query, page address or prefix and year."""
-    kind, ask = source["tipo"], source.get("busca", "")
-    if kind == "rss":
-        return [{"url": source["url"]}]
-    if kind == "openalex":
-        return [{"url": "https://api.openalex.org/works", "params": {"search": ask, "filter": f"from_publication_date:{since}", "per-page": "200", "cursor": "*"}}]
-    if kind == "crossref":
-        return [{"url": "https://api.crossref.org/works", "params": {"query": ask, "filter": f"from-pub-date:{since}", "rows": "200", "cursor": "*"}}]
-    if kind == "ia":
-        return [{"url": "https://archive.org/advancedsearch.php", "params": {"q": f"({ask}) AND publicdate:[{since} TO null]", "fl[]": "identifier,title,description,mediatype,date,publicdate", "rows": "100", "page": "1", "output": "json"}}]
-    if kind == "wikipedia":
-        api = f"https://{source.get('idioma', 'pt')}.wikipedia.org/w/api.php"
-        return [{"url": api, "fatia": t, "params": {"action": "query", "prop": "extlinks", "titles": t, "ellimit": "500", "format": "json", "formatversion": "2"}} for t in source["titulos"]]
-    if kind == "gdelt":
-        first = max(since.toordinal(), today.toordinal() - 90)
-        days = [date.fromordinal(d) for d in range(first, today.toordinal() + 1)]
-        stamp = lambda d: d.strftime("%Y%m%d000000")
-        base = {"query": ask, "mode": "artlist", "format": "json", "maxrecords": "250", "sort": "datedesc"}
-        return [{"url": "https://api.gdeltproject.org/api/v2/doc/doc", "fatia": d.isoformat(), "params": base | {"startdatetime": stamp(d), "enddatetime": stamp(date.fromordinal(d.toordinal() + 1))}} for d in days]
-    if kind == "wayback":
-        years = range(max(since.year, 1996), today.year + 1)
-        ask = {"output": "json", "collapse": "urlkey", "fl": "timestamp,original,statuscode,mimetype,digest", "limit": "500", "showResumeKey": "true"}
-        prefixes = source.get("prefixos") or [source["dominio"]]
-        return [{"url": "https://web.archive.org/cdx/search/cdx", "fatia": f"{p}|{y}", "params": ask | {"url": p, "matchType": "prefix", "from": str(y), "to": str(y)}} for p in prefixes for y in years]
-    if kind == "topico":
-        pattern = source.get("paginacao", "page/{n}/")
-        from urllib.parse import urljoin
-
-        def page(n: int) -> str:
-            if n == 1:
-                return source["url"]
-            if pattern.startswith("?"):
-                return source["url"] + ("&" if "?" in source["url"] else "?") + pattern[1:].format(n=n)
-            return urljoin(source["url"], pattern.format(n=n))
-
-        return [{"url": page(n), "fatia": str(n)} for n in range(1, int(source.get("max_paginas", 40)) + 1)]
-    return []
-
-
-def _listed(spark, source: dict, since: date, today: date, replay: str | None):
-    from pyspark.sql import functions as F
-
-    from tidemark.sources import payloads, reader
-
-    if source["tipo"] == "lista":
-        return payloads.curated(spark, source["arquivo"], source["id"]), None
-    reader.register(spark)
-    r = spark.read.format("tidemark_listing").options(fonte=source["id"], canal=source["tipo"], fatias=json.dumps(listing_slices(source, since, today)), por_minuto=str(source.get("limite_por_minuto", 20)))
-    pages = (r.option("replay", replay) if replay else r).load().persist()
-    good = pages.filter("corpo is not null")
-    refs = payloads.topic_links(good) if source["tipo"] == "topico" else payloads.PARSERS[source["tipo"]](good)
-    return refs, pages.filter(F.col("erro").isNotNull())
-
-
-#: What a pending reference keeps besides its state, to be fetched outside the window.
-PENDING_KEEP = ("titulo", "publicado_em", "ord")
-PENDING = "fonte string, id_na_fonte string, url string, extra map<string,string>, motivo string, tentativas int, titulo string, publicado_em date, ord long"
-
-
-def _pending(spark, root: Path):
-    """References that failed in earlier runs, as the last run that got as far left them."""
-    runs = sorted(p for p in root.glob("run=*") if (p / "_SUCCESS").exists())
-    return spark.read.schema(PENDING).parquet(str(runs[-1])) if runs else spark.createDataFrame([], PENDING)
-
-
-def _watermarks(path: Path) -> dict[str, date]:
-    """Day of each source's last run whose listing ended whole."""
-    return {k: date.fromisoformat(v) for k, v in json.loads(path.read_text(encoding="utf-8")).items()} if path.exists() else {}
-
-
-def _starts(spark, wanted: list[dict], explicit: date | None, last: dict[str, date], cfg: C.Config, today: date) -> dict[str, date]:
-    """First day of each source's window; a source's own margin goes before the configured one."""
-    from pyspark.sql import functions as F
-
-    from tidemark.operators import state
-
-    day = lambda d: F.lit(d).cast("date")
-    rows = [(s["id"], last.get(s["id"]), int(s.get("margem_dias", cfg.margin_days))) for s in wanted]
-    start = state.window_start(day(explicit), F.col("ultima"), F.col("margem"), day(cfg.since), day(today))
-    return {r.fonte: r.inicio for r in spark.createDataFrame(rows, "fonte string, ultima date, margem int").select("fonte", start.alias("inicio")).collect()}  # one row per source
-
-
-def _advance(spark, path: Path, wanted: list[dict], last: dict[str, date], failed: list[str], today: date) -> None:
-    from pyspark.sql import functions as F
-
-    from tidemark.operators import state
-
-    rows = [(s["id"], last.get(s["id"]), s["id"] in failed) for s in wanted]
-    mark = state.next_watermark(F.col("ultima"), F.col("falhou"), F.lit(False), F.lit(today).cast("date"))
-    got = spark.createDataFrame(rows, "fonte string, ultima date, falhou boolean").select("fonte", mark.alias("marca")).collect()  # one row per source
-    now = last | {r.fonte: r.marca for r in got if r.marca}
-    path.parent.mkdir(parents=True, exist_ok=True)
-    part = path.with_suffix(".part")
-    part.write_text(json.dumps({k: str(v) for k, v in sorted(now.items())}), encoding="utf-8")
-    os.replace(part, path)
+def chosen(cfg: C.Config, ids: list[str] | None) -> list[dict]:
+    """The configured sources, or those asked for; an id that isn't configured is an error."""
+    unknown = set(ids or ()) - {s["id"] for s in cfg.sources}
+    if unknown:
+        raise ValueError(f"no such source: {', '.join(sorted(unknown))}")
+    return [s for s in cfg.sources if not ids or s["id"] in ids]
 
 
 def run(args) -> int:
-    """List, fetch, check, grade and publish; state moves on per source.
+    from tidemark import collect
 
-    Each source is listed from its own last whole run less its margin. What failed is pending and fetched again in every
-    run, listed or not. The watermarks are written last, so a run that breaks off is listed again.
-    """
-    from pyspark.sql import functions as F
-
-    from tidemark.operators import catalog, estimate, pipeline, runs, state
-    from tidemark.sources.fetch import fetch
-    from tidemark.sources.payloads import REFERENCE
-
-    cfg, spark, today = C.load(args.config), _spark(), date.today()
-    lex = L.load(cfg.lexicon)
-    name = datetime.now(UTC).strftime("%Y%m%dT%H%M%SZ")
-    wanted = [s for s in cfg.sources if not args.fonte or s["id"] in args.fonte]
-    if not wanted:
-        raise ValueError("no such source")
-    seen_path, pending_path, mark_path = (cfg.root / "estado" / n for n in ("seen", "pending", "marcas.json"))
-    last = {} if args.sem_estado else _watermarks(mark_path)
-    since = _starts(spark, wanted, date.fromisoformat(args.desde) if args.desde else None, last, cfg, today)
-    pending = spark.createDataFrame([], PENDING) if args.sem_estado else _pending(spark, pending_path)
-    seen = spark.read.parquet(str(seen_path)) if seen_path.exists() and not args.sem_estado else spark.createDataFrame([], "fonte string, id_na_fonte string, hash_texto string, rodada string")
-    refs, failed = None, []
-    for s in wanted:
-        got, errors = _listed(spark, s, since[s["id"]], today, args.replay)
-        refs = got.select(*REFERENCE) if refs is None else refs.unionByName(got.select(*REFERENCE))
-        if errors is not None and not errors.isEmpty():
-            failed.append(s["id"])
-    due = pending.filter(F.col("fonte").isin(*(s["id"] for s in wanted))).withColumnRenamed("extra", "dados").select(*REFERENCE)
-    todo = state.to_fetch(refs, due, seen).persist()
-    pages = fetch(todo.filter(~F.split_part("fonte", F.lit(":"), F.lit(1)).isin(*pipeline.METADATA_CHANNELS)), replay=args.replay, robots=not args.replay)
-    items = pipeline.run_items(todo, pages, lex, name).persist()
-    out = cfg.root / "saidas" / f"{name}-rodar"
-    runs.write_records(runs.records(items.drop("texto") if not cfg.keep_text else items, lex.id, lex.version), str(out))
-    strata = spark.createDataFrame([(s["id"], s.get("estrato") or "geral") for s in cfg.sources], "fonte string, estrato string")
-    if cfg.sightings_level is not None:
-        estimate.sightings(items, cfg.sightings_level).write.mode("overwrite").parquet(str(cfg.root / "vistas" / f"run={name}"))
-    if cfg.catalog_level is not None:
-        path = cfg.root / "catalogo"
-        old = spark.read.option("basePath", str(path)).parquet(str(path)) if path.exists() else spark.createDataFrame([], ", ".join(f"{c} string" for c in catalog.COLUMNS))
-        fresh = catalog.entries(items.withColumn("snapshot", F.col("dados")["snapshot"]), strata, cfg.catalog_level)
-        catalog.upsert(old, fresh).select(*catalog.COLUMNS).write.mode("overwrite").parquet(str(path / f"run={name}"))
-    if not args.sem_estado:
-        none = spark.createDataFrame([], "fonte string, id_na_fonte string, hash_texto string")
-        kept = state.next_pending(pending, items.withColumn("extra", F.col("dados")), PENDING_KEEP)
-        kept.write.mode("overwrite").parquet(str(pending_path / f"run={name}"))
-        state.next_seen(none, items).withColumn("rodada", F.lit(name)).write.mode("append").parquet(str(seen_path))
-        _advance(spark, mark_path, wanted, last, failed, today)
-    code = 2 if failed else 3 if not items.filter("nivel >= 2").isEmpty() else 0
-    (out / "rodada.json").write_text(json.dumps({"id": name, "falhas": failed, "codigo": code, "desde": {k: str(v) for k, v in since.items()}}), encoding="utf-8")
-    print(f"{name}: {items.count()} itens")
-    return code
+    cfg = C.load(args.config)
+    record = collect.run(_spark(), cfg, L.load(cfg.lexicon), chosen(cfg, args.fonte), date.fromisoformat(args.desde) if args.desde else None, not args.sem_estado, args.replay)
+    print(f"{record['id']}: {record['itens']} itens")
+    return record["codigo"]
 
 
 def regrade(args) -> int:
-    """Grade stored texts (Parquet with ord, fonte, texto, destaques) with today's lexicon."""
+    """Grade the stored corpus, or Parquet files with the same columns, with today's lexicon."""
+    from pyspark.sql import functions as F
+
     from tidemark.operators import runs, triage
 
     cfg, spark = C.load(args.config), _spark()
     lex = L.load(cfg.lexicon)
-    docs = spark.read.parquet(args.corpus)
-    docs = docs.filter(docs.fonte == args.fonte) if args.fonte else docs
+    docs = spark.read.parquet(args.corpus) if args.corpus else runs.read_corpus(spark, cfg.root)
+    if args.fonte:
+        docs = docs.filter(F.col("fonte").isin(*(s["id"] for s in chosen(cfg, [args.fonte]))))
     name = datetime.now(UTC).strftime("%Y%m%dT%H%M%SZ")
-    runs.write_records(runs.records(triage.graded(docs, lex).drop("texto"), lex.id, lex.version), str(cfg.root / "saidas" / f"{name}-retriar"))
+    graded = triage.graded(docs, lex).drop("texto", "destaques").withColumn("rodada", F.lit(name))
+    runs.write_records(runs.records(graded, lex.id, lex.version), f"{cfg.root}/saidas/{name}-retriar")
     return 0
 
 
@@ -198,11 +68,12 @@ def estimate_(args) -> int:
     cfg, spark = C.load(args.config), _spark()
     if cfg.sightings_level is None:
         raise ValueError("vistas: not configured")
-    seen = spark.read.option("basePath", str(cfg.root / "vistas")).parquet(str(cfg.root / "vistas"))
+    seen = spark.read.option("basePath", f"{cfg.root}/vistas").parquet(f"{cfg.root}/vistas")
     strata = spark.createDataFrame([(s["id"], s.get("estrato") or "geral") for s in cfg.sources], "fonte string, estrato string")
     obs = estimate.observed(seen, strata, args.nivel_minimo, F.lit(args.desde).cast("date") if args.desde else None).persist()
     aligned = bool(args.desde)
-    text = report.coverage_report(estimate.coverage(obs, aligned), estimate.per_channel(obs), estimate.pairs(obs, aligned))
+    text = report.coverage_report(estimate.coverage(obs, aligned), estimate.per_channel(obs), estimate.pairs(obs, aligned), estimate.curve(obs, seen))
+    obs.unpersist()
     Path(args.saida).write_text(text, encoding="utf-8") if args.saida else print(text)
     return 0
 
@@ -220,11 +91,22 @@ def check_config(args) -> int:
 
 
 def probe(args) -> int:
-    """Slices each source would ask for."""
-    cfg, today = C.load(args.config), date.today()
-    for s in cfg.sources:
-        if not args.fonte or s["id"] in args.fonte:
-            print(s["id"], len(listing_slices(s, cfg.since or date(1996, 1, 1), today)))
+    """Index blocks the archive has to read for each prefix; wide ones are better listed by section."""
+    from tidemark.sources.client import Client, FetchError, urllib_transport
+    from tidemark.sources.listing import CDX, archive_prefixes, rate
+    from tidemark.sources.reader import replay_transport
+
+    cfg = C.load(args.config)
+    for s in chosen(cfg, args.fonte):
+        if s["tipo"] != "wayback":
+            continue
+        client = Client(rate(s), False, replay_transport(args.replay) if args.replay else urllib_transport)
+        for p in archive_prefixes(s)[0]:
+            try:
+                said = client.get(CDX, {"url": p, "matchType": "prefix" if s.get("prefixos") else "domain", "showNumPages": "true"}).body.decode().strip()
+                print(s["id"], p, f"{said} blocks" + ("; too wide" if said.isdigit() and int(said) > WIDE else "") if said.isdigit() else "no answer")
+            except FetchError as e:
+                print(s["id"], p, f"error: {e}")
     return 0
 
 
@@ -248,14 +130,16 @@ def main(argv: list[str] | None = None) -> int:
     v.add_argument("--replay", help="folder of recorded responses")
     v = verb("retriar", regrade)
     v.add_argument("--fonte")
-    v.add_argument("--corpus", required=True)
+    v.add_argument("--corpus", help="Parquet files instead of the stored corpus")
     v = verb("estimar", estimate_)
     v.add_argument("--nivel-minimo", type=int, default=2)
     v.add_argument("--desde")
     v.add_argument("--saida")
     verb("validar-lexico", check_lexicon, False)
     verb("validar-config", check_config, False)
-    verb("sondar", probe).add_argument("--fonte", action="append")
+    v = verb("sondar", probe)
+    v.add_argument("--fonte", action="append")
+    v.add_argument("--replay", help="folder of recorded responses")
     args = p.parse_args(argv)
     try:
         return args.body(args)

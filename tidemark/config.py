@@ -7,6 +7,8 @@ from dataclasses import dataclass
 from datetime import date
 from pathlib import Path
 
+from tidemark.sources.listing import listing_slices, rate
+
 # Strata a source may belong to, and channels with the settings they need.
 STRATA = ("imprensa", "imprensa-historica", "academico", "juridico", "memoria", "geral")
 CHANNELS = {"wayback": (), "topico": ("url",), "rss": ("url",), "gdelt": ("busca",), "openalex": ("busca",), "crossref": ("busca",), "ia": ("busca",), "wikipedia": ("titulos",), "lista": ("arquivo",)}
@@ -15,7 +17,7 @@ CHANNELS = {"wayback": (), "topico": ("url",), "rss": ("url",), "gdelt": ("busca
 @dataclass(frozen=True)
 class Config:
     lexicon: Path
-    root: Path
+    root: str  # where runs, state and tables lie: a folder that all executors share
     sources: tuple[dict, ...]
     since: date | None = None
     margin_days: int = 2
@@ -61,6 +63,14 @@ def problems(data) -> list[str]:
             levels[key] = None
     if (levels["vistas"] if levels["vistas"] is not None else 2) > (levels["catalogo"] if levels["catalogo"] is not None else 3):
         found.append("vistas.nivel_minimo is above catalogo.nivel_minimo")
+    for n, s in enumerate(sources):
+        if s.get("tipo") in CHANNELS and all(s.get(k) for k in CHANNELS[s["tipo"]]):
+            try:  # a source is sound if its listing can be planned
+                listing_slices(s, date(2020, 1, 1), date(2020, 1, 2))
+                if rate(s) <= 0:
+                    raise ValueError("limite_por_minuto: must be above 0")
+            except (TypeError, ValueError, KeyError, IndexError) as e:
+                found.append(f"fontes[{s.get('id') or n}]: {e}")
     if data.get("desde"):
         try:
             date.fromisoformat(data["desde"])
@@ -69,6 +79,11 @@ def problems(data) -> list[str]:
     return found
 
 
+def _location(base: Path, named: str) -> str:
+    """An address as it is, a path as the file address it means from the configuration's folder."""
+    return named.rstrip("/") if "://" in named else (base / named).resolve().as_uri()
+
+
 def load(path: str | Path) -> Config:
     path = Path(path)
     data = json.loads(path.read_text(encoding="utf-8"))
@@ -77,7 +92,7 @@ def load(path: str | Path) -> Config:
     levels = _levels(data)
     return Config(
         (path.parent / data["lexico"]).resolve(),
-        (path.parent / data.get("diretorio", "dados")).resolve(),
+        _location(path.parent, data.get("diretorio", "dados")),
         tuple(data["fontes"]),
         date.fromisoformat(data["desde"]) if data.get("desde") else None,
         int(data.get("margem_dias", 2)),

@@ -108,9 +108,9 @@ def parse(data) -> Lexicon:
             c.problems.append(f"{where}.chave: '{key}' repeats")
         lists = {k: c.texts(f"{where}.{k}", t.get(k, []), least) for k, least in (("formas", 1), ("exclusoes", 0), ("categorias", 0))}
         terms.append(Term(key, lists["formas"], lists["exclusoes"], float(weight), lists["categorias"], t.get("nota")))
-    for name, value in [("descricao", data.get("descricao", "")), *((f"termos[{i}].nota", t.get("nota", "")) for i, t in enumerate(raw) if isinstance(t, dict))]:
+    for where, value in [("descricao", data.get("descricao", "")), *((f"termos[{i}].nota", t.get("nota", "")) for i, t in enumerate(raw) if isinstance(t, dict))]:
         if not isinstance(value, str):
-            c.problems.append(f"{name}: must be a string")
+            c.problems.append(f"{where}: must be a string")
     context = data.get("contexto")
     markers: tuple[str, ...] = ()
     if context is not None and not isinstance(context, dict):

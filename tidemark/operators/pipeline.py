@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tidemark.functions import text as X
@@ -44,16 +44,22 @@ def captured(refs: DataFrame, responses: DataFrame) -> DataFrame:
     )
 
 
-def run_items(refs: DataFrame, responses: DataFrame, lexicon: Lexicon, run: str, least: int = integrity.LEAST) -> DataFrame:
-    """Run items of all references: status, hash and grade; texts that fail the integrity check aren't graded."""
+def run_items(refs: DataFrame, responses: DataFrame, lexicon: Lexicon, run: str, least: int = integrity.LEAST, at: Column | None = None) -> DataFrame:
+    """Run items of all references: status, hash, grade, and the document for the corpus.
+
+    Texts that fail the integrity check aren't graded, but keep their text. at: time of capture, by default now, in
+    whole seconds; references without a document have none.
+    """
     docs = captured(refs, responses)
     channel = X.channel(F.col("fonte"))
     sound = F.when(channel.isin(*METADATA_CHANNELS), integrity.metadata_intact(F.col("dados")["titulo"])).when(channel == "wayback", integrity.archive_intact(F.col("texto"), least)).otherwise(integrity.intact(F.col("texto"), least))
     status = F.coalesce("_failure", F.when(sound, state.DONE).otherwise(state.REJECTED))
+    at = F.date_trunc("second", F.current_timestamp() if at is None else at)
     docs = triage.pinned(docs, situacao=status, hash_texto=F.when(F.col("_failure").isNull(), F.sha2("texto", 256)))
     graded = triage.graded(docs, lexicon)
     done = F.col("situacao") == state.DONE
     return graded.select(
         F.lit(run).alias("rodada"), *refs.columns, "situacao", "hash_texto", "erro", *(F.when(done, F.col(c)).alias(c) for c in triage.OUTPUT),
-        X.item_title(F.col("titulo"), F.col("url"), F.get(F.col("destaques"), F.lit(0))["texto"]).alias("exibido"), F.when(done, F.col("texto")).alias("texto"), F.lit(lexicon.version).alias("lexico_versao"),
+        X.item_title(F.col("titulo"), F.col("url"), F.get(F.col("destaques"), F.lit(0))["texto"]).alias("exibido"), F.col("dados")["snapshot"].alias("snapshot"),
+        F.when(F.col("hash_texto").isNotNull(), at).alias("capturado_em"), F.when(F.col("hash_texto").isNotNull(), F.col("texto")).alias("texto"), "destaques", F.lit(lexicon.version).alias("lexico_versao"),
     )

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tidemark.functions import text as X
@@ -76,6 +76,25 @@ def corpus(documents: DataFrame, intact: str) -> DataFrame:
     return good.select("fonte", "hash_texto", F.concat_ws("/", X.safe_name(F.col("fonte")), F.concat("hash_texto", F.lit(".json"))).alias("caminho"), "ord")
 
 
+#: What of a run item the corpus keeps.
+CORPUS = ("fonte", "id_na_fonte", "url", "titulo", "publicado_em", "capturado_em", "hash_texto", "texto", "destaques", "ord")
+
+
+def write_corpus(items: DataFrame, root: str, run: str) -> None:
+    """Sound documents below root/corpus, rejected ones apart below root/quarentena, as the run's own part: a run that is
+    repeated replaces it, and none but sound documents are ever read as corpus."""
+    kept = items.filter("texto is not null").select("situacao", *CORPUS)
+    for folder, status in (("corpus", state.DONE), ("quarentena", state.REJECTED)):
+        kept.filter(F.col("situacao") == status).drop("situacao").write.mode("overwrite").parquet(f"{root}/{folder}/run={run}")
+
+
+def read_corpus(spark: SparkSession, root: str) -> DataFrame:
+    """Stored documents, one for each source and text, with the reference of the latest run that had it."""
+    d = spark.read.option("basePath", f"{root}/corpus").parquet(f"{root}/corpus")
+    latest = F.max_by(F.struct(*(c for c in CORPUS if c not in ("fonte", "hash_texto"))), F.struct("run", "ord"))
+    return d.groupBy("fonte", "hash_texto").agg(latest.alias("d")).select("fonte", "hash_texto", "d.*").select(*CORPUS)
+
+
 def document_json(documents: DataFrame) -> DataFrame:
     """(documents' keys, json): a document as JSON for interchange; extra data and the page as served stay out."""
     ref = F.struct("fonte", "id_na_fonte", "url", "titulo", F.col("publicado_em").cast("string").alias("publicado_em"))

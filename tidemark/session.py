@@ -79,6 +79,37 @@ def move_path(spark: SparkSession, path: str, to: str) -> None:
     fs.rename(source, _fs(spark, to)[1])
 
 
+def write_text(spark: SparkSession, path: str, text: str) -> None:
+    """A small file, complete or not there: written beside its place and renamed."""
+    fs, part = _fs(spark, f"{path}.part")
+    fs.setWriteChecksum(False)
+    out = fs.create(part, True)
+    out.write(bytearray(text, "utf-8"))
+    out.close()
+    target = _fs(spark, path)[1]
+    fs.delete(target, False)
+    fs.rename(part, target)
+
+
+def read_text(spark: SparkSession, path: str) -> str | None:
+    """A small file's text, or null where there is none."""
+    if not path_exists(spark, path):
+        return None
+    fs, target = _fs(spark, path)
+    fs.setVerifyChecksum(False)
+    source = fs.open(target)
+    try:
+        return bytes(source.readAllBytes()).decode("utf-8")
+    finally:
+        source.close()
+
+
+def names_below(spark: SparkSession, path: str) -> list[str]:
+    """Names of what lies in a folder, in order; none where there is no folder."""
+    fs, target = _fs(spark, path)
+    return sorted(s.getPath().getName() for s in fs.listStatus(target)) if fs.exists(target) else []
+
+
 def drop_path(spark: SparkSession, path: str) -> None:
     """Delete a path below the shared folder through the cluster's own file system client."""
     fs, target = _fs(spark, path)

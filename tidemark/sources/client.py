@@ -40,6 +40,14 @@ class RobotsBlocked(FetchError):
     """robots.txt forbids the address."""
 
 
+class GeoBlocked(FetchError):
+    """The origin answers requests from other countries only."""
+
+
+# What refusals by country say.
+GEO_MARKS = (b"block access from your country", b"not available in your country", b"geo-restricted")
+
+
 def redacted(text: str) -> str:
     return re.sub(SECRET, r"\1<redigido>", text)
 
@@ -97,10 +105,12 @@ class Client:
 
     def get(self, url: str, params: Mapping[str, str] | list | None = None) -> Response:
         if params:
-            url += ("&" if "?" in url else "?") + urllib.parse.urlencode(params)
+            url += ("&" if "?" in url else "?") + urllib.parse.urlencode(params, doseq=True)
         if self.robots and not self.allowed(url):
             raise RobotsBlocked(redacted(f"robots.txt forbids {url}"))
         got = self._send(url)
+        if got.status == 403 and any(m in got.body for m in GEO_MARKS):
+            raise GeoBlocked(redacted(f"GET {url}: refused from this country"))
         if not 200 <= got.status < 300:
             raise FetchError(redacted(f"GET {url}: HTTP {got.status}: {got.body[:300].decode('utf-8', 'replace')}"))
         return got

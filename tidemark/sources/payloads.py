@@ -13,15 +13,9 @@ from tidemark.functions import text as X
 from tidemark.functions import url as U
 from tidemark.operators.slices import is_noise
 from tidemark.operators.state import first_wins
+from tidemark.sources.links import NAVIGATION, anchors
 
 REFERENCE = ["fonte", "id_na_fonte", "url", "titulo", "publicado_em", "dados", "ord"]
-# Fixed value: addresses on topic pages that lead to listings, feeds and media.
-NAVIGATION = (
-    r"(?i)/(tag|tags|tema|temas|topico|topicos|tudo-sobre|autor|autores|author|category|categoria|categorias|assunto|"
-    r"assuntos|page|pagina|search|busca|feed|wp-|amp)(/|$)|[?&](s|q|busca|page|pagina)=|/feed$|\.(xml|rss|jpg|jpeg|png|gif|pdf|mp3|mp4)$"
-)
-
-
 def _order(page: str = "pagina", at: str = "_i") -> Column:
     return (F.col(page).cast("bigint") * 1_000_000 + F.col(at)).alias("ord")
 
@@ -142,8 +136,6 @@ def curated(spark: SparkSession, path: str, source: str) -> DataFrame:
 
 def topic_links(pages: DataFrame, only_domain: Column | None = None) -> DataFrame:
     """Article links of topic pages (fonte, pagina, base, corpo): absolute, of the page's domain, each address once."""
-    from tidemark.sources.links import anchors
-
     base = U.unarchived(F.col("base"))
     rows = pages.select("fonte", "pagina", base.alias("_b"), F.posexplode(anchors("corpo", base)).alias("_i", "_u"))
     link = U.unarchived(F.col("_u"))

@@ -15,10 +15,13 @@ from pathlib import Path
 
 from pyspark.sql.datasource import DataSource, DataSourceReader, InputPartition
 
-from tidemark.sources.client import Client, FetchError, Response, urllib_transport
+from tidemark.sources.client import Client, FetchError, Response, RobotsBlocked, urllib_transport
+from tidemark.sources.links import article_links
 
 #: Articles above which a day's query is cut and has to be asked in bands.
 GDELT_CAP = 250
+#: Requests a minute to the archive for versions of topic pages.
+ARCHIVE_RATE = 15
 SCHEMA = "fonte string, fatia string, pagina int, base string, corpo string, erro string"
 
 
@@ -84,6 +87,9 @@ class ListingReader(DataSourceReader):
         client = Client(int(o.get("por_minuto", 20)), o.get("robots", "false") == "true", send)
         for s in partition.slices:
             name, params, page = s.get("fatia", s["url"]), s.get("params") or {}, 0
+            if o["canal"] == "topico":
+                yield from self._topic(client, Client(ARCHIVE_RATE, False, send), s)
+                continue
             try:
                 while params is not None:
                     got = client.get(s["url"], params)
@@ -98,6 +104,40 @@ class ListingReader(DataSourceReader):
                 yield o["fonte"], name, page, s["url"], None, str(e)
 
 
+    def _topic(self, client: Client, archive: Client, s: dict) -> Iterator[tuple]:
+        """Pages of a topic until one has no new link or can't be read, then one archived version of each year.
+
+        A topic that robots.txt closes is an error, unless its archived versions are asked for.
+        """
+        source, name, seen, page = self.options["fonte"], s.get("fatia", s["url"]), set(), 0
+        try:
+            for url in s["paginas"]:
+                got = client.get(url)
+                body = got.body.decode("utf-8", "replace")
+                if seen.issuperset(links := article_links(body, url)):
+                    break
+                seen.update(links)
+                yield source, name, page, got.url, body, None
+                page += 1
+        except RobotsBlocked as e:
+            if "arquivo" not in s:
+                yield source, name, page, s["url"], None, str(e)
+        except FetchError:
+            pass  # past the last page
+        try:
+            rows = json.loads(archive.get(s["arquivo"], s["arquivo_params"]).body or b"[]") if "arquivo" in s else []
+        except (FetchError, ValueError) as e:
+            yield source, name, page, s["url"], None, str(e)
+            return
+        for stamp, original, *_ in filter(None, rows[1:]):
+            url = f"https://web.archive.org/web/{stamp}id_/{original}"
+            try:
+                yield source, name, page, url, archive.get(url).body.decode("utf-8", "replace"), None
+                page += 1
+            except FetchError:
+                continue  # a version that can't be read leaves the others
+
+
 class ListingSource(DataSource):
     @classmethod
     def name(cls) -> str:
