@@ -261,6 +261,15 @@ def test_labels_and_mixed_texts(spark):
     assert language.found(items.limit(0), judged.limit(0)).count() == 0
 
 
+def test_unknown_languages_have_a_low_confidence():
+    rows = [(k, " ".join(random.Random(f"{k}{i}").sample(v, 2))) for k, v in SENTENCES.items() for i in range(60)]
+    model = language.Classifier.fit([t for _, t in rows], np.array([language.LANGUAGES.index(k) for k, _ in rows]))
+    foreign = ["il tribunale della città ha respinto ieri la richiesta delle famiglie", "das Gericht der Stadt wies gestern den Antrag der Familien zurück", "de rechtbank van de stad wees gisteren het verzoek van de families af"]
+    known = [v[1] + " " + v[2] for v in SENTENCES.values()]
+    low, high = ([max(s, key=lambda x: x[2])[3] for s in model.stretches([language.prepare(t) for t in texts])] for texts in (foreign, known))
+    assert max(low) < 0.2 and min(high) > 0.9, (low, high)
+
+
 def test_short_stretches_come_out_too(spark):
     rows = [(n, k, " ".join(random.Random(n).sample(v, 2))) for n, (k, v) in enumerate([*SENTENCES.items()] * 60)]
     mixed = SENTENCES["pt"][0] + " " + SENTENCES["pt"][2] + " could not find the"
@@ -381,6 +390,7 @@ def test_ids_equal_the_library_and_round_trip(spark):
     df = spark.createDataFrame([(1, None, "z"), (2, "", None), (3, "a b", "z"), (3, "a b", "z")], "doc_id long, text string, ids string")
     got = [(r.doc_id, r.ids) for r in encode.encode(df).orderBy("doc_id").collect()]
     assert got == [(1, []), (2, []), (3, enc.batch(["a b"])[0]), (3, enc.batch(["a b"])[0])]
+    assert [(r.inicio, r.fim) for r in encode.offsets(df).orderBy("doc_id").collect()][1:3] == [([], []), ([0, 1], [1, 3])]
     assert encode.round_trip(df).filter("not exact").count() == 0 and encode.encode(df.limit(0)).count() == 0
 
 
@@ -396,6 +406,10 @@ def test_mixture_reaches_shares_within_caps(spark):
     by = {r.source: r for r in mixing.shares(got, df, mix).collect()}
     for s, w in (("a", 0.2), ("b", 0.5), ("c", 0.3)):
         assert abs(by[s].share - w) < 0.005 and by[s].most_copies <= by[s].cap
+    # a larger mixture is had by letting sources fall short
+    total = sum(r.mixed_tokens for r in by.values())
+    wide = {r.source: r for r in mixing.shares(mixing.copies(df, mix, 2.0 * total), df, mix).collect()}
+    assert wide["b"].mixed_tokens == 4 * wide["b"].n_tokens and wide["a"].share > by["a"].share and all(r.most_copies <= max(r.cap, 0) for r in wide.values())
     assert by["b"].most_copies == 4 and by["none"].share == 0 and by["untargeted"].share == 0
     assert mixing.copies(df.limit(0), mix).count() == 0 and mixing.copies(df, mix.limit(0)).count() == 0
 

@@ -11,6 +11,7 @@ text are ordinary text; ids equal the library's own for the whole text.
 
 from __future__ import annotations
 
+import json
 import os
 import re
 from collections.abc import Iterator
@@ -51,7 +52,15 @@ class Encoder:
         self.tok = Tokenizer.from_file(path)
         self.tok.encode_special_tokens = True
         self.memo: dict[str, list[int]] = {}
-        self.whole = '"ByteLevel"' not in self.tok.to_str()[:4000]
+        self.whole = not self._cuts_at_spaces()
+
+    def _cuts_at_spaces(self) -> bool:
+        """Whether the tokenizer's own pre-tokenizer is the byte-level one with its pattern, without a prefix space, and
+        nothing normalises the text before: only then do pieces between spaces give the ids of the whole text."""
+        if self.tok.normalizer is not None or self.tok.pre_tokenizer is None:
+            return False
+        state = json.loads(self.tok.pre_tokenizer.__getstate__())
+        return state.get("type") == "ByteLevel" and not state.get("add_prefix_space") and state.get("use_regex", True)
 
     def raw(self, texts: list[str]) -> list[list[int]]:
         return [e.ids for e in self.tok.encode_batch_fast(texts, add_special_tokens=False)]
@@ -121,6 +130,21 @@ def encode(df: DataFrame, key: str = "doc_id", text: str = "text", name: str = D
     return spread(df, key, text).mapInArrow(run, schema)
 
 
+def offsets(df: DataFrame, key: str = "doc_id", text: str = "text", name: str = DEFAULT, directory: str = TOKENIZER_DIR) -> DataFrame:
+    """(key, inicio, fim): half-open code-point offsets of each token; a character split over tokens belongs to each."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        enc = encoder(name, directory)
+        for b in batches:
+            texts = b.column(1).to_pylist()
+            for lo in range(0, len(texts), 64):
+                spans = [e.offsets if t else [] for t, e in zip(texts[lo : lo + 64], enc.tok.encode_batch([t or "" for t in texts[lo : lo + 64]], add_special_tokens=False))]
+                yield pa.RecordBatch.from_arrays([b.column(0).slice(lo, 64), *(_lists([[x[i] for x in s] for s in spans]) for i in (0, 1))], names=[key, "inicio", "fim"])
+
+    schema = T.StructType([df.schema[key], *(T.StructField(c, T.ArrayType(T.IntegerType())) for c in ("inicio", "fim"))])
+    return spread(df, key, text).mapInArrow(run, schema)
+
+
 def count_tokens(df: DataFrame, keys: list[str], text: str = "text", name: str = DEFAULT, directory: str = TOKENIZER_DIR) -> DataFrame:
     """(keys..., n_tokens) of every row of df; null and empty texts have 0."""
 

@@ -25,6 +25,7 @@ from math import log2
 
 import numpy as np
 import pyarrow as pa
+from pyspark import Broadcast
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -89,7 +90,11 @@ def count_pairs(df: DataFrame, text: str) -> DataFrame:
 
 
 class Model:
-    """Pair statistics with the scoring rules; a few hundred kB, sent to the workers with the closure."""
+    """Pair statistics with the scoring rules, broadcast to the workers.
+
+    Their number is bounded by the alphabet of `fold`, about 3,100 symbols with the blocks; texts of European languages
+    hold a few ten thousand pairs of them.
+    """
 
     def __init__(self, counts: dict[str, int]):
         self.total = max(1, sum(n for g, n in counts.items() if len(g) == 1))
@@ -223,10 +228,12 @@ def fit(texts: DataFrame, text: str) -> Model:
     return Model({r.gram: r.n for r in count_pairs(texts, text).collect()})
 
 
-def detect(df: DataFrame, text: str, model: Model, campo: str, key: str = "ord") -> DataFrame:
+def detect(df: DataFrame, text: str, model: Model | Broadcast, campo: str, key: str = "ord") -> DataFrame:
     """(campo, key, original, restored) of the garbled rows; restored is null where nothing could be mapped back."""
+    shared = df.sparkSession.sparkContext.broadcast(model) if isinstance(model, Model) else model
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        model = shared.value
         for b in batches:
             keep, was, now = [], [], []
             for i, t in enumerate(b.column(1).to_pylist()):
@@ -246,5 +253,5 @@ def detect(df: DataFrame, text: str, model: Model, campo: str, key: str = "ord")
 def found(items: DataFrame, judged: DataFrame) -> DataFrame:
     """Garbled itens.titulo and pede_juizo.trecho, scored with the statistics of both."""
     both = items.select(F.col("titulo").alias("t")).unionByName(judged.select(F.col("trecho").alias("t")))
-    model = fit(both, "t")
+    model = items.sparkSession.sparkContext.broadcast(fit(both, "t"))
     return detect(items, "titulo", model, "titulo").unionByName(detect(judged, "trecho", model, "trecho"))

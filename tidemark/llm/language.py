@@ -7,7 +7,10 @@ Runs of non-ASCII characters become one symbol first, so a text that was garbled
 
 Words carry the summed log probabilities of their n-grams, and the best path over words with SWITCH as the price of a
 change of language cuts a text into stretches. A stretch's confidence is its posterior, with the log probabilities
-divided by the number of n-gram orders, as one character is counted once in each.
+divided by the number of n-gram orders, as one character is counted once in each, times how usual its likelihood is for
+that language: the mean log probability of a character in the texts of the sample, with its spread over texts and words,
+is what the stretch is held against. Text of a language the model doesn't know is likelier in one of LANGUAGES than in
+the others, but far less likely than that language's own, and comes out with a confidence near 0.
 
 Defined results: null and empty texts, bare addresses, and texts without a word have no language. A label in another
 spelling (code with region, three letters, a name, capitals) is right.
@@ -41,6 +44,8 @@ ORDERS = (2, 3, 4)
 TRAIN_ROWS = 40_000
 #: Price of a change of language, in nats, and the least number of words a stretch needs.
 SWITCH, LEAST_WORDS = 20.0, 5
+#: Deviations below a language's usual likelihood at which the confidence halves.
+FAR = 5.0
 
 _KNOWN = {s: k for k, v in SPELLINGS.items() for s in v.split()}
 _FOREIGN = re.compile(r"[^\x00-\x7f]+")
@@ -76,8 +81,10 @@ def grams(plain: list[str]) -> tuple[np.ndarray, np.ndarray]:
 
 
 class Classifier:
-    def __init__(self, table: np.ndarray):
+    def __init__(self, table: np.ndarray, usual: np.ndarray | None = None):
         self.table = table  # (2 ** BITS, languages), float32
+        # mean log probability of a character, its deviation over texts, and over single words; one row per language
+        self.usual = np.tile([0.0, np.inf, np.inf], (len(LANGUAGES), 1)) if usual is None else usual
 
     @staticmethod
     def fit(texts: list[str], labels: np.ndarray, rounds: int = 2) -> Classifier:
@@ -94,17 +101,44 @@ class Classifier:
             model = Classifier(np.log((counts + 0.5) / (total + 0.5 * 4096)).astype(np.float32))
             scores = model.totals(plain)
             keep &= scores.argmax(axis=1) == labels
+        model.usual = model.habits([plain[i] for i in np.nonzero(keep)[0]], labels[keep])
         return model
 
+    def habits(self, plain: list[str], labels: np.ndarray) -> np.ndarray:
+        out = np.tile([0.0, np.inf, np.inf], (len(LANGUAGES), 1))
+        if not plain:
+            return out
+        score, owner, size = self.words(plain)
+        own = score[np.arange(len(score)), labels[owner]]
+        n, total, words = (np.bincount(owner, x, len(plain)) for x in (size, own, np.ones(len(own))))
+        for k in range(len(LANGUAGES)):
+            texts = np.nonzero((labels == k) & (n > 0))[0]
+            if len(texts) < 2:
+                continue
+            mean = total[texts].sum() / n[texts].sum()
+            mine = labels[owner] == k
+            word = ((own[mine] - mean * size[mine]) ** 2).sum() / size[mine].sum()  # variance a character, over words
+            text = ((total[texts] / n[texts] - mean) ** 2).mean() - (word / n[texts]).mean()
+            out[k] = mean, np.sqrt(max(text, 0.0)), np.sqrt(word)
+        return out
+
+    def usualness(self, k: int, total: float, size: float) -> float:
+        """About 1 for a likelihood usual in language k, near 0 for one far below."""
+        mean, text, word = self.usual[k]
+        if not np.isfinite(text) or size <= 0:
+            return 1.0
+        z = (total / size - mean) / max(1e-9, np.hypot(text, word / np.sqrt(size)))
+        return float(1 / (1 + np.exp(np.clip(-2 * (z + FAR), -30, 30))))
+
     def totals(self, plain: list[str]) -> np.ndarray:
         out = np.zeros((len(plain), len(LANGUAGES)))
         for lo in range(0, len(plain), 2048):
-            words, owner = self.words(plain[lo : lo + 2048])
+            words, owner, _ = self.words(plain[lo : lo + 2048])
             np.add.at(out[lo : lo + 2048], owner, words)
         return out
 
-    def words(self, plain: list[str]) -> tuple[np.ndarray, np.ndarray]:
-        """(scores of each word, index of its text) over a batch."""
+    def words(self, plain: list[str]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """(scores of each word, index of its text, its length as far as it counts) over a batch."""
         codes, at = grams(plain)
         per = self.table[at[0]]
         for a in at[1:]:
@@ -116,12 +150,13 @@ class Classifier:
         score = total[ends + 1] - total[starts]
         named = (codes[starts] >= 65) & (codes[starts] <= 90) & (codes[np.minimum(starts + 1, len(codes) - 1)] >= 97)
         score[named] *= NAME_WEIGHT
+        size = (ends + 1 - starts) * np.where(named, NAME_WEIGHT, 1.0)
         owner = np.repeat(np.arange(len(plain)), [p.count(" ") + 1 if p else 0 for p in plain])
-        return score, owner
+        return score, owner, size
 
     def stretches(self, plain: list[str]) -> list[list[tuple[int, int, int, float]]]:
         """For each text its stretches (language, first word, words, confidence); the best path over its words."""
-        score, owner = self.words(plain)
+        score, owner, size = self.words(plain)
         n = np.bincount(owner, minlength=len(plain)) if len(owner) else np.zeros(len(plain), int)
         first = np.cumsum(n) - n
         out: list[list] = [[] for _ in plain]
@@ -134,10 +169,10 @@ class Classifier:
             stop = min(int(np.searchsorted(n[order], longest, side="right")), at + max(1, 2_000_000 // longest))
             rows = order[at : max(stop, at + 1)]
             at += len(rows)
-            self._path(rows, n, first, score, out)
+            self._path(rows, n, first, score, size, out)
         return out
 
-    def _path(self, rows, n, first, score, out) -> None:
+    def _path(self, rows, n, first, score, size, out) -> None:
         width, k = int(n[rows].max()), len(LANGUAGES)
         best = np.zeros((len(rows), k))
         back = np.zeros((width, len(rows), k), np.int8)
@@ -160,9 +195,10 @@ class Classifier:
             path = lang[:m, j]
             cuts = [0, *(np.nonzero(np.diff(path))[0] + 1).tolist(), m]
             for lo, hi in zip(cuts, cuts[1:]):
-                total = score[first[row] + lo : first[row] + hi].sum(axis=0) / len(ORDERS)
-                p = np.exp(total - total.max())
-                out[row].append((int(path[lo]), lo, hi - lo, float(p[path[lo]] / p.sum())))
+                k, at = int(path[lo]), slice(first[row] + lo, first[row] + hi)
+                total = score[at].sum(axis=0)
+                p = np.exp((total - total.max()) / len(ORDERS))
+                out[row].append((k, lo, hi - lo, float(p[k] / p.sum()) * self.usualness(k, float(total[k]), float(size[at].sum()))))
 
 
 def languages(stretches: list[tuple[int, int, int, float]]) -> dict[str, float]:
@@ -194,7 +230,7 @@ def identify(df: DataFrame, text: str, label: str, campo: str, shared, headline:
     """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        model = Classifier(shared.value)
+        model = Classifier(*shared.value)
         for b in batches:
             plain = []
             for t in b.column(2).to_pylist():
@@ -228,7 +264,8 @@ def identify(df: DataFrame, text: str, label: str, campo: str, shared, headline:
 def stretches(items: DataFrame, judged: DataFrame) -> DataFrame:
     """All stretches of itens.titulo and pede_juizo.trecho, short ones included."""
     t = items.select("ord", "idioma", F.col("titulo").alias("t")).unionByName(judged.select("ord", "idioma", F.col("trecho").alias("t")))
-    shared = items.sparkSession.sparkContext.broadcast(train(t, "t", "idioma", "ord").table)  # 2 ** BITS rows, fixed
+    model = train(t, "t", "idioma", "ord")
+    shared = items.sparkSession.sparkContext.broadcast((model.table, model.usual))  # 2 ** BITS rows, fixed
     return identify(items, "titulo", "idioma", "titulo", shared, True).unionByName(identify(judged, "trecho", "idioma", "trecho", shared, False))
 
 

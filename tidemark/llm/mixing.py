@@ -12,7 +12,7 @@ the documents of a source in order of size: the copies of any run of documents d
 than one, so a source's tokens differ from its goal by less than one document.
 
 Size of the mixture: the largest at which every target is met within the caps, but no more than the tokens of the
-sources taken together. Sources of `documents` that have no target get no copies; targets without tokens can't be
+sources taken together; or a size given, at which sources with too few tokens fall short. Sources of `documents` that have no target get no copies; targets without tokens can't be
 met, are reported with an actual share of 0 and leave their weight to the rest in proportion.
 Defined results: null or empty texts have no tokens, no weight and no copies; repeated rows are separate documents;
 a null or negative weight counts as 0, a null max_vezes as 1; repeated targets of one source add their weights and
@@ -47,7 +47,7 @@ def token_table(docs: DataFrame, name: str = DEFAULT, directory: str = TOKENIZER
     return durable(count_tokens(docs, ["doc_id", "source"], "text", name, directory), "tokens")
 
 
-def solve(hist: DataFrame, goals: list[dict], rounds: int = ROUNDS) -> list[dict]:
+def solve(hist: DataFrame, goals: list[dict], rounds: int = ROUNDS, size: float | None = None) -> list[dict]:
     """Dual variables by safeguarded Newton steps; goals has source, target, cap and comes back with the solution."""
     totals = {r["source"]: r for r in hist.filter(F.col("source").isin([g["source"] for g in goals])).groupBy("source").agg(F.sum(F.col("n_tokens") * F.col("n_docs")).alias("t"), F.sum("n_docs").alias("n")).collect()}
     live = [g for g in goals if g["target"] > 0 and g["cap"] > 0 and g["source"] in totals]
@@ -58,9 +58,9 @@ def solve(hist: DataFrame, goals: list[dict], rounds: int = ROUNDS) -> list[dict
         tokens, docs = totals[g["source"]]["t"], totals[g["source"]]["n"]
         g |= {"share": g["target"] / weight, "tokens": float(tokens), "mean": tokens / docs, "lam": 0.0, "lo": -math.inf, "hi": math.inf}
     # the multiplier of the smallest feasible scale: a target equal to its cap would need an infinite dual variable
-    size = min(sum(g["tokens"] for g in live), min(g["cap"] * g["tokens"] / g["share"] for g in live))
+    size = size if size is not None else min(sum(g["tokens"] for g in live), min(g["cap"] * g["tokens"] / g["share"] for g in live))
     for g in live:
-        g["goal"] = size * g["share"]
+        g["goal"] = min(size * g["share"], g["cap"] * g["tokens"])
         g["full"] = g["goal"] >= g["cap"] * g["tokens"] * (1 - 1e-12)
     for _ in range(rounds):
         open_ = [g for g in live if not g["full"] and not g.get("done")]
@@ -91,14 +91,18 @@ def _lookup(values: dict[str, float]) -> Column:
     return F.element_at(F.create_map(*chain.from_iterable((F.lit(k), F.lit(v)) for k, v in values.items())), F.col("source"))
 
 
-def copies(tokens: DataFrame, mix: DataFrame) -> DataFrame:
-    """(doc_id, source, n_tokens, rate, copies) of every document that is used at least once."""
+def copies(tokens: DataFrame, mix: DataFrame, size: float | None = None) -> DataFrame:
+    """(doc_id, source, n_tokens, rate, copies) of every document that is used at least once.
+
+    size: tokens of the whole mixture, where it should rather be large than exact: a source that can't give its share of
+    them within its cap gives all it may and falls short, the others give theirs.
+    """
     # one row per listed source: as many as the target table, which is fixed
     goals = [r.asDict() for r in targets(mix).collect()]
     used = tokens.filter((F.col("n_tokens") > 0) & F.col("source").isin([g["source"] for g in goals]))
     salt = F.pmod(F.xxhash64("doc_id"), F.lit(SALT)).cast("int").alias("_b")
-    blocks = durable(used.groupBy("source", "n_tokens", salt).agg(F.count("*").alias("n_docs")), "token-blocks").persist()
-    live = solve(blocks, goals)
+    blocks = durable(used.groupBy("source", "n_tokens", salt).agg(F.count("*").alias("n_docs")), "token-blocks")
+    live = solve(blocks, goals, size=size)
     if not live:
         return used.select("doc_id", "source", "n_tokens", F.lit(0.0).alias("rate"), F.lit(0).alias("copies")).limit(0)
     lam, mean, cap = (_lookup({g["source"]: float(g[k]) for g in live}) for k in ("lam", "mean", "cap"))

@@ -74,6 +74,11 @@ def p8_ids(spark: SparkSession, sf: str) -> DataFrame:
     return encode.encode(table(spark, sf, "documents"))
 
 
+def p8_offsets(spark: SparkSession, sf: str) -> DataFrame:
+    """Where each token stands in its text."""
+    return encode.offsets(table(spark, sf, "documents"))
+
+
 def p8_round_trip(spark: SparkSession, sf: str) -> DataFrame:
     return encode.round_trip(table(spark, sf, "documents"))
 
@@ -104,4 +109,4 @@ def p10_rates(spark: SparkSession, sf: str) -> DataFrame:
     return abuse.rates(abuse.score(table(spark, sf, "documents"), table(spark, sf, "rotulos")))
 
 
-QUERIES = {f.__name__: f for f in (p1_found, p1_kinds, p2_found, p2_restored, p3_found, p3_exact, p4_found, p4_groups, p4_copies, p6_found, p6_stretches, p7_found, p7_body, p8_ids, p8_round_trip, p9_mix, p9_shares, p10_found, p10_scores, p10_rates)}
+QUERIES = {f.__name__: f for f in (p1_found, p1_kinds, p2_found, p2_restored, p3_found, p3_exact, p4_found, p4_groups, p4_copies, p6_found, p6_stretches, p7_found, p7_body, p8_ids, p8_offsets, p8_round_trip, p9_mix, p9_shares, p10_found, p10_scores, p10_rates)}
