@@ -31,6 +31,8 @@ NUMBERED = re.compile(
     r"\b(?:http|erro|error|erreur|errore|fehler|fout|hata|błąd|ошибка)(?: (?:http|code|código|codice))?:? #?[1-5]\d\d\b"
     r"|\b(?:código da ocorrência|incident id|código del incidente|code d'incident|ray id|request id|reference id|support id) ?:? ?#?[0-9a-f][0-9a-f.-]{3,}"
 )
+#: What such a number follows.
+LEADS = ["http", "erro", "erreur", "fehler", "fout", "hata", "błąd", "ошибка", "código da ocorrência", "código del incidente", "code d'incident", "incident id", "ray id", "request id", "reference id", "support id"]
 #: A status code that stands beside such a phrase.
 STATUS = re.compile(r"(?<![\w.,])[45]\d\d(?![\w]|[.,]\d)")
 _ID = r"[A-Za-z_$][\w.]*"
@@ -42,22 +44,39 @@ ADDRESS = re.compile(r"\s*(?:[a-z]+://)?[\w.-]+\.[a-z]{2,}(?::\d+)?(?:/\S*)?\s*"
 SITE = re.compile(r"\s[-|—–]\s[^\s|—–][^|—–\n]{0,40}$")
 #: A line of at least three short entries between bars is a menu; it is no content beside which phrases could be few.
 MENU = re.compile(r"^(?:[^|\n]{1,30}\|){2,}[^|\n]{1,30}$", re.M)
-_PLAIN = str.maketrans("\u2019\u00a0", "' ")
 
-_automaton = None
+_automata = None
 
 
-def automaton():
-    """Phrase -> (kind, length); built once per worker."""
-    global _automaton
-    if _automaton is None:
+def automata():
+    """Two automata of phrase -> (kind, length), built once per worker: those that can decide, and the related ones, which
+    are looked for only where the first met something."""
+    global _automata
+    if _automata is None:
         import ahocorasick
 
-        _automaton = ahocorasick.Automaton()
-        for p, kind in (phrases() | dict.fromkeys(OPENERS, "opener")).items():
-            _automaton.add_word(p, (kind, len(p)))
-        _automaton.make_automaton()
-    return _automaton
+        _automata = ahocorasick.Automaton(), ahocorasick.Automaton()
+        known = phrases()
+        for p, kind in known.items():
+            _automata[kind == "related"].add_word(p, (kind, len(p)))
+        for kind, each in (("opener", OPENERS), ("lead", LEADS)):  # a lead may be a related word as well
+            for p in each:
+                _automata[0].add_word(p, (kind, len(p)))
+        for a in _automata:
+            a.make_automaton()
+    return _automata
+
+
+def _spans(found, low: str, end: int) -> tuple[list[tuple[int, int, str]], set[str]]:
+    """(matches as (start, stop, kind) that are whole words and stop before `end`, kinds of openers and leads met)."""
+    spans, signs = [], set()
+    for last, (kind, n) in found.iter(low):
+        start, stop = last + 1 - n, last + 1
+        if kind in ("opener", "lead"):
+            signs.add(kind)
+        elif stop <= end and not (start and low[start].isalnum() and low[start - 1].isalnum()) and not (stop < len(low) and low[last].isalnum() and low[stop].isalnum()):
+            spans.append((start, stop, kind))
+    return spans, signs
 
 
 def assess(text: str | None, short: bool) -> tuple[float, str | None]:
@@ -68,26 +87,18 @@ def assess(text: str | None, short: bool) -> tuple[float, str | None]:
     if len(low) != len(text):  # a letter that grows in lower case would shift the spans
         low = "".join(c if len(c.lower()) != 1 else c.lower() for c in text)
     if not low.isascii():
-        low = low.translate(_PLAIN)
+        low = low.replace("\u2019", "'").replace("\u00a0", " ")
     end = len(low)
     if short and (m := SITE.search(low)) and m.start():
         end = m.start()
-    spans: list[tuple[int, int, str]] = []
-    opener = telling = False
-    for stop, (kind, n) in automaton().iter(low):
-        if kind == "opener":
-            opener = True
-            continue
-        start, stop = stop + 1 - n, stop + 1
-        if stop <= end and not (start and low[start].isalnum() and low[start - 1].isalnum()) and not (stop < len(low) and low[stop - 1].isalnum() and low[stop].isalnum()):
-            spans.append((start, stop, kind))
-            telling |= kind != "related"
-    if opener and PLACEHOLDER.search(text):
+    spans, signs = _spans(automata()[0], low, end)
+    if "opener" in signs and PLACEHOLDER.search(text):
         return 1.0, "placeholder"
-    numbered = [(m.start(), m.end(), "error") for m in NUMBERED.finditer(low, 0, end)]
-    if not telling and not numbered:
+    if "lead" in signs:
+        spans += [(m.start(), m.end(), "error") for m in NUMBERED.finditer(low, 0, end)]
+    if not spans:
         return 0.0, None
-    spans += numbered
+    spans += _spans(automata()[1], low, end)[0]
     spans += [(m.start(), m.end(), "related") for m in STATUS.finditer(low, 0, end)]
     # telling phrases are counted first, so that related ones only add what they alone cover
     marks, weight = bytearray(end), {}
