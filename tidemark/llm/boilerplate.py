@@ -22,6 +22,7 @@ from __future__ import annotations
 import html
 import re
 from collections.abc import Iterator
+from itertools import chain
 from math import exp
 from zlib import crc32
 
@@ -58,6 +59,9 @@ _HIDDEN = {"script", "style", "title", "head", "noscript", "template"}
 _KEY = re.compile(r"[^\x21-\x7e]+")
 _WORD = re.compile(r"[^\W\d_]+|\d+|[|•·>©#]")
 _MASK = (1 << BITS) - 1
+#: Hashes a worker remembers before it forgets them all.
+MEMO = 400_000
+_hashes: dict[str, int] = {}
 
 
 def elements(page: bytes | None) -> dict[str, list[str]]:
@@ -152,37 +156,54 @@ def features(lines: list[str], title: str | None) -> list[Row]:
 
     Beyond FULL words these weigh less, so that a long line's words have the same length as a vector.
     """
+    if len(_hashes) > MEMO:
+        _hashes.clear()
+    known = _hashes.get
     shape = [f"{_size(len(x))}{_ending(x)}" for x in lines]
     key = _KEY.sub("", title).lower() if title else ""
     n, out = len(lines), []
+    lows = [x.lower() for x in lines]
+    # what stands before an early colon says what a short line is
+    colons = [x.find(":", 0, 26) for x in lows]
+    said = [_WORD.findall(x[:c] if c > 0 and len(x) < 160 else x) for x, c in zip(lows, colons)]
+    every = list(chain.from_iterable(said))
+    w = list(map(known, every))
+    if None in w:
+        w = [_hash(x) if h is None else h for x, h in zip(every, w)]
+    codes = np.array(w, np.int64)
+    singles, doubles = (codes & _MASK).tolist(), ((codes[:-1] * 31 + codes[1:] * 17) >> 7 & _MASK).tolist()
+    end = 0
     for i, line in enumerate(lines):
         before, after = (shape[i - 1] if i else "^"), (shape[i + 1] if i + 1 < n else "$")
-        low = line.lower()
-        colon = low.find(":", 0, 26)  # what stands before an early colon says what the line is
-        words = _WORD.findall(low[:colon] if colon > 0 else low)
-        words = ["#" if w.isdigit() else w for w in words]
-        same = bool(key) and len(key) > 8 and key.startswith(_KEY.sub("", low)[:60]) and len(line) > 12
-        bars = min(sum(low.count(c) for c in "|•·>"), 4)
+        low, colon, words = lows[i], colons[i], said[i]
+        start, end = end, end + len(words)
+        short = len(low) < 160
+        same = len(key) > 8 and len(line) > 12 and key.startswith(_KEY.sub("", low[:240])[:60])
+        bars = min(sum(map(low.count, "|•·>")), 4)
         s = shape[i]
         f = [f"s{s}", f"b{bars}{s}", f"t{same}", f"p{min(i, 5)}", f"e{min(n - 1 - i, 7)}", f"ps{min(i, 3)}{s}{same}", f"x{before}{s}", f"y{s}{after}", f"z{before}{s}{after}", f"n{min(len(words), 20)}{s[-1]}"]
-        if len(line) < 160:
-            f.append("l" + " ".join(words[:3]))
-            f.append("L" + " ".join(words))
+        if short:
+            plain = ["#" if w.isdigit() else w for w in words]
+            f.append("l" + " ".join(plain[:3]))
+            f.append("L" + " ".join(plain))
             if colon > 0:
                 f.append("c" + low[:colon].strip())
-        elif colon > 0:
-            words = ["#" if w.isdigit() else w for w in _WORD.findall(low)]
-        first = len(f)
-        f += [f"w{w}" for w in words]
-        f += [f"v{a} {b}" for a, b in zip(words, words[1:])]
-        out.append(([crc32(x.encode()) & _MASK for x in f], len(f) - first, min(1.0, (FULL / max(1, len(words))) ** 0.5)))
+        at = [(known(x) or _hash(x)) & _MASK for x in f]
+        at += singles[start:end] + doubles[start : max(start, end - 1)]
+        out.append((at, len(at) - len(f), min(1.0, (FULL / max(1, len(words))) ** 0.5)))
     return out
 
 
+def _hash(x: str) -> int:
+    """A hash of a feature or a word, all numbers alike; remembered, as they repeat."""
+    h = _hashes[x] = crc32(b"#" if x.isdigit() else x.encode())
+    return h
+
+
 def _flat(rows: list[Row]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """(sizes, buckets, weights) of rows of features, end to end."""
     sizes = np.fromiter((len(r[0]) for r in rows), int, len(rows))
-    flat = np.fromiter((x for r in rows for x in r[0]), int, int(sizes.sum()))
+    flat = np.fromiter(chain.from_iterable(r[0] for r in rows), int, int(sizes.sum()))
     tail = np.stack((sizes - [r[1] for r in rows], [r[1] for r in rows]), 1).reshape(-1)
     return sizes, flat, np.repeat(np.stack((np.ones(len(rows)), [r[2] for r in rows]), 1).reshape(-1), tail)
 
@@ -211,7 +232,7 @@ class Classifier:
                 z = np.bincount(own, w[at] * v, len(part))
                 slope = 1 / (1 + np.exp(-np.clip(z, -30, 30))) - labels[part]
                 grad = np.bincount(at, slope[own] * v, 1 << BITS) / len(part)
-                hit = np.unique(at)
+                hit = np.flatnonzero(grad)
                 g[hit] += grad[hit] ** 2
                 w[hit] -= rate * (grad[hit] / np.sqrt(g[hit]) + 1e-4 * w[hit])
         return Classifier(w.astype(np.float32))
