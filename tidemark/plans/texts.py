@@ -105,16 +105,6 @@ def page_texts(spark: SparkSession, sf: str) -> DataFrame:
     return p.select("ord", head.alias("manchete"), X.description(F.col("p")).alias("linha_fina"), X.with_parts(F.col("p.text"), head, X.description(F.col("p"))).alias("texto"))
 
 
-def page_headlines(spark: SparkSession, sf: str) -> DataFrame:
-    """First-level headings in pages that are plain UTF-8 without character references, as its SQL can read no others.
-
-    `page_headings` has those of all pages.
-    """
-    d = documents(spark, sf, "ord", "bruto").filter("is_valid_utf8(cast(bruto as string)) and not contains(cast(bruto as string), '&')")
-    p = d.select("ord", X.page(F.col("bruto").cast("string")).alias("p"))
-    return p.select("ord", F.col("p.h1").alias("h1")).filter("h1 is not null")
-
-
 def page_headings(spark: SparkSession, sf: str) -> DataFrame:
     """First-level headings of all stored pages, whatever their encoding and character references."""
     d = documents(spark, sf, "ord", "bruto", "cabecalhos").filter("bruto is not null")
@@ -130,7 +120,7 @@ def documents_json(spark: SparkSession, sf: str) -> DataFrame:
     return d.select("ord", "fonte", "id_na_fonte", "url", "titulo", "publicado_em", F.date_format("capturado_em", "yyyy-MM-dd HH:mm:ss").alias("capturado_em"), "hash_texto", "texto", heads.alias("cabecalhos"), F.coalesce(marks, F.lit("")).alias("destaques"))
 
 
-QUERIES = {f.__name__: f for f in (triage_counts, triage_levels, triage_snippets, facet_counts, folded_text, dedupe_by_hash, tidied_text, term_presence, term_counts, span_positions, integrity_check, decoded_pages, page_texts, page_headlines, page_headings, documents_json)}
+QUERIES = {f.__name__: f for f in (triage_counts, triage_levels, triage_snippets, facet_counts, folded_text, dedupe_by_hash, tidied_text, term_presence, term_counts, span_positions, integrity_check, decoded_pages, page_texts, page_headings, documents_json)}
 
 
 def _forms(forms: tuple[str, ...]) -> str:
@@ -194,6 +184,22 @@ o AS (SELECT ord, string_agg(({_KEYS})[t + 1], ';' ORDER BY s, t) AS chaves FROM
 SELECT ord, CASE WHEN len(valid) = 0 THEN 0 WHEN NOT ctx THEN 1 WHEN ha IS NOT NULL THEN 3 ELSE 2 END AS nivel, coalesce(chaves, '') AS chaves,
   CASE WHEN ha IS NOT NULL THEN {_snippet('t', 'ha')} ELSE {_snippet('texto', 'pos')} END AS trecho, CASE WHEN ha IS NOT NULL THEN nome ELSE 'texto' END AS onde
 FROM g LEFT JOIN o USING (ord) WHERE pos IS NOT NULL"""
+_HIGH = bytes(range(0x80, 0xA0)).decode("cp1252", "replace")
+
+
+def _latin(digits: str) -> str:
+    """Bytes given as hexadecimal digits, read as cp1252."""
+    return f"array_to_string(list_transform(range(1, len({digits}) // 2 + 1), lambda i: CASE WHEN ({digits})[2 * i - 1] IN ('8', '9') THEN '{_HIGH}'[('0x' || ({digits})[2 * i - 1:2 * i])::INT - 127] ELSE chr(('0x' || ({digits})[2 * i - 1:2 * i])::INT) END), '')"
+
+
+_DECLARED = "lower(regexp_extract({}, '(?i){}charset\\s*=\\s*[\"'']?\\s*([\\w\\-]+)', 1))"
+_DECODED = f"""
+WITH p AS (SELECT ord, bruto, {_DECLARED.format("coalesce(map_extract(cabecalhos, 'content-type')[1], '')", '')} AS h, try(decode(bruto)) AS u FROM documento WHERE bruto IS NOT NULL),
+m AS (SELECT *, CASE WHEN h = '' THEN {_DECLARED.format(f"coalesce(substring(u, 1, 4096), {_latin('hex(bruto)[1:8192]')})", '<meta[^>]+')} ELSE '' END AS m FROM p),
+q AS (SELECT ord, bruto, u, CASE WHEN hex(bruto)[1:6] = 'EFBBBF' THEN 'utf-8-sig' WHEN hex(bruto)[1:4] IN ('FFFE', 'FEFF') THEN 'utf-16' ELSE coalesce(list_filter(
+  list_transform([h, m, 'utf-8', 'cp1252'], lambda x: CASE WHEN x IN ('iso-8859-1', 'latin-1', 'latin1', 'us-ascii') THEN 'cp1252' ELSE x END),
+  lambda x: (x = 'utf-8' AND u IS NOT NULL) OR (x = 'cp1252' AND NOT regexp_matches(hex(bruto), '^(?:..)*(?:81|8D|8F|90|9D)')))[1], 'cp1252') END AS codificacao FROM m)
+"""
 _STRIP = "[ \\t\\f\\x{0b}\\x{1c}-\\x{1f}\\x{85}\\p{Z}]"
 _TIDY = f"""SELECT doc_id, regexp_replace(regexp_replace(regexp_replace(regexp_replace(regexp_replace(regexp_replace(
   replace(replace(nfc_normalize(text), chr(160), ' '), chr(13), ''), '[ \\t\\f\\x{{0b}}]+', ' ', 'g'), '{_STRIP}*\\n', chr(10), 'g'), '\\n{_STRIP}+', chr(10), 'g'),
@@ -218,5 +224,9 @@ SQL = {
     + f", regexp_matches({_FOLD.format('texto')}, '{_forms(SAMPLE.context)}') AS contexto FROM documento",
     "term_counts": " UNION ALL ".join(f"SELECT '{t.key}' AS chave, sum(n)::BIGINT AS ocorrencias, count(*) FILTER (n > 0) AS documentos FROM (SELECT {_n(_FOLD.format('texto'), t.forms)} AS n FROM documento)" for t in _T),
     "integrity_check": f"SELECT ord, {_INTACT.format(_MARKS(integrity.ERROR_MARKS))} AS integro, {_INTACT.format(_MARKS(integrity.ERROR_MARKS + integrity.ARCHIVE_MARKS))} AS integro_arquivo, coalesce(titulo <> '', false) AS tem_titulo FROM documento",
-    "page_headlines": "SELECT ord, nullif(trim(regexp_extract(s, '<h1>([^<]*)</h1>', 1)), '') AS h1 FROM (SELECT ord, try(decode(bruto)) AS s FROM documento WHERE bruto IS NOT NULL) WHERE s IS NOT NULL AND NOT contains(s, '&') AND contains(s, '<h1>')",
+    "decoded_pages": _DECODED + "SELECT ord, codificacao, CASE codificacao WHEN 'utf-8' THEN length(u) WHEN 'utf-8-sig' THEN length(u) - 1 WHEN 'utf-16' THEN octet_length(bruto) // 2 - 1 ELSE octet_length(bruto) END::BIGINT AS caracteres FROM q",
+    # a heading without markup of its own, from the bytes between its tags
+    "page_headings": _DECODED
+    + f"""SELECT ord, trim(regexp_replace(CASE WHEN codificacao LIKE 'utf-8%' THEN decode(unhex(h)) ELSE {_latin('h')} END, '[ \\t]+', ' ', 'g')) AS h1
+FROM (SELECT *, regexp_extract(hex(bruto), '^(?:..)*?3C68313E((?:..)*?)3C2F68313E', 1) AS h FROM q) WHERE h <> ''""",
 }
