@@ -56,8 +56,8 @@ class HistoryIndex:
         return self.spark.read.schema(schema).option("recursiveFileLookup", "true").parquet(f"{self.root}/{name}")
 
     def indexed(self) -> DataFrame:
-        """(id, batch) of everything indexed, texts too short for keys included."""
-        return self._side("done", "id string, batch string")
+        """(id) of everything indexed, texts too short for keys included."""
+        return self._side("done", "id string")
 
     def _hot(self) -> DataFrame:
         """(key, parts) of hot keys, at most rows / HOT of them."""
@@ -81,7 +81,7 @@ class HistoryIndex:
         rows = rows.select("slot", "id", "aceito", *FP, F.lit(batch).alias("batch"), "part")
         # the exchange is the table's own, so each task writes the files of its own bucket
         rows.repartition(self.buckets, "slot").write.insertInto(self.table)
-        signed.select("id", F.lit(batch).alias("batch")).write.mode("overwrite").parquet(f"{self.root}/done/batch={batch}")
+        signed.select("id").write.mode("overwrite").parquet(f"{self.root}/done/batch={batch}")
 
     def keep_texts(self, texts: DataFrame, batch: str) -> None:
         """Keep (id, t) of a batch, to verify later ones against."""
@@ -116,9 +116,11 @@ class HistoryIndex:
         self.spark.sql(f"DROP TABLE IF EXISTS {self.table}")
 
 
-def _first_row(rows: DataFrame, value: str, order: str) -> DataFrame:
-    """(value, first): smallest order of each value; copies fold before the shuffle."""
-    return rows.filter(F.col(value).isNotNull()).groupBy(value).agg(F.min(order).alias("first"))
+def _repeated(rows: DataFrame, value: str, order: str) -> DataFrame:
+    """Rows that aren't the first of their value. First rows are taken out by their own number, so that a value which many
+    rows share is never a join key; it folds before the shuffle."""
+    some = rows.filter(F.col(value).isNotNull())
+    return some.join(some.groupBy(value).agg(F.min(order).alias(order)).select(order), order, "left_anti")
 
 
 def exact(batch: DataFrame, catalog: DataFrame, saves: DataFrame) -> DataFrame:
@@ -131,8 +133,8 @@ def exact(batch: DataFrame, catalog: DataFrame, saves: DataFrame) -> DataFrame:
         rows.join(catalog.select(F.col("id").alias("page")).filter("page <> ''"), "page", "left_semi"),
         rows.join(hashes.withColumnRenamed("v", "hash_texto"), "hash_texto", "left_semi"),
         rows.join(seen.select(F.col("k").alias("id_na_fonte")).distinct(), "id_na_fonte", "left_semi"),
-        rows.join(_first_row(rows, "page", "cand_no"), "page").filter("cand_no > first"),
-        rows.join(_first_row(rows, "hash_texto", "cand_no"), "hash_texto").filter("cand_no > first"),
+        _repeated(rows, "page", "cand_no"),
+        _repeated(rows, "hash_texto", "cand_no"),
     ]
     out = by[0].select("cand_no")
     for x in by[1:]:
@@ -151,7 +153,7 @@ def index_history(index: HistoryIndex, accepted: DataFrame) -> int:
     """
     rows = accepted.filter("texto is not null and ord is not null").select("ord", "texto", F.sha2("texto", 256).alias("digest"))
     first = rows.groupBy("digest").agg(F.min("ord").alias("ord")).select("ord", _name("d", "ord").alias("id"))
-    new = durable(first.join(index.indexed().select("id"), "id", "left_anti"), "unsigned")
+    new = durable(first.join(index.indexed(), "id", "left_anti"), "unsigned")
     n = new.count()
     if n:
         bounds = new.agg(F.min("ord"), F.max("ord")).first()
