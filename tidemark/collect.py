@@ -174,10 +174,11 @@ def run(spark: SparkSession, cfg: C.Config, lexicon: Lexicon, wanted: list[dict]
     for r in runs.counts(items).collect():  # one row per status and reason
         counts[r.grupo][r.valor] = r.n
     reads = bool(items.filter("nivel >= 2").take(1))
-    note = lambda s: effective_start(s, since[s["id"]], today)
+    starts = spark.createDataFrame([(s["id"], since[s["id"]], effective_start(s, since[s["id"]], today)) for s in wanted], "fonte string, pedido date, efetivo date")
+    windows = starts.select("fonte", state.window_note(F.col("pedido"), F.col("efetivo")).alias("janela"))
     record = {
         "id": name, "modo": "rodar", "lexico": {"id": lexicon.id, "versao": lexicon.version}, "inicio": began.isoformat(timespec="seconds"), "fim": datetime.now(UTC).isoformat(timespec="seconds"),
-        "desde": {s["id"]: str(since[s["id"]]) + (f" (efetivo {note(s)})" if note(s) != since[s["id"]] else "") for s in wanted},
+        "desde": {r.fonte: r.janela for r in windows.collect()},
         "falhas": listing.failed, "incompletas": listing.unfinished, "itens": sum(counts["situacao"].values()), "contagens": counts, "pede_leitura": reads, "codigo": 2 if listing.failed else 3 if reads else 0,
     }
     write_text(spark, f"{out}/rodada.json", json.dumps(record, ensure_ascii=False, indent=1))

@@ -58,8 +58,9 @@ def independent(rows: DataFrame, order: str = "ord", id_: str = "id", digest: st
     left = rows.select(F.col(order).alias("o"), own(id_).alias("i"), own(digest).alias("h"))
     at, n = durable_path(left, "undecided"), 0
     while not (left := spark.read.parquet(at)).isEmpty():
-        tagged = left.join(left.groupBy("i").agg(F.min("o").alias("fi")), "i").join(left.groupBy("h").agg(F.min("o").alias("fh")), "h")
-        tagged.filter("o = fi and o = fh").select("o", "i", "h").write.parquet(f"{kept}/round={n}")
+        # rows that come first in both groups, found by their own number: no value that many rows share is a join key here
+        first = left.groupBy("i").agg(F.min("o").alias("o")).select("o").join(left.groupBy("h").agg(F.min("o").alias("o"), F.min_by("i", "o").alias("i")), "o")
+        first.select("o", "i", "h").write.parquet(f"{kept}/round={n}")
         now = spark.read.parquet(f"{kept}/round={n}")
         rest = left.join(now.select("o"), "o", "left_anti").join(now.select("i"), "i", "left_anti").join(now.select("h"), "h", "left_anti")
         done, at, n = at, durable_path(rest.select("o", "i", "h"), "undecided"), n + 1
