@@ -25,7 +25,7 @@ from pyspark.sql import functions as F
 
 from tidemark.functions import url as U
 from tidemark.llm import minwise
-from tidemark.llm.neardup import FP, HOT, shard_pairs
+from tidemark.llm.neardup import FP, HOT, hot_keys, shard_pairs
 from tidemark.session import drop_path, durable, make_path, path_exists, scratch
 
 #: Buckets of the key table, and partitions by key within a batch; a large history needs thousands of buckets.
@@ -70,18 +70,21 @@ class HistoryIndex:
         slot = F.when(F.col("salt") == 0, F.col("key")).otherwise(F.xxhash64("key", "salt"))
         return rows.withColumn("slot", slot).withColumn("part", F.pmod(F.shiftrightunsigned("slot", 17), F.lit(self.parts)).cast("int")).drop("key", "parts", "salt")
 
-    def append(self, signed: DataFrame, batch: str) -> None:
-        """Add (id string, aceito, f0..f3, keys) as a batch; what an earlier attempt of the same batch left is replaced."""
+    def append(self, signed: DataFrame, batch: str, hot: DataFrame | None = None, named: bool = True) -> None:
+        """Add (id string, aceito, f0..f3, keys) as a batch; what an earlier attempt of the same batch left is replaced.
+
+        hot: the batch's hot keys, where they are known. named: whether `indexed` has to know the batch's ids.
+        """
         self.forget(batch)
         bands = signed.filter("f0 is not null").select(F.explode("keys").alias("key"), "id", "aceito", *FP)
-        sizes = bands.groupBy("key").agg(F.count("*").alias("n")).filter(F.col("n") > HOT)
-        sizes.select("key", F.ceil(F.col("n") / HOT).cast("int").alias("parts")).write.mode("overwrite").parquet(f"{self.root}/hot/batch={batch}")
-        hot = self._side(f"hot/batch={batch}", "key long, parts int")
+        hot = (hot_keys(bands, HOT) if hot is None else hot).select("key", F.ceil(F.col("n") / HOT).cast("int").alias("parts"))
+        hot.write.mode("overwrite").parquet(f"{self.root}/hot/batch={batch}")
         rows = self._slots(bands, hot, lambda n: F.pmod(F.xxhash64("id"), n).cast("int"))
         rows = rows.select("slot", "id", "aceito", *FP, F.lit(batch).alias("batch"), "part")
         # the exchange is the table's own, so each task writes the files of its own bucket
         rows.repartition(self.buckets, "slot").write.insertInto(self.table)
-        signed.select("id").write.mode("overwrite").parquet(f"{self.root}/done/batch={batch}")
+        if named:
+            signed.select("id").write.mode("overwrite").parquet(f"{self.root}/done/batch={batch}")
 
     def keep_texts(self, texts: DataFrame, batch: str) -> None:
         """Keep (id, t) of a batch, to verify later ones against."""
@@ -177,7 +180,9 @@ def near(index: HistoryIndex, lot: DataFrame, stored: DataFrame, known_rows: Dat
     texts = stored.unionByName(index.texts())
     number = F.expr("cast(substring(other, 2) as bigint)")
     to_old = index.probe(unique).filter(~F.startswith("other", F.lit("c")) | (number < F.expr("cast(substring(id, 2) as bigint)")))
-    among = shard_pairs(unique.filter("f0 is not null").select(F.explode("keys").alias("key"), F.col("no").alias("id"), *FP))
+    bands = unique.filter("f0 is not null").select(F.explode("keys").alias("key"), F.col("no").alias("id"), *FP)
+    hot = hot_keys(bands)
+    among = shard_pairs(bands, hot)
     pairs = durable(to_old.select(F.col("id").alias("x"), F.col("other").alias("y")).unionByName(among.select(_name("c", "b").alias("x"), _name("c", "a").alias("y"))), "candidates")
     got = minwise.verified(pairs, texts, texts, "x", "y").select(F.expr("cast(substring(x, 2) as bigint)").alias("rep"), F.col("y").alias("other"))
     # all rows of x follow what is in the index; of two texts of this batch, those rows that follow the other's first one
@@ -188,7 +193,7 @@ def near(index: HistoryIndex, lot: DataFrame, stored: DataFrame, known_rows: Dat
     like = members.join(bound, "rep").filter("no > after").select("no")
     out = durable(copies.unionByName(like).distinct().select(F.col("no").alias("cand_no")), "near")
     refused = out.unionByName(known_rows.select("cand_no")).distinct().select(F.col("cand_no").alias("no"), F.lit(False).alias("aceito"))
-    index.append(unique.join(refused, "no", "left").select("id", F.coalesce("aceito", F.lit(True)).alias("aceito"), *FP, "keys"), batch)
+    index.append(unique.join(refused, "no", "left").select("id", F.coalesce("aceito", F.lit(True)).alias("aceito"), *FP, "keys"), batch, hot, named=False)
     return out
 
 

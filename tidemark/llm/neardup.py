@@ -83,10 +83,16 @@ def _flat(a):
     return a.combine_chunks() if isinstance(a, pa.ChunkedArray) else a
 
 
-def shard_pairs(bands: DataFrame) -> DataFrame:
-    """Distinct pairs (a, b), a < b, that share a shard and lie within the radius. bands has (key, id, f0..f3)."""
-    # at most rows / HOT keys are hot; written first, so that Spark knows their size and chooses the join by it
-    sizes = durable(bands.groupBy("key").agg(F.count("*").alias("n")).filter(F.col("n") > HOT), "hot-keys")
+def hot_keys(bands: DataFrame, most: int | None = None) -> DataFrame:
+    """(key, n) of keys that more than `most` rows share, at most rows / most of them; written, so that Spark knows their
+    size and chooses the join by it."""
+    return durable(bands.groupBy("key").agg(F.count("*").alias("n")).filter(F.col("n") > (most or HOT)), "hot-keys")
+
+
+def shard_pairs(bands: DataFrame, sizes: DataFrame | None = None) -> DataFrame:
+    """Distinct pairs (a, b), a < b, that share a shard and lie within the radius. bands has (key, id, f0..f3); sizes:
+    their hot keys, where they are known."""
+    sizes = hot_keys(bands) if sizes is None else sizes
     parts = bands.join(sizes, "key", "left").withColumn("p", F.coalesce(F.ceil(F.col("n") / HOT), F.lit(1)).cast("int"))
     cold = parts.filter("p = 1").select("key", F.lit(2).cast("byte").alias("side"), "id", *FP)
     hot = parts.filter("p > 1").withColumn("own", F.pmod(F.xxhash64("id"), F.col("p")).cast("int")).withColumn("other", F.explode(F.sequence(F.lit(0), F.col("p") - 1)))
