@@ -19,7 +19,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tidemark.session import spread
+from tidemark.session import durable, spread
 
 SHINGLE, JACCARD, MIN_WORDS = 3, 0.7, 50
 ROWS, BANDS = 5, 40
@@ -154,7 +154,7 @@ def verified(pairs: DataFrame, left: DataFrame, right: DataFrame, a: str, b: str
     """
     second = 0 if left is right else 1
     ends = pairs.select(F.explode(F.array(F.struct(F.lit(0).alias("s"), F.col(a).alias("i")), F.struct(F.lit(second).alias("s"), F.col(b).alias("i")))).alias("e"))
-    degree = ends.groupBy("e.s", "e.i").agg(F.count("*").alias("n"))
+    degree = durable(ends.groupBy("e.s", "e.i").agg(F.count("*").alias("n")), "degrees")  # read four times below
     texts = left.select(F.lit(0).alias("s"), F.col("id").alias("i"), "t")
     if second:
         texts = texts.unionByName(right.select(F.lit(1).alias("s"), F.col("id").alias("i"), "t"))
