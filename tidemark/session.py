@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import atexit
 import contextlib
+import gc
 import tempfile
 import uuid
 
@@ -11,6 +12,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 _ROOTS: set[str] = set()
+_STEPS: list[list[str]] = []
 #: Rows of one Arrow batch; long texts make larger batches a memory risk for Python workers.
 BATCH_ROWS = 1024
 
@@ -45,16 +47,32 @@ def _forget(spark: SparkSession, root: str) -> None:
         drop_path(spark, root)
 
 
-def durable_path(df: DataFrame, name: str) -> str:
-    """Write df to a fresh path of the shared folder."""
+def durable_path(df: DataFrame, name: str, lasting: bool = False) -> str:
+    """Write df to a fresh path of the shared folder. lasting: it outlives the step it is made in."""
     path = scratch(df.sparkSession, name)
+    if _STEPS and not lasting:
+        _STEPS[-1].append(path)
     df.write.parquet(path)
     return path
 
 
-def durable(df: DataFrame, name: str) -> DataFrame:
+def durable(df: DataFrame, name: str, lasting: bool = False) -> DataFrame:
     """Write df to the shared folder and read it back: lineage is cut and a lost executor loses nothing."""
-    return df.sparkSession.read.schema(df.schema).parquet(durable_path(df, name))
+    return df.sparkSession.read.schema(df.schema).parquet(durable_path(df, name, lasting))
+
+
+@contextlib.contextmanager
+def step(spark: SparkSession):
+    """One turn of a driver's loop: at its end the tables made durable in it go, but for lasting ones, and so do the
+    shuffle files and plans that nothing refers to any more; they would pile up until the loop ends."""
+    _STEPS.append([])
+    try:
+        yield
+    finally:
+        for path in _STEPS.pop():
+            drop_path(spark, path)
+        gc.collect()  # Python's handles on the JVM's objects first
+        spark.sparkContext._jvm.System.gc()
 
 
 def _fs(spark: SparkSession, path: str):
