@@ -26,7 +26,7 @@ from pyspark.sql import functions as F
 from tidemark.functions import url as U
 from tidemark.llm import minwise
 from tidemark.llm.neardup import FP, HOT, hot_keys, shard_pairs
-from tidemark.session import drop_path, durable, make_path, path_exists, scratch
+from tidemark.session import drop_path, durable, make_path, path_exists, scratch, step
 
 #: Buckets of the key table, and partitions by key within a batch; a large history needs thousands of buckets.
 BUCKETS, PARTS = 8, 2
@@ -191,7 +191,7 @@ def near(index: HistoryIndex, lot: DataFrame, stored: DataFrame, known_rows: Dat
     bound = got.select("rep", "after").unionByName(turned).groupBy("rep").agg(F.min("after").alias("after"))
     copies = members.filter("long and no > rep").select("no")
     like = members.join(bound, "rep").filter("no > after").select("no")
-    out = durable(copies.unionByName(like).distinct().select(F.col("no").alias("cand_no")), "near")
+    out = durable(copies.unionByName(like).distinct().select(F.col("no").alias("cand_no")), "near", lasting=True)
     refused = out.unionByName(known_rows.select("cand_no")).distinct().select(F.col("cand_no").alias("no"), F.lit(False).alias("aceito"))
     index.append(unique.join(refused, "no", "left").select("id", F.coalesce("aceito", F.lit(True)).alias("aceito"), *FP, "keys"), batch, hot, named=False)
     return out
@@ -214,6 +214,8 @@ def known(batch: DataFrame, catalog: DataFrame, documents: DataFrame, saves: Dat
     numbers = rows.select("lote").distinct().orderBy(F.col("lote").asc_nulls_last()).collect()  # one row per batch
     for r in numbers:
         lot = rows.filter(F.col("lote").eqNullSafe(F.lit(r.lote)))
-        out = out.unionByName(near(index, lot, stored, by_rule.join(lot.select("cand_no"), "cand_no", "left_semi"), f"lote-{r.lote}"))
+        with step(spark):
+            got = near(index, lot, stored, by_rule.join(lot.select("cand_no"), "cand_no", "left_semi"), f"lote-{r.lote}")
+        out = out.unionByName(got)
     index.close()
     return out.distinct()

@@ -25,7 +25,7 @@ from pyspark.sql import types as T
 
 from tidemark.llm import minwise
 from tidemark.llm.vptree import near_pairs
-from tidemark.session import durable
+from tidemark.session import drop_path, durable, durable_path
 
 #: Members of a shard that one task takes; larger shards are split into parts of this size.
 HOT = 8192
@@ -173,12 +173,16 @@ def components(both: DataFrame) -> DataFrame:
     Every round takes the smallest label among neighbours and then jumps to the label's own label, so paths halve;
     rounds are written to the shared folder and stop when no label changes.
     """
-    label = durable(both.groupBy("a").agg(F.min("b").alias("m")).select(F.col("a").alias("id"), F.least("a", "m").alias("label")), "labels")
+    spark = both.sparkSession
+    start = both.groupBy("a").agg(F.min("b").alias("m")).select(F.col("a").alias("id"), F.least("a", "m").alias("label"))
+    at = durable_path(start, "labels")
     while True:
+        label = spark.read.parquet(at).select("id", "label")
         seen = both.join(label.select(F.col("id").alias("b"), F.col("label").alias("l")), "b").groupBy("a").agg(F.min("l").alias("l"))
-        step = label.join(seen.withColumnRenamed("a", "id"), "id", "left").select("id", F.col("label").alias("old"), F.least("label", "l").alias("label"))
+        near = label.join(seen.withColumnRenamed("a", "id"), "id", "left").select("id", F.col("label").alias("old"), F.least("label", "l").alias("label"))
         jump = label.select(F.col("id").alias("label"), F.col("label").alias("far"))
-        new = durable(step.join(jump, "label", "left").select("id", "old", F.least("label", "far").alias("label")), "labels")
+        before, at = at, durable_path(near.join(jump, "label", "left").select("id", "old", F.least("label", "far").alias("label")), "labels")
+        drop_path(spark, before)
+        new = spark.read.parquet(at)
         if new.filter("label <> old").isEmpty():
             return new.select("id", "label")
-        label = new.select("id", "label")
