@@ -209,6 +209,13 @@ def test_history_is_signed_once(spark, tmp_path, monkeypatch):
     plan = probe._jdf.queryExecution().toString()
     assert "Bucketed: true" in plan and {r.other for r in probe.collect()} >= {"d0", "c1"}
     index.close()
+    # only the partitions of the batch's own keys are read
+    parted = history.HistoryIndex(spark, f"file://{tmp_path}/parted", parts=64)
+    one = real(spark.createDataFrame([("q", docs[0][2])], "id string, t string"), ["id"], "t").withColumn("aceito", F.lit(True))
+    parted.append(one, "b")
+    plan = parted.probe(one)._jdf.queryExecution().toString()
+    assert re.search(r"PartitionFilters: \[[^]]*part#\d+ IN", plan) and {r.other for r in parted.probe(one).collect()} == {"q"}
+    parted.close()
 
 
 def test_hot_keys_of_the_index_are_spread(spark, monkeypatch):

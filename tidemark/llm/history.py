@@ -29,7 +29,7 @@ from tidemark.llm.neardup import FP, HOT, hot_keys, shard_pairs
 from tidemark.session import drop_path, durable, make_path, path_exists, scratch, step
 
 #: Buckets of the key table, and partitions by key within a batch; a large history needs thousands of buckets.
-BUCKETS, PARTS = 8, 2
+BUCKETS, PARTS = 8, 1
 
 
 class HistoryIndex:
@@ -59,14 +59,15 @@ class HistoryIndex:
         """(id) of everything indexed, texts too short for keys included."""
         return self._side("done", "id string")
 
-    def _hot(self) -> DataFrame:
-        """(key, parts) of hot keys, at most rows / HOT of them."""
-        return self._side("hot", "key long, parts int").groupBy("key").agg(F.max("parts").alias("parts"))
+    def _hot(self) -> DataFrame | None:
+        """(key, parts) of the hot keys of all batches, at most rows / HOT of them; None where there are none."""
+        return self._side("hot", "key long, parts int") if path_exists(self.spark, f"{self.root}/hot") else None
 
-    def _slots(self, bands: DataFrame, hot: DataFrame, which) -> DataFrame:
-        n = F.coalesce("parts", F.lit(1))
-        salt = which(n)
-        rows = bands.join(hot, "key", "left").withColumn("salt", salt)
+    def _slots(self, bands: DataFrame, hot: DataFrame | None, which) -> DataFrame:
+        if hot is None:  # as nearly always: then no row has to meet anything
+            rows = bands.withColumns({"parts": F.lit(1), "salt": F.lit(0)})
+        else:
+            rows = bands.join(hot.groupBy("key").agg(F.max("parts").alias("parts")), "key", "left").withColumn("salt", which(F.coalesce("parts", F.lit(1))))
         slot = F.when(F.col("salt") == 0, F.col("key")).otherwise(F.xxhash64("key", "salt"))
         return rows.withColumn("slot", slot).withColumn("part", F.pmod(F.shiftrightunsigned("slot", 17), F.lit(self.parts)).cast("int")).drop("key", "parts", "salt")
 
@@ -78,7 +79,9 @@ class HistoryIndex:
         self.forget(batch)
         bands = signed.filter("f0 is not null").select(F.explode("keys").alias("key"), "id", "aceito", *FP)
         hot = (hot_keys(bands, HOT) if hot is None else hot).select("key", F.ceil(F.col("n") / HOT).cast("int").alias("parts"))
-        hot.write.mode("overwrite").parquet(f"{self.root}/hot/batch={batch}")
+        hot = None if hot.isEmpty() else hot
+        if hot is not None:
+            hot.write.mode("overwrite").parquet(f"{self.root}/hot/batch={batch}")
         rows = self._slots(bands, hot, lambda n: F.pmod(F.xxhash64("id"), n).cast("int"))
         rows = rows.select("slot", "id", "aceito", *FP, F.lit(batch).alias("batch"), "part")
         # the exchange is the table's own, so each task writes the files of its own bucket
@@ -94,10 +97,12 @@ class HistoryIndex:
         return self._side("texts", "id string, t string")
 
     def forget(self, batch: str) -> None:
-        drop_path(self.spark, f"{self.root}/done/batch={batch}")
-        for p in range(self.parts):
-            self.spark.sql(f"ALTER TABLE {self.table} DROP IF EXISTS PARTITION (batch = '{batch}', part = {p})")
-        drop_path(self.spark, f"{self.root}/keys/batch={batch}")
+        for name in ("done", "hot"):
+            drop_path(self.spark, f"{self.root}/{name}/batch={batch}")
+        if path_exists(self.spark, f"{self.root}/keys/batch={batch}"):
+            for p in range(self.parts):
+                self.spark.sql(f"ALTER TABLE {self.table} DROP IF EXISTS PARTITION (batch = '{batch}', part = {p})")
+            drop_path(self.spark, f"{self.root}/keys/batch={batch}")
 
     def probe(self, signed: DataFrame, accepted_only: bool = False) -> DataFrame:
         """Distinct (id, other) of batch rows and indexed rows that share a key and lie within the radius.
@@ -106,8 +111,10 @@ class HistoryIndex:
         """
         bands = signed.filter("f0 is not null").select(F.explode("keys").alias("key"), "id", *FP)
         new = self._slots(bands, self._hot(), lambda n: F.explode(F.sequence(F.lit(0), n - 1)))
-        hit = sorted(r.part for r in new.select("part").distinct().collect())  # at most `parts` rows
-        old = self.spark.table(self.table).filter(F.col("part").isin(hit))
+        old = self.spark.table(self.table)
+        if self.parts > 1:
+            hit = sorted(r.part for r in new.select("part").distinct().collect())  # at most `parts` rows
+            old = old.filter(F.col("part").isin(hit))
         if accepted_only:
             old = old.filter("aceito")
         n, o = new.alias("n").hint("shuffle_hash"), old.alias("o")
@@ -175,7 +182,7 @@ def near(index: HistoryIndex, lot: DataFrame, stored: DataFrame, known_rows: Dat
     signed = durable(minwise.sign(src, ["no", "digest"], "texto"), "batch-signed")
     reps = signed.groupBy("digest").agg(F.min("no").alias("rep"), F.bool_or(F.col("f0").isNotNull()).alias("long"))
     members = durable(signed.select("no", "digest").join(reps, "digest").select("no", "rep", "long"), "members")
-    unique = signed.join(members.filter("no = rep").select("no"), "no", "left_semi").withColumn("id", _name("c", "no"))
+    unique = durable(signed.join(members.filter("no = rep").select("no"), "no", "left_semi").withColumn("id", _name("c", "no")), "unique")
     index.keep_texts(src.join(members.filter("long and no = rep").select("no"), "no", "left_semi").select(_name("c", "no").alias("id"), F.col("texto").alias("t")), batch)
     texts = stored.unionByName(index.texts())
     number = F.expr("cast(substring(other, 2) as bigint)")
@@ -189,9 +196,8 @@ def near(index: HistoryIndex, lot: DataFrame, stored: DataFrame, known_rows: Dat
     got = durable(got.withColumn("after", F.when(F.startswith("other", F.lit("c")), F.expr("cast(substring(other, 2) as bigint)")).otherwise(-1)), "alike")
     turned = got.filter("after >= 0").select(F.col("after").alias("rep"), F.col("rep").alias("after"))
     bound = got.select("rep", "after").unionByName(turned).groupBy("rep").agg(F.min("after").alias("after"))
-    copies = members.filter("long and no > rep").select("no")
-    like = members.join(bound, "rep").filter("no > after").select("no")
-    out = durable(copies.unionByName(like).distinct().select(F.col("no").alias("cand_no")), "near", lasting=True)
+    found = members.join(bound, "rep", "left").filter("(long and no > rep) or no > after")
+    out = durable(found.select(F.col("no").alias("cand_no")), "near", lasting=True)
     refused = out.unionByName(known_rows.select("cand_no")).distinct().select(F.col("cand_no").alias("no"), F.lit(False).alias("aceito"))
     index.append(unique.join(refused, "no", "left").select("id", F.coalesce("aceito", F.lit(True)).alias("aceito"), *FP, "keys"), batch, hot, named=False)
     return out
