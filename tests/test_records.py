@@ -1,3 +1,5 @@
+import hashlib
+import os
 import random
 
 import pytest
@@ -184,3 +186,32 @@ def test_files_are_listed_with_checksums(spark, tmp_path):
     assert (r["size"], len(r.checksum)) == (3, 64)
     r = I.list_files(spark, str(tmp_path), limit=2).first()
     assert r["size"] == 3 and r.checksum.startswith("20")  # a time
+
+
+def test_a_large_file_is_listed_by_its_bytes(spark, tmp_path, monkeypatch):
+    """One byte above CONTENT_LIMIT: a change that keeps size and time is seen, a new time alone isn't a change."""
+    folder = tmp_path / "in here"
+    folder.mkdir()
+    big, small = folder / "big #1.bin", folder / "small.bin"
+    small.write_bytes(b"abc")
+    with big.open("wb") as f:
+        f.truncate(I.CONTENT_LIMIT + 1)
+    os.utime(big, (1.7e9, 1.7e9))
+    m = I.Manifest(spark, f"file://{tmp_path}/m")
+    m.run(I.list_files(spark, str(folder)), lambda u: u.select("unit"))
+    with big.open("r+b") as f:
+        f.seek(1 << 20)
+        f.write(b"x")
+    os.utime(big, (1.7e9, 1.7e9))
+    assert [r["size"] for r in m.pending(I.list_files(spark, str(folder))).collect()] == [I.CONTENT_LIMIT + 1]
+    m.run(I.list_files(spark, str(folder)), lambda u: u.select("unit"))
+    os.utime(big, (1.8e9, 1.8e9))
+    assert m.pending(I.list_files(spark, str(folder))).count() == 0
+    # rows, tasks' streams and the driver's streams give the same checksums
+    expected = {"big #1.bin": hashlib.sha256(big.read_bytes()).hexdigest(), "small.bin": hashlib.sha256(b"abc").hexdigest()}
+    listed = lambda: {r["unit"].rsplit("/", 1)[1]: r.checksum for r in I.list_files(spark, str(folder)).collect()}
+    assert listed() == expected
+    monkeypatch.setattr(I, "CONTENT_LIMIT", 2)
+    assert listed() == expected
+    monkeypatch.setattr(I, "on_mount", lambda *a: False)
+    assert listed() == expected

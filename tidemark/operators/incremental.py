@@ -13,30 +13,52 @@ runs. `ingest` puts both together: the units are the listing's files, and only n
 from __future__ import annotations
 
 import hashlib
-from collections.abc import Callable
+from collections.abc import Callable, Iterator
 
+import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from tidemark.session import make_path, move_path, path_exists, scratch
+from tidemark.session import make_path, move_path, on_mount, path_exists, scratch, stream_hash
 
 UNIT_SCHEMA = "unit string, size long, checksum string"
 RECORDS = "rodada string, id_na_fonte string, hash_texto string, mudou boolean"
-#: Bytes up to which a file's content is hashed.
+#: Bytes up to which a file is hashed as one row; larger ones are hashed as streams, with the same result.
 CONTENT_LIMIT = 1 << 28
 
 
-def list_files(spark: SparkSession, path: str, limit: int = CONTENT_LIMIT) -> DataFrame:
+def list_files(spark: SparkSession, path: str, limit: int | None = None) -> DataFrame:
     """(unit, size, checksum) of the files below path.
 
-    The checksum is a hash of the bytes, one file per row, for files up to `limit` bytes; larger ones aren't read, and the
-    time of their last change stands for it.
+    The checksum is the SHA-256 of the bytes, whatever their number. Files above CONTENT_LIMIT are read in chunks: by the
+    tasks, one for each file, where its address is `file:`, and else one after the other by the driver's client, as
+    Python workers have none for other file systems.
+    limit: only where a caller names one, files above it aren't read, and the time of their last change stands for the
+    checksum; a change that keeps size and time isn't seen then.
     """
     files = spark.read.format("binaryFile").option("recursiveFileLookup", "true").load(path)
     name, size = F.col("path").alias("unit"), F.col("length").alias("size")
-    small = files.filter(F.col("length") <= limit).select(name, size, F.sha2("content", 256).alias("checksum"))
-    return small.unionByName(files.filter(F.col("length") > limit).select(name, size, F.col("modificationTime").cast("string").alias("checksum")))
+    whole = files if limit is None else files.filter(F.col("length") <= limit)
+    small = whole.filter(F.col("length") <= CONTENT_LIMIT).select(name, size, F.sha2("content", 256).alias("checksum"))
+    large = whole.filter(F.col("length") > CONTENT_LIMIT).select(name, size)
+    if on_mount(spark, path):
+        found = small.unionByName(large.mapInArrow(_hashed, UNIT_SCHEMA))
+    else:
+        found = small.unionByName(spark.createDataFrame([(r["unit"], r["size"], stream_hash(spark, r["unit"])) for r in large.collect()], UNIT_SCHEMA))
+    if limit is None:
+        return found
+    return found.unionByName(files.filter(F.col("length") > limit).select(name, size, F.col("modificationTime").cast("string").alias("checksum")))
+
+
+def _hashed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Adds the SHA-256 of the files (unit, size) names by `file:` addresses, each read in chunks."""
+    for b in batches:
+        sums = []
+        for unit in b.column("unit").to_pylist():
+            with open(unit.removeprefix("file:"), "rb") as f:
+                sums.append(hashlib.file_digest(f, "sha256").hexdigest())
+        yield pa.RecordBatch.from_arrays([b.column("unit"), b.column("size"), pa.array(sums, pa.string())], names=["unit", "size", "checksum"])
 
 
 class Manifest:

@@ -86,6 +86,21 @@ def path_exists(spark: SparkSession, path: str) -> bool:
     return fs.exists(target)
 
 
+def on_mount(spark: SparkSession, path: str) -> bool:
+    """Whether a path lies in a mounted folder, which Python workers can open as Spark's own tasks do."""
+    return _fs(spark, path)[0].getUri().getScheme() == "file"
+
+
+def stream_hash(spark: SparkSession, path: str) -> str:
+    """SHA-256 of a file of any file system, read by the driver's client in chunks."""
+    fs, target = _fs(spark, path)
+    source = fs.open(target)
+    try:
+        return spark.sparkContext._jvm.org.apache.commons.codec.digest.DigestUtils.sha256Hex(source)
+    finally:
+        source.close()
+
+
 def make_path(spark: SparkSession, path: str) -> None:
     fs, target = _fs(spark, path)
     fs.mkdirs(target)
